@@ -63,13 +63,13 @@ SELECT 'Customer' AS "FirstName",
   substr(c_name, 10) AS "LastName",
   c_mktsegment AS "CompanyName",
   CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE 'c' || CAST(c_custkey AS VARCHAR) || '@example.com' END AS "EmailAddress",
-  '555-' || lpad(CAST(c_custkey AS VARCHAR), greatest(length(CAST(c_custkey AS VARCHAR)), 7), '0') AS "Phone",
+  '555-' || lpad(CAST(c_custkey AS VARCHAR), CAST(greatest(length(CAST(c_custkey AS VARCHAR)), 7) AS INTEGER), '0') AS "Phone",
   CAST(c_custkey AS VARCHAR) AS "CustomerID",
   c_name AS "AddressLine1",
   r_name AS "City",
   n_name AS "CountryRegion",
   CASE WHEN c_custkey % 5 = 0 THEN 'AB' || CAST(c_custkey AS VARCHAR)
-    ELSE lpad(CAST(c_custkey AS VARCHAR), greatest(length(CAST(c_custkey AS VARCHAR)), 5), '0') END AS "PostalCode"
+    ELSE lpad(CAST(c_custkey AS VARCHAR), CAST(greatest(length(CAST(c_custkey AS VARCHAR)), 5) AS INTEGER), '0') END AS "PostalCode"
 FROM customer
   LEFT JOIN nation ON c_nationkey = n_nationkey
   LEFT JOIN region ON n_regionkey = r_regionkey
@@ -146,16 +146,16 @@ def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SUPPLIERS_SQL = """
-SELECT 'SUP' || lpad(CAST(s_suppkey AS VARCHAR), greatest(length(CAST(s_suppkey AS VARCHAR)), 4), '0') AS supplier_id,
+SELECT 'SUP' || lpad(CAST(s_suppkey AS VARCHAR), CAST(greatest(length(CAST(s_suppkey AS VARCHAR)), 4) AS INTEGER), '0') AS supplier_id,
   s_name AS supplier_name,
   s_name AS contact_name,
   CASE WHEN s_suppkey % 6 = 0 THEN 'bad-address' ELSE 's' || CAST(s_suppkey AS VARCHAR) || '@example.com' END AS email,
-  '556-' || lpad(CAST(s_suppkey AS VARCHAR), greatest(length(CAST(s_suppkey AS VARCHAR)), 7), '0') AS phone,
+  '556-' || lpad(CAST(s_suppkey AS VARCHAR), CAST(greatest(length(CAST(s_suppkey AS VARCHAR)), 7) AS INTEGER), '0') AS phone,
   n_name AS address,
   n_name AS city,
   r_name AS state,
   n_name AS country,
-  lpad(CAST(s_suppkey AS VARCHAR), greatest(length(CAST(s_suppkey AS VARCHAR)), 5), '0') AS postal_code,
+  lpad(CAST(s_suppkey AS VARCHAR), CAST(greatest(length(CAST(s_suppkey AS VARCHAR)), 5) AS INTEGER), '0') AS postal_code,
   r_name AS business_category,
   TIMESTAMP '1995-01-01 00:00:00' AS created_at,
   TIMESTAMP '1995-01-01 00:00:00' AS updated_at
@@ -181,13 +181,13 @@ def warehouses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 WAREHOUSES_SQL = """
-SELECT 'WH' || lpad(CAST(n_nationkey AS VARCHAR), greatest(length(CAST(n_nationkey AS VARCHAR)), 3), '0') AS warehouse_id,
+SELECT 'WH' || lpad(CAST(n_nationkey AS VARCHAR), CAST(greatest(length(CAST(n_nationkey AS VARCHAR)), 3) AS INTEGER), '0') AS warehouse_id,
   n_name AS warehouse_name,
   r_name AS location,
   n_name AS city,
   r_name AS state,
   n_name AS country,
-  CASE WHEN n_nationkey % 7 = 0 THEN 'X1' ELSE lpad(CAST(n_nationkey AS VARCHAR), greatest(length(CAST(n_nationkey AS VARCHAR)), 5), '0') END AS postal_code,
+  CASE WHEN n_nationkey % 7 = 0 THEN 'X1' ELSE lpad(CAST(n_nationkey AS VARCHAR), CAST(greatest(length(CAST(n_nationkey AS VARCHAR)), 5) AS INTEGER), '0') END AS postal_code,
   CAST(100 * (n_nationkey + 1) AS VARCHAR) AS capacity,
   TIMESTAMP '1995-01-01 00:00:00' AS created_at,
   TIMESTAMP '1995-01-01 00:00:00' AS updated_at
@@ -230,8 +230,8 @@ SELECT 'SO' || CAST(l_orderkey AS VARCHAR) AS salesordernumber,
   CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_tax AS DECIMAL(4,2)) AS taxamount,
   CAST(o_custkey AS VARCHAR) AS customer_id,
   CAST(l_partkey AS VARCHAR) AS product_id,
-  'SUP' || lpad(CAST(l_suppkey AS VARCHAR), greatest(length(CAST(l_suppkey AS VARCHAR)), 4), '0') AS supplier_id,
-  'WH' || lpad(CAST(s_nationkey AS VARCHAR), greatest(length(CAST(s_nationkey AS VARCHAR)), 3), '0') AS warehouse_id
+  'SUP' || lpad(CAST(l_suppkey AS VARCHAR), CAST(greatest(length(CAST(l_suppkey AS VARCHAR)), 4) AS INTEGER), '0') AS supplier_id,
+  'WH' || lpad(CAST(s_nationkey AS VARCHAR), CAST(greatest(length(CAST(s_nationkey AS VARCHAR)), 3) AS INTEGER), '0') AS warehouse_id
 FROM lineitem
   JOIN orders ON l_orderkey = o_orderkey
   JOIN part ON l_partkey = p_partkey

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,6 +44,16 @@ def materialise(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def written(df: DataFrame, path: str) -> Iterator[DataFrame]:
+    """`materialise` for the length of a block; the written copy is deleted at its end."""
+    try:
+        yield materialise(df, path)
+    finally:
+        fs, folder, _ = _file_system(df.sparkSession, path)
+        fs.delete(folder, True)
+
+
 def _file_system(spark: SparkSession, path: str):
     hadoop = spark._jvm.org.apache.hadoop.fs
     folder = hadoop.Path(path)

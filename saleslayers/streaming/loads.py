@@ -19,7 +19,7 @@ from saleslayers.functions.quality import rejected_rows
 from saleslayers.plans import bronze, silver
 from saleslayers.session import scratch_path
 from saleslayers.sinks.audit import file_audit
-from saleslayers.sinks.tables import append_batch, materialise, replace_partitions, touched_partitions
+from saleslayers.sinks.tables import append_batch, replace_partitions, touched_partitions, written
 from saleslayers.sources.files import CSV_OPTIONS
 from saleslayers.sources.tables import read_table
 
@@ -103,11 +103,10 @@ def upsert_fact(
     raw_table = bronze.RAW_TABLES["sale_orders"]
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        labelled = materialise(silver.labelled_lines(batch), scratch_path(session, "labelled"))
-        if rejects:
-            append_batch(rejected_rows(labelled), rejects, batch_id, column=BATCH)
-        write_fact(silver.fact_batch(labelled), fact_root)
+        with written(silver.labelled_lines(batch), scratch_path(batch.sparkSession, "labelled")) as labelled:
+            if rejects:
+                append_batch(rejected_rows(labelled), rejects, batch_id, column=BATCH)
+            write_fact(silver.fact_batch(labelled), fact_root)
 
     raw = spark.readStream.schema(raw_table_schema(raw_table)).parquet(raw_root)
     return run_available(raw, load, checkpoint)
@@ -120,12 +119,11 @@ def write_fact(batch: DataFrame, fact_root: str) -> None:
     older self within the partitions that the batch touches.
     """
     spark = batch.sparkSession
-    batch = materialise(batch, scratch_path(spark, "fact-batch"))
-    if batch.isEmpty():
-        return
-    fact = read_fact(spark, fact_root)
-    affected = touched_partitions(fact, batch, silver.FACT_PARTITIONS)
-    replace_partitions(silver.merge_fact(affected, batch), fact_root, silver.FACT_PARTITIONS)
+    with written(batch, scratch_path(spark, "fact-batch")) as rows:
+        if rows.isEmpty():
+            return
+        affected = touched_partitions(read_fact(spark, fact_root), rows, silver.FACT_PARTITIONS)
+        replace_partitions(silver.merge_fact(affected, rows), fact_root, silver.FACT_PARTITIONS)
 
 
 def read_fact(spark: SparkSession, fact_root: str) -> DataFrame:
