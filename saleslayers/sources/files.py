@@ -30,5 +30,6 @@ def read_csv(
 
 def parse_csv_lines(lines: DataFrame, schema: StructType, column: str = "line") -> DataFrame:
     """Typed rows from single CSV lines held in a text column."""
-    parsed = F.from_csv(F.col(column), schema.simpleString()[len("struct<") : -1], {"mode": "PERMISSIVE"})
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    parsed = F.from_csv(F.col(column), ddl, {"mode": "PERMISSIVE"})
     return lines.select(parsed.alias("row")).select("row.*")

@@ -6,7 +6,7 @@ after a failure replaces what it wrote before, so each file counts once.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +17,7 @@ from pyspark.sql.types import StructType
 from saleslayers import schemas
 from saleslayers.functions.quality import rejected_rows
 from saleslayers.plans import bronze, silver
+from saleslayers.schemas import BIGINT, INT, TIMESTAMP
 from saleslayers.session import scratch_path
 from saleslayers.sinks.audit import file_audit
 from saleslayers.sinks.tables import append_batch, replace_partitions, touched_partitions, written
@@ -60,6 +61,22 @@ def run_available(rows: DataFrame, each_batch: Callable[[DataFrame, int], None],
     return query
 
 
+def copy_files(
+    spark: SparkSession, schema: StructType, landing: str, root: str, checkpoint: str, *, max_files: int | None = None
+) -> StreamingQuery:
+    """Rows of every new file, as they are, into a Parquet folder; each file exactly once."""
+    query = (
+        stream_csv(spark, schema, landing, max_files=max_files)
+        .writeStream.format("parquet")
+        .option("path", root)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return query
+
+
 def ingest_files(
     spark: SparkSession,
     table: bronze.RawTable,
@@ -87,8 +104,8 @@ def raw_table_schema(table: bronze.RawTable) -> StructType:
     """Columns of a raw table as `ingest_files` writes it."""
     schema = StructType([*table.schema.fields])
     if table.date_column:
-        schema = schema.add("year", "int").add("month", "int").add("day", "int")
-    return schema.add("ingestion_timestamp", "timestamp").add(BATCH, "long")
+        schema = schema.add("year", INT).add("month", INT).add("day", INT)
+    return schema.add("ingestion_timestamp", TIMESTAMP).add(BATCH, BIGINT)
 
 
 def upsert_fact(
@@ -98,32 +115,36 @@ def upsert_fact(
     checkpoint: str,
     *,
     rejects: str | None = None,
+    partition_columns: Sequence[str] = silver.FACT_PARTITIONS,
 ) -> StreamingQuery:
-    """Every new raw order line into the fact table; only the touched days are rewritten."""
+    """Every new raw order line into the fact table; only the touched partitions are rewritten."""
     raw_table = bronze.RAW_TABLES["sale_orders"]
 
     def load(batch: DataFrame, batch_id: int) -> None:
         with written(silver.labelled_lines(batch), scratch_path(batch.sparkSession, "labelled")) as labelled:
             if rejects:
                 append_batch(rejected_rows(labelled), rejects, batch_id, column=BATCH)
-            write_fact(silver.fact_batch(labelled), fact_root)
+            write_fact(silver.fact_batch(labelled), fact_root, partition_columns)
 
     raw = spark.readStream.schema(raw_table_schema(raw_table)).parquet(raw_root)
     return run_available(raw, load, checkpoint)
 
 
-def write_fact(batch: DataFrame, fact_root: str) -> None:
+def write_fact(
+    batch: DataFrame, fact_root: str, partition_columns: Sequence[str] = silver.FACT_PARTITIONS
+) -> None:
     """Merges a batch of valid lines into the partitioned fact table.
 
     The creation time is part of the key and gives the partition, so a line can only meet its
-    older self within the partitions that the batch touches.
+    older self within the partitions that the batch touches. Small tables do with years or
+    months as partitions; a table always keeps the ones it was first written with.
     """
     spark = batch.sparkSession
     with written(batch, scratch_path(spark, "fact-batch")) as rows:
         if rows.isEmpty():
             return
-        affected = touched_partitions(read_fact(spark, fact_root), rows, silver.FACT_PARTITIONS)
-        replace_partitions(silver.merge_fact(affected, rows), fact_root, silver.FACT_PARTITIONS)
+        affected = touched_partitions(read_fact(spark, fact_root), rows, partition_columns)
+        replace_partitions(silver.merge_fact(affected, rows), fact_root, partition_columns)
 
 
 def read_fact(spark: SparkSession, fact_root: str) -> DataFrame:
