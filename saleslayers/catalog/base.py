@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from saleslayers.catalog.mapping import RAW, RUN_TS
+from saleslayers.functions.quality import label_quality
+from saleslayers.operators import conform
 from saleslayers.plans import bronze, silver
-from saleslayers.plans.gold import Star
 
 
 @dataclass(frozen=True)
@@ -29,7 +31,8 @@ def bronze_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.labelled_lines(bronze_table(spark, sf_dir, "sale_orders"))
+    """Labelled lines of a single load, which holds each line once already."""
+    return label_quality(conform.sale_orders(bronze_table(spark, sf_dir, "sale_orders")))
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,7 +44,17 @@ def dimension(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return silver.dimension_batch(bronze_table(spark, sf_dir, plan.raw_table), plan, RUN_TS)
 
 
-def star(spark: SparkSession, sf_dir: str) -> Star:
-    return Star(
-        fact(spark, sf_dir), *(dimension(spark, sf_dir, f"dim_{d}") for d in ("customers", "products", "suppliers", "warehouses"))
-    )
+class StarOf:
+    """The star of a data folder; tables that a report does not use are never planned."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self._spark, self._sf_dir = spark, sf_dir
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        return fact(self._spark, self._sf_dir)
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if f"dim_{name}" not in silver.DIMENSIONS:
+            raise AttributeError(name)
+        return dimension(self._spark, self._sf_dir, f"dim_{name}")

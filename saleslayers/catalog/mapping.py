@@ -11,6 +11,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 RUN_TS = datetime(2025, 1, 1, tzinfo=timezone.utc)
 RUN_TS_SQL = "TIMESTAMP '2025-01-01 00:00:00'"
@@ -18,8 +19,15 @@ SECOND_TS = datetime(2025, 2, 1, tzinfo=timezone.utc)
 SECOND_TS_SQL = "TIMESTAMP '2025-02-01 00:00:00'"
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table of a data folder; its schema is looked up in the file once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def _text(name: str) -> Column:

@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from datetime import datetime, timezone
 
 from saleslayers.catalog.base import Query, bronze_table, raw
-from saleslayers.catalog.mapping import RUN_TS_SQL, table
-from saleslayers.catalog.sql import bronze_sql, columns, latest, raw_sql
+from saleslayers.catalog.mapping import table
+from saleslayers.catalog.sql import bronze_sql, latest, raw_sql
 from saleslayers.operators.rows import dedupe_latest, require_not_null
 from saleslayers.plans.bronze import RAW_TABLES
 from saleslayers.sources.tables import rows_after
 
-from datetime import datetime, timezone
-
 ORDERS = RAW_TABLES["sale_orders"]
 CUSTOMERS = RAW_TABLES["customers"]
 

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from saleslayers.catalog.base import Query, fact, star
+from saleslayers.catalog.base import Query, StarOf
 from saleslayers.catalog.mapping import RUN_TS, RUN_TS_SQL, SECOND_TS, SECOND_TS_SQL
 from saleslayers.catalog.sql import FACT_COLUMNS, columns, dimension_sql, fact_sql, with_
 from saleslayers.plans import gold
-from saleslayers.plans.gold import REPORTS, Star
+from saleslayers.plans.gold import REPORTS
 
 AMOUNT = "CAST(sum(quantity * unitprice) AS DOUBLE) AS total_sales_amount"
 QUANTITY = "CAST(sum(quantity) AS BIGINT) AS total_quantity_sold"
@@ -47,7 +47,7 @@ def report_sql(name: str, source: str, stamp: str) -> str:
 
 def report(name: str) -> Query:
     return Query(
-        lambda spark, d: REPORTS[name].build(star(spark, d), RUN_TS),
+        lambda spark, d: REPORTS[name].build(StarOf(spark, d), RUN_TS),
         with_(report_sql(name, "fact", RUN_TS_SQL), **BASE),
     )
 
@@ -57,14 +57,8 @@ def refresh(name: str) -> Query:
     rule = REPORTS[name]
 
     def run(spark, sf_dir):
-        everything = star(spark, sf_dir)
-        before = Star(
-            everything.fact.filter(F.col("createddate") < CUTOFF),
-            everything.customers,
-            everything.products,
-            everything.suppliers,
-            everything.warehouses,
-        )
+        everything, before = StarOf(spark, sf_dir), StarOf(spark, sf_dir)
+        before.fact = everything.fact.filter(F.col("createddate") < CUTOFF)
         table = gold.report_rows(rule, before, RUN_TS)
         return gold.refresh_report(table, gold.report_rows(rule, everything, SECOND_TS), rule)
 
@@ -90,7 +84,7 @@ def refresh(name: str) -> Query:
 
 QUERIES = {
     "star_join": Query(
-        lambda spark, d: gold.star_lines(star(spark, d)),
+        lambda spark, d: gold.star_lines(StarOf(spark, d)),
         with_(
             f"""SELECT {columns(FACT_COLUMNS, "f.")}, warehouse_name, supplier_name, product_name, customer_name
             FROM fact f LEFT JOIN c ON f.customer_id = c.customer_id LEFT JOIN p ON f.product_id = p.product_id
@@ -103,7 +97,7 @@ QUERIES = {
     "gold_supplier_daily": report("by_supplier_daily"),
     "gold_supplier_monthly": report("by_supplier_monthly"),
     "gold_top_sales": Query(
-        lambda spark, d: gold.top_sales(star(spark, d), RUN_TS),
+        lambda spark, d: gold.top_sales(StarOf(spark, d), RUN_TS),
         with_(
             report_sql("sales_summary", "fact", RUN_TS_SQL)
             + " ORDER BY total_sales_amount DESC, customer_name NULLS FIRST, product_name NULLS FIRST,"
