@@ -1,6 +1,6 @@
 """Runs catalog queries beside their SQL and reports differences.
 
-    python tests/check.py [data folder] [query ...]
+    python tests/oracle_check.py [data folder] [query ...]
 """
 
 from __future__ import annotations

@@ -1,0 +1,110 @@
+from datetime import datetime, timezone
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from saleslayers import schemas
+from saleslayers.functions.quality import label_quality, quality_counts, rejected_rows, valid_rows
+from saleslayers.operators import conform
+from saleslayers.plans import bronze, silver
+
+DAY = datetime(2024, 9, 21)
+RUN_TS = datetime(2025, 1, 1, tzinfo=timezone.utc)
+
+GOOD = dict(
+    salesordernumber="SO1",
+    salesorderlinenumber=1,
+    createddate=DAY,
+    processeddate=datetime(2024, 9, 24),
+    ordertype="M",
+    quantity=1,
+    unitprice=354.9247384731111,
+    taxamount=28.39397907784889,
+    customer_id="30055",
+    product_id="867",
+    supplier_id="SUP0091",
+    warehouse_id="WH018",
+)
+
+
+def labels(spark, *changes):
+    rows = [tuple({**GOOD, "salesorderlinenumber": i, **c}.values()) for i, c in enumerate(changes)]
+    raw = spark.createDataFrame(rows, schemas.SALE_ORDERS.__class__(
+        [schemas.SALE_ORDERS[name] for name in GOOD]
+    ))
+    lines = conform.sale_orders(raw.withColumns({p: F.lit(1) for p in ("year", "month", "day")}))
+    return label_quality(lines)
+
+
+CASES = [
+    ({}, "Valid"),
+    ({"quantity": 0}, "Valid"),
+    ({"processeddate": DAY}, "Valid"),
+    ({"quantity": -1}, "Invalid quantity"),
+    ({"quantity": None}, "Invalid quantity"),
+    ({"taxamount": -0.01}, "Invalid tax amount"),
+    ({"taxamount": None}, "Invalid tax amount"),
+    ({"taxamount": 1000.0}, "Invalid tax amount"),
+    ({"unitprice": -1.0}, "Invalid unit price"),
+    ({"unitprice": 10000.0}, "Invalid unit price"),
+    ({"customer_id": None}, "Missing customer ID"),
+    ({"customer_id": "12a"}, "Missing customer ID"),
+    ({"product_id": None}, "Missing product ID"),
+    ({"supplier_id": None}, "Missing supplier ID"),
+    ({"warehouse_id": None}, "Missing warehouse ID"),
+    ({"createddate": None}, "Missing date"),
+    ({"processeddate": None}, "Missing date"),
+    ({"processeddate": datetime(2024, 9, 20)}, "Invalid date order"),
+    ({"quantity": -1, "processeddate": None}, "Invalid quantity"),
+    ({"supplier_id": None, "warehouse_id": None}, "Missing supplier ID"),
+]
+
+
+def test_each_rule_and_precedence(spark):
+    got = labels(spark, *[c for c, _ in CASES]).orderBy("salesorderlinenumber").collect()
+    assert [r.error_description for r in got] == [label for _, label in CASES]
+    assert [r.error_flag for r in got] == [0 if label == "Valid" else 1 for _, label in CASES]
+
+
+def test_amounts_are_rounded_half_up(spark):
+    row = labels(spark, {}).first()
+    assert (row.unitprice, row.taxamount) == (Decimal("354.9247"), Decimal("28.3940"))
+
+
+def test_split_is_complete(spark):
+    labelled = labels(spark, *[c for c, _ in CASES])
+    assert valid_rows(labelled).count() + rejected_rows(labelled).count() == len(CASES)
+    assert {r.error_flag: r.row_count for r in quality_counts(labelled).collect()} == {0: 3, 1: len(CASES) - 3}
+
+
+def test_copies_of_a_line_over_two_loads(spark):
+    rows = spark.createDataFrame([tuple({**GOOD, "quantity": q}.values()) for q in (1,)],
+                                 schemas.SALE_ORDERS.__class__([schemas.SALE_ORDERS[n] for n in GOOD]))
+    first = bronze.ingest(rows, bronze.RAW_TABLES["sale_orders"], RUN_TS)
+    later = bronze.ingest(
+        rows.withColumn("quantity", F.lit(9)), bronze.RAW_TABLES["sale_orders"], datetime(2025, 2, 1, tzinfo=timezone.utc)
+    )
+    both = silver.labelled_lines(first.unionByName(later)).collect()
+    assert [r.quantity for r in both] == [9]
+
+
+def test_dimension_conforming(spark):
+    raw = spark.createDataFrame(
+        [("A", None, "C", "a@b.org", "1", "07", "addr", "town", "land", "AB1"), ("B", "X", "C", "a@b.org", "1", "x7", "addr", "town", "land", "11")],
+        schemas.CUSTOMERS,
+    )
+    plan = silver.DIMENSIONS["dim_customers"]
+    stamped = raw.withColumn("ingestion_timestamp", F.lit(DAY))
+    rows = silver.dimension_batch(stamped, plan, RUN_TS).collect()
+    assert [(r.customer_id, r.customer_name, r.postal_code, r.is_current) for r in rows] == [(7, "A", None, True)]
+    assert [r.customer_name for r in silver.dimension_rejects(stamped, plan, RUN_TS).collect()] == ["B X"]
+    assert silver.dimension_batch(stamped, plan, RUN_TS).columns == plan.schema.fieldNames()
+
+
+@pytest.mark.parametrize("name", ["dim_customers", "dim_products", "dim_suppliers", "dim_warehouses"])
+def test_dimension_types(spark, name):
+    plan = silver.DIMENSIONS[name]
+    raw = spark.createDataFrame([], bronze.RAW_TABLES[plan.raw_table].schema).withColumn("ingestion_timestamp", F.lit(DAY))
+    produced = silver.dimension_batch(raw, plan, RUN_TS)
+    assert [(f.name, f.dataType) for f in produced.schema] == [(f.name, f.dataType) for f in plan.schema]

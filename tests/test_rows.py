@@ -1,0 +1,116 @@
+from datetime import date, datetime, timezone
+
+from conftest import as_set
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from saleslayers.functions.cleaning import null_if_not_digits, null_if_not_email
+from saleslayers.operators.rows import conform_to, date_parts, dedupe_latest, require_not_null, stamp
+
+SCHEMA = "k int, o int, a string, b string"
+
+
+def test_require_not_null_each_column_and_nan(spark):
+    df = spark.createDataFrame(
+        [(1, "x", 1.0), (None, "x", 1.0), (1, None, 1.0), (1, "x", None), (1, "x", float("nan"))],
+        "a int, b string, c double",
+    )
+    assert require_not_null(df, ["a", "b", "c"]).count() == 2
+    assert require_not_null(df, ["b"]).count() == 4
+    assert require_not_null(df, []).count() == 5
+
+
+def test_latest_row_ties_and_null_order(spark):
+    df = spark.createDataFrame(
+        [
+            (1, 5, "a", "x"),
+            (1, 5, "b", "w"),
+            (1, 5, "b", "x"),
+            (2, None, "a", "z"),
+            (2, 1, "a", "a"),
+            (3, None, None, "p"),
+            (3, None, "q", None),
+            (None, 1, "n", "n"),
+            (None, 2, "n", "n"),
+        ],
+        SCHEMA,
+    )
+    assert as_set(dedupe_latest(df, ["k"], "o")) == sorted(
+        [(1, 5, "b", "x"), (2, 1, "a", "a"), (3, None, "q", None), (None, 2, "n", "n")], key=repr
+    )
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    rows=st.lists(
+        st.tuples(
+            st.integers(0, 3),
+            st.none() | st.integers(0, 2),
+            st.none() | st.sampled_from("ab"),
+            st.none() | st.sampled_from("xy"),
+        ),
+        min_size=1,
+        max_size=30,
+    )
+)
+def test_latest_row_against_brute_force(spark, rows):
+    low = (-1, "")
+
+    def rank(row):
+        return [low if v is None else (0, v) for v in (row[1], row[2], row[3])]
+
+    best = {}
+    for row in rows:
+        if row[0] not in best or rank(row) > rank(best[row[0]]):
+            best[row[0]] = row
+    once = dedupe_latest(spark.createDataFrame(rows, SCHEMA).repartition(3), ["k"], "o")
+    assert as_set(once) == sorted(best.values(), key=repr)
+    assert as_set(dedupe_latest(once, ["k"], "o")) == sorted(best.values(), key=repr)
+
+
+def test_hot_key_is_reduced_before_the_shuffle(spark):
+    hot = spark.range(20000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"), F.col("id").alias("o")
+    )
+    latest = dedupe_latest(hot, ["k"], "o")
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
+    assert plan.index("WindowGroupLimit") < plan.index("Exchange") < plan.rindex("WindowGroupLimit")
+    assert latest.filter("k = 0").collect()[0].o == 19998
+
+
+def test_stamp_and_date_parts(spark):
+    df = spark.createDataFrame([(datetime(2024, 9, 21, 13),)], "t timestamp")
+    row = stamp(date_parts(df, "t"), datetime(2025, 1, 1, tzinfo=timezone.utc)).first()
+    assert (row.year, row.month, row.day) == (2024, 9, 21)
+    assert row.ingestion_timestamp == datetime(2025, 1, 1)
+
+
+def test_conform_to_orders_casts_adds_and_drops(spark):
+    df = spark.createDataFrame([("12", "x", 1), ("12a", "y", 2)], "n string, extra string, d int")
+    target = StructType.fromDDL("d bigint, n int, missing date")
+    assert conform_to(df, target).schema == target
+    assert as_set(conform_to(df, target)) == sorted([(1, 12, None), (2, None, None)], key=repr)
+
+
+def test_clean_text(spark):
+    values = ["12345", "SW1A 1AA", "-5", "", None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    cleaned = [r[1] for r in df.select("i", null_if_not_digits(F.col("v"))).orderBy("i").collect()]
+    assert cleaned == ["12345", None, None, "", None]
+
+
+def test_clean_numbers(spark):
+    df = spark.createDataFrame([(1, 3), (2, -3), (3, None), (4, 0)], "i int, v int")
+    out = df.select("i", null_if_not_digits(F.col("v")).alias("v"))
+    assert [r.v for r in out.orderBy("i").collect()] == [3, None, None, 0]
+    assert out.schema["v"].dataType.simpleString() == "int"
+
+
+def test_clean_email(spark):
+    values = ["a.b+c@example.com", "no-at.example.com", "a@nodot", "a@b.c", None, "x@y.org "]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    cleaned = [r[1] for r in df.select("i", null_if_not_email(F.col("v"))).orderBy("i").collect()]
+    assert cleaned == ["a.b+c@example.com", None, None, None, None, None]
