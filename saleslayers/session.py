@@ -32,7 +32,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     A machine-local folder is used only where the session names none (single-machine tests).
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
         shared = tempfile.mkdtemp(prefix="saleslayers-")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
