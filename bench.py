@@ -16,24 +16,17 @@ from saleslayers.catalog.registry import QUERIES
 from saleslayers.session import build_session
 
 HEADLINE = (
-    "scan_csv_permissive",
-    "dedupe_latest",
     "bronze_sale_orders",
-    "silver_customers",
     "fact_quality_counts",
     "dedupe_fact",
     "merge_upsert",
-    "merge_conditional",
     "scd2_customers",
-    "scd2_products",
     "star_join",
     "gold_sales_summary",
     "gold_by_country",
     "gold_supplier_daily",
     "gold_supplier_monthly",
-    "gold_top_sales",
     "gold_merge_refresh",
-    "evolve_chain",
 )
 
 

@@ -30,6 +30,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_schemas[path]).parquet(path)
 
 
+_splits: dict[str, int] = {}
+
+
+def spread(df: DataFrame, path: str, key: str) -> DataFrame:
+    """Shares the rows of a file that is read in fewer pieces than there are cores.
+
+    A small file may be one row group, which one task reads. Large tables have more pieces than
+    cores and are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if path not in _splits:
+        _splits[path] = df.rdd.getNumPartitions()
+    return df.repartition(cores, key) if _splits[path] < cores else df
+
+
 def _text(name: str) -> Column:
     return F.col(name).cast("string")
 
@@ -206,7 +221,7 @@ FROM nation
 
 def sale_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = (
-        table(spark, sf_dir, "lineitem")
+        spread(table(spark, sf_dir, "lineitem"), f"{sf_dir}/lineitem.parquet", "l_orderkey")
         .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))

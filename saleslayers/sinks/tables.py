@@ -90,6 +90,13 @@ def write_version(df: DataFrame, root: str, partition_columns: Sequence[str] = (
     return number
 
 
+def drop_old_versions(spark: SparkSession, root: str, keep: int = 2) -> None:
+    """Deletes all but the newest complete versions; readers of the kept ones are not disturbed."""
+    fs, _, hadoop = _file_system(spark, root)
+    for number in versions(spark, root)[: -max(keep, 1)]:
+        fs.delete(hadoop.Path(f"{root}/version={number}"), True)
+
+
 def partition_label(columns: Sequence[str]) -> Column:
     """One text per partition; NULL parts stay distinct from all values."""
     return F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in columns])

@@ -16,11 +16,19 @@ from pyspark.sql.types import StructType
 
 from saleslayers import schemas
 from saleslayers.functions.quality import rejected_rows
+from saleslayers.operators.history import apply_history
 from saleslayers.plans import bronze, silver
 from saleslayers.schemas import BIGINT, INT, TIMESTAMP
 from saleslayers.session import scratch_path
 from saleslayers.sinks.audit import file_audit
-from saleslayers.sinks.tables import append_batch, replace_partitions, touched_partitions, written
+from saleslayers.sinks.tables import (
+    append_batch,
+    read_version,
+    replace_partitions,
+    touched_partitions,
+    write_version,
+    written,
+)
 from saleslayers.sources.files import CSV_OPTIONS
 from saleslayers.sources.tables import read_table
 
@@ -130,6 +138,35 @@ def upsert_fact(
     return run_available(raw, load, checkpoint)
 
 
+def upsert_dimension(
+    spark: SparkSession,
+    plan: silver.DimensionPlan,
+    raw_root: str,
+    dimension_root: str,
+    checkpoint: str,
+    *,
+    rejects: str | None = None,
+    clock: Clock = utc_now,
+) -> StreamingQuery:
+    """Every new raw row into a history-keeping dimension, written as its next version.
+
+    A batch that is repeated after a failure finds its rows current and changes nothing.
+    """
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        run_ts = clock()
+        if rejects:
+            append_batch(silver.dimension_rejects(batch, plan, run_ts), rejects, batch_id, column=BATCH)
+        with written(silver.dimension_batch(batch, plan, run_ts), scratch_path(spark, "dimension-batch")) as rows:
+            known = read_version(spark, dimension_root, plan.schema)
+            # One row per key by construction, so the uniqueness check is left out.
+            after = apply_history(known, rows, plan.rule, run_ts, check_unique=False)
+            write_version(after, dimension_root)
+
+    raw = spark.readStream.schema(raw_table_schema(bronze.RAW_TABLES[plan.raw_table])).parquet(raw_root)
+    return run_available(raw, load, checkpoint)
+
+
 def write_fact(
     batch: DataFrame, fact_root: str, partition_columns: Sequence[str] = silver.FACT_PARTITIONS
 ) -> None:

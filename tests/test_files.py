@@ -11,6 +11,7 @@ from saleslayers.session import scratch_path
 from saleslayers.sinks.tables import (
     append,
     append_batch,
+    drop_old_versions,
     read_version,
     replace_partitions,
     touched_partitions,
@@ -154,6 +155,8 @@ def test_versions(spark, tmp_path):
     (tmp_path / "dim" / "version=3").mkdir()  # a version that was never completed
     assert versions(spark, root) == [1, 2]
     assert as_set(read_version(spark, root, schema)) == [(1, "x"), (2, "y")]
+    drop_old_versions(spark, root, keep=1)
+    assert versions(spark, root) == [2]
 
 
 def test_replacing_partitions_leaves_the_others(spark, tmp_path):
