@@ -114,12 +114,34 @@ def touched_partitions(table: DataFrame, batch: DataFrame, partition_columns: Se
 
 
 def replace_partitions(df: DataFrame, path: str, partition_columns: Sequence[str]) -> None:
-    """Replaces just the partitions that `df` has rows for."""
-    (
-        laid_out(df, partition_columns)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_columns)
-        .parquet(path)
-    )
+    """Replaces just the partitions that `df` has rows for.
+
+    The new partitions are first written beside the table, whole, and then moved into place.
+    `finish_replacement` completes the moves if the driver dies between them.
+    """
+    laid_out(df, partition_columns).write.mode("overwrite").partitionBy(*partition_columns).parquet(_pending(path))
+    finish_replacement(df.sparkSession, path, partition_columns)
 
+
+def finish_replacement(spark: SparkSession, path: str, partition_columns: Sequence[str]) -> None:
+    """Moves completely written partitions into the table; does nothing when there are none.
+
+    To be called before reading a table that is about to be changed.
+    """
+    fs, pending, hadoop = _file_system(spark, _pending(path))
+    if not fs.exists(hadoop.Path(pending, "_SUCCESS")):
+        return
+    pattern = "/".join(f"{c}=*" for c in partition_columns)
+    for status in fs.globStatus(hadoop.Path(pending, pattern)):
+        source = status.getPath()
+        place = "/".join(source.toString().split("/")[-len(partition_columns) :])
+        target = hadoop.Path(f"{path.rstrip('/')}/{place}")
+        fs.mkdirs(target.getParent())
+        fs.delete(target, True)
+        if not fs.rename(source, target):
+            raise OSError(f"could not move {source.toString()} into the table")
+    fs.delete(pending, True)
+
+
+def _pending(path: str) -> str:
+    return f"{path.rstrip('/')}.pending"

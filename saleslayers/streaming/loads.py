@@ -23,6 +23,7 @@ from saleslayers.session import scratch_path
 from saleslayers.sinks.audit import file_audit
 from saleslayers.sinks.tables import (
     append_batch,
+    finish_replacement,
     read_version,
     replace_partitions,
     touched_partitions,
@@ -177,6 +178,7 @@ def write_fact(
     months as partitions; a table always keeps the ones it was first written with.
     """
     spark = batch.sparkSession
+    finish_replacement(spark, fact_root, partition_columns)
     with written(batch, scratch_path(spark, "fact-batch")) as rows:
         if rows.isEmpty():
             return

@@ -1,3 +1,4 @@
+import shutil
 import zipfile
 from datetime import date, datetime, timezone
 from decimal import Decimal
@@ -12,6 +13,7 @@ from saleslayers.sinks.tables import (
     append,
     append_batch,
     drop_old_versions,
+    finish_replacement,
     read_version,
     replace_partitions,
     touched_partitions,
@@ -174,6 +176,26 @@ def test_replacing_partitions_leaves_the_others(spark, tmp_path):
     )
 
 
+def test_interrupted_replacement_is_finished(spark, tmp_path):
+    path, pending = tmp_path / "fact", tmp_path / "fact.pending"
+    schema = StructType.fromDDL("v int, year int, month int")
+    append(spark.createDataFrame([(1, 2024, 1), (2, 2024, 2), (3, 2025, 1)], schema), str(path), ["year", "month"])
+    changed = spark.createDataFrame([(10, 2024, 1), (20, 2024, 2)], schema)
+    append(changed, str(pending), ["year", "month"])
+    # As after a driver lost between removing an old partition and moving the new one in.
+    shutil.rmtree(path / "year=2024" / "month=1")
+    finish_replacement(spark, str(path), ["year", "month"])
+    expected = [(3, 2025, 1), (10, 2024, 1), (20, 2024, 2)]
+    assert as_set(spark.read.schema(schema).parquet(str(path))) == sorted(expected, key=repr)
+    assert not pending.exists()
+    finish_replacement(spark, str(path), ["year", "month"])
+    # New partitions that were not completely written are not used.
+    append(changed, str(pending), ["year", "month"])
+    (pending / "_SUCCESS").unlink()
+    finish_replacement(spark, str(path), ["year", "month"])
+    assert as_set(spark.read.schema(schema).parquet(str(path))) == sorted(expected, key=repr)
+
+
 def test_repeated_batch_replaces_itself(spark, tmp_path):
     path = str(tmp_path / "raw")
     for batch_id, n in ((0, 3), (1, 4), (1, 4)):
