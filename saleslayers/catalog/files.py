@@ -20,7 +20,8 @@ from saleslayers.catalog.base import Query, bronze_table, raw
 from saleslayers.catalog.mapping import RUN_TS, RUN_TS_SQL, SECOND_TS, SECOND_TS_SQL, table
 from saleslayers.catalog.sql import FACT_COLUMNS, bronze_columns, bronze_sql, columns, fact_sql, raw_sql
 from saleslayers.catalog.upserts import FIRST_END, IN_SECOND, SECOND_START
-from saleslayers.plans import bronze
+from saleslayers.plans import bronze, jobs
+from saleslayers.plans.jobs import Layout
 from saleslayers.session import scratch_path
 from saleslayers.sinks.audit import file_audit
 from saleslayers.sinks.tables import append
@@ -211,6 +212,17 @@ def expand_archive_rows(spark, sf_dir):
     return parse_csv_lines(data_lines(lines, "customers"), schemas.CUSTOMERS)
 
 
+def land_archives(spark, sf_dir):
+    """Customers dropped as archives, unpacked into the landing folder and read from there."""
+    base = scratch_path(spark, "landed")
+    zip_rows(raw(spark, sf_dir, "customers"), f"{base}/zips", "Customers", 3)
+    layout = Layout(f"{base}/landing", f"{base}/tables")
+    jobs.land_archives(spark, layout, f"{base}/zips", RUN_TS)
+    files = landing.new_files(jobs.registry(spark, layout), "customers")
+    paths = [row.file_key for row in files.collect()]
+    return read_csv(spark, schemas.CUSTOMERS, paths)
+
+
 # --- streamed loads ----------------------------------------------------------------------
 
 
@@ -292,6 +304,7 @@ QUERIES = {
             max(createddate) AS last_created, CAST(7 AS BIGINT) AS batch_id, 'PROCESSED' AS status,
             {RUN_TS_SQL} AS processed_at FROM ({raw_sql("sale_orders")}) GROUP BY ordertype""",
     ),
+    "land_archives": Query(land_archives, raw_sql("customers")),
     "expand_archives": Query(expand_archive_rows, raw_sql("customers")),
     "stream_ingest_files": Query(stream_ingest_files, _raw_typed()),
     "stream_bronze": Query(

@@ -5,12 +5,20 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from saleslayers.plans import bronze, gold, silver
+from saleslayers.schemas import FILE_REGISTRY, STRING
 from saleslayers.session import scratch_path
-from saleslayers.sinks.tables import read_version, write_version, written
+from saleslayers.sinks.tables import append, read_version, write_version, written
+from saleslayers.sources.archives import data_lines, expand_archives
+from saleslayers.sources.files import parse_csv_lines
+from saleslayers.sources.landing import list_files, mark_processed, register
+from saleslayers.sources.tables import read_table_or_empty
 from saleslayers.streaming import loads
 
 
@@ -21,6 +29,10 @@ class Layout:
     landing: str
     root: str
 
+    @property
+    def registry(self) -> str:
+        return f"{self.root}/registry"
+
     def arrivals(self, table: str) -> str:
         return f"{self.landing}/{table}_data"
 
@@ -43,6 +55,40 @@ class Layout:
         return f"{self.root}/checkpoints/{load}"
 
 
+def land_archives(spark: SparkSession, layout: Layout, archives: str, run_ts: datetime) -> None:
+    """Unpacks a drop of ZIP archives into the landing folders and registers the files.
+
+    Values are passed on as text, in CSV files with a header below
+    `<category>_data/yyyy/MM/dd/source_zip=<archive>/`. Unpacking the same drop again on the
+    same day replaces its files.
+    """
+    landed = []
+    for name, table in bronze.RAW_TABLES.items():
+        text = StructType([StructField(column, STRING) for column in table.schema.fieldNames()])
+        lines = data_lines(expand_archives(spark, archives, category=name), name)
+        rows = parse_csv_lines(lines, text, keep=["source_zip"])
+        folder = f"{layout.arrivals(name)}/{run_ts:%Y/%m/%d}"
+        (
+            rows.withColumn("source_zip", F.regexp_extract("source_zip", "[^/]*$", 0))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("source_zip")
+            .option("header", True)
+            .csv(folder)
+        )
+        landed.append(list_files(spark, folder))
+    files = reduce(DataFrame.unionByName, landed).withColumn(
+        "source_zip", F.regexp_extract("path", "source_zip=([^/]*)/", 1)
+    )
+    unknown = files.join(registry(spark, layout).select("file_key"), "file_key", "left_anti")
+    append(register(unknown, run_ts), layout.registry)
+
+
+def registry(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The append-only registry of landed files; no rows before the first."""
+    return read_table_or_empty(spark, layout.registry, FILE_REGISTRY)
+
+
 def load_raw(spark: SparkSession, layout: Layout, name: str, run_ts: datetime) -> None:
     """New files of one kind into their raw table."""
     loads.ingest_files(
@@ -54,6 +100,11 @@ def load_raw(spark: SparkSession, layout: Layout, name: str, run_ts: datetime) -
         audit=layout.audit(name),
         clock=lambda: run_ts,
     )
+    known = registry(spark, layout)
+    read = read_table_or_empty(spark, layout.audit(name), StructType([StructField("file_key", STRING)]))
+    done = mark_processed(known, read, run_ts)
+    if not done.isEmpty():
+        append(done, layout.registry)
 
 
 def load_dimension(spark: SparkSession, layout: Layout, name: str, run_ts: datetime) -> None:

@@ -82,13 +82,18 @@ def archive_contents(spark: SparkSession, folder: str) -> DataFrame:
     return archives.mapInPandas(_contents, "source_zip STRING, entry STRING, size LONG, status STRING")
 
 
-def expand_archives(spark: SparkSession, folder: str, *, tasks: int | None = None) -> DataFrame:
+def expand_archives(
+    spark: SparkSession, folder: str, *, category: str | None = None, tasks: int | None = None
+) -> DataFrame:
     """source_zip, entry, category, line_no and line of all top-level CSV entries.
 
-    Entries of no known category keep a NULL category. `tasks` is the number of tasks that
+    Entries of no known category keep a NULL category. With `category`, only entries of that
+    one are opened. `tasks` is the number of tasks that
     share the entries, by default as many as the cluster runs at a time.
     """
     wanted = archive_contents(spark, folder).filter(F.col("status") == CSV).select("source_zip", "entry")
+    if category:
+        wanted = wanted.filter(route(F.col("entry")) == category)
     # One entry is the unit of work. The number is given because these rows are tiny: left to
     # adaptive execution they would all be put into one task.
     spread = wanted.repartition(tasks or spark.sparkContext.defaultParallelism)

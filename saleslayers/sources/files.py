@@ -28,8 +28,10 @@ def read_csv(
     )
 
 
-def parse_csv_lines(lines: DataFrame, schema: StructType, column: str = "line") -> DataFrame:
-    """Typed rows from single CSV lines held in a text column."""
+def parse_csv_lines(
+    lines: DataFrame, schema: StructType, column: str = "line", keep: Sequence[str] = ()
+) -> DataFrame:
+    """Typed rows from single CSV lines held in a text column, behind them the columns to keep."""
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     parsed = F.from_csv(F.col(column), ddl, {"mode": "PERMISSIVE"})
-    return lines.select(parsed.alias("row")).select("row.*")
+    return lines.select(parsed.alias("row"), *keep).select("row.*", *keep)

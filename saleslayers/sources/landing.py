@@ -40,13 +40,16 @@ def landing_path(category: Column, run_ts: datetime, unique: Column | None = Non
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
-    """path, modified and size of the files below a folder; contents are not read."""
+    """path, file_key, modified and size of the files below a folder; contents are not read.
+
+    file_key is the path as scans report it in `_metadata.file_path`.
+    """
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", pattern)
         .load(folder)
-        .select("path", F.col("modificationTime").alias("modified"), F.col("length").alias("size"))
+        .select("path", F.col("_metadata.file_path").alias("file_key"), F.col("modificationTime").alias("modified"), F.col("length").alias("size"))
     )
 
 
@@ -58,7 +61,8 @@ def register(files: DataFrame, run_ts: datetime) -> DataFrame:
 
 def mark_processed(registry: DataFrame, files: DataFrame, run_ts: datetime) -> DataFrame:
     """Registry rows recording that `files` (column file_key) are done; to be appended."""
-    return registry_state(registry).join(files.select("file_key").distinct(), "file_key", "left_semi").withColumns(
+    waiting = registry_state(registry).filter(F.col("status") == NEW)
+    return waiting.join(files.select("file_key").distinct(), "file_key", "left_semi").withColumns(
         {"status": F.lit(PROCESSED), "processed_at": timestamp(run_ts)}
     )
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -17,6 +18,16 @@ def read_table(spark: SparkSession, name_or_path: str, schema: StructType | None
     return reader.parquet(name_or_path)
 
 
+def read_table_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The columns of `schema` of a Parquet folder; no rows before its first write."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def rows_after(df: DataFrame, watermark: datetime | None, column: str = "ingestion_timestamp") -> DataFrame:
     """Rows stamped after the consumer's watermark; all rows when it has none yet.
 

@@ -31,7 +31,7 @@ from saleslayers.sinks.tables import (
     written,
 )
 from saleslayers.sources.files import CSV_OPTIONS
-from saleslayers.sources.tables import read_table
+from saleslayers.sources.tables import read_table_or_empty
 
 Clock = Callable[[], datetime]
 
@@ -188,9 +188,4 @@ def write_fact(
 
 def read_fact(spark: SparkSession, fact_root: str) -> DataFrame:
     """The fact table, or no rows before its first load."""
-    try:
-        return read_table(spark, fact_root, schemas.FACT_SALE_ORDERS).select(*schemas.FACT_SALE_ORDERS.fieldNames())
-    except Exception as error:
-        if "PATH_NOT_FOUND" in str(error):
-            return spark.createDataFrame([], schemas.FACT_SALE_ORDERS)
-        raise
+    return read_table_or_empty(spark, fact_root, schemas.FACT_SALE_ORDERS)

@@ -1,13 +1,15 @@
 """All layers over a few dropped files, in two rounds and with a repeated run."""
 
+import zipfile
 from datetime import date, datetime, timezone
 
 from conftest import as_set
 
 from saleslayers import schemas
 from saleslayers.plans.gold import REPORTS
-from saleslayers.plans.jobs import Layout, load_all, read_star
+from saleslayers.plans.jobs import Layout, land_archives, load_all, load_raw, read_star, registry
 from saleslayers.sinks.tables import read_version
+from saleslayers.sources.landing import registry_state
 
 FIRST, SECOND, THIRD = (datetime(2025, m, 1, tzinfo=timezone.utc) for m in (1, 2, 3))
 
@@ -29,6 +31,28 @@ def order(number, line, customer_id, quantity, day="2024-05-01", shipped="2024-0
     return f"{number},{line},{day},{shipped},M,{quantity},2.0,0.5,{customer_id},1,SUP1,WH1"
 
 
+def test_archives_are_landed_and_registered(spark, tmp_path):
+    layout = Layout(str(tmp_path / "landing"), str(tmp_path / "tables"))
+    (tmp_path / "zips").mkdir()
+    for name, people in (("one", [customer("1", "Ann", "A")]), ("two", [customer("2", "Bo", "B"), customer("1", "An", "B")])):
+        with zipfile.ZipFile(tmp_path / "zips" / f"{name}.zip", "w") as archive:
+            header = ",".join(schemas.CUSTOMERS.fieldNames())
+            archive.writestr("Customers.csv", "\n".join([header, *people]))
+            archive.writestr("readme.txt", "x")
+    for _ in range(2):  # the same drop again replaces its files
+        land_archives(spark, layout, str(tmp_path / "zips"), FIRST)
+    load_raw(spark, layout, "customers", SECOND)
+    assert as_set(spark.read.parquet(layout.raw("customers")).select("CustomerID")) == [("1",), ("2",)]
+    state = registry_state(registry(spark, layout)).filter("status = 'PROCESSED'")
+    assert as_set(state.select("source_zip", "processed_at")) == [
+        ("one.zip", datetime(2025, 2, 1)),
+        ("two.zip", datetime(2025, 2, 1)),
+    ]
+    before = registry(spark, layout).count()
+    load_raw(spark, layout, "customers", THIRD)
+    assert registry(spark, layout).count() == before
+
+
 def test_two_rounds(spark, tmp_path):
     layout = Layout(str(tmp_path / "landing"), str(tmp_path / "tables"))
     drop(layout, "customers", "a.csv", customer("1", "Ann", "A"), customer("2", "Bo", "B"), customer("x2", "Bad", "B"))
