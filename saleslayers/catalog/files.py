@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import io
 import zipfile
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 from datetime import timedelta
 
 import pandas as pd
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from saleslayers import schemas
 from saleslayers.catalog.base import Query, bronze_table, raw
 from saleslayers.catalog.mapping import RUN_TS, RUN_TS_SQL, SECOND_TS, SECOND_TS_SQL, table
-from saleslayers.catalog.sql import FACT_COLUMNS, bronze_columns, bronze_sql, columns, fact_sql, raw_sql
+from saleslayers.catalog.sql import bronze_columns, bronze_sql, columns, fact_sql, raw_sql
 from saleslayers.catalog.upserts import FIRST_END, IN_SECOND, SECOND_START
 from saleslayers.plans import bronze, jobs
 from saleslayers.plans.jobs import Layout
@@ -26,7 +26,7 @@ from saleslayers.session import scratch_path
 from saleslayers.sinks.audit import file_audit
 from saleslayers.sinks.tables import append
 from saleslayers.sources import landing
-from saleslayers.sources.archives import data_lines, expand_archives
+from saleslayers.sources.archives import data_lines, expand_archives, file_system_of
 from saleslayers.sources.files import parse_csv_lines, read_csv
 from saleslayers.sources.tables import read_table, rows_after
 from saleslayers.streaming import loads
@@ -170,16 +170,15 @@ def ingest_audit(spark, sf_dir):
 # --- archives ---------------------------------------------------------------------------
 
 
-def _zip_lines(header: str, folder: str, name: str, parts: int):
+def _zip_lines(header: str, folder: str, name: str):
     """Writes the lines of each partition as one ZIP file and returns its path."""
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow.fs import FileSystem, LocalFileSystem
         from pyspark import TaskContext
 
         number = TaskContext.get().partitionId()
         path = f"{folder}/drop-{number}.zip"
-        fs, local = (LocalFileSystem(), path) if path.startswith("/") else FileSystem.from_uri(path)
+        fs, local = file_system_of(path)
         fs.create_dir(local.rsplit("/", 1)[0])
         with fs.open_output_stream(local) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
             with archive.open(f"{name}_{number}.csv", "w", force_zip64=True) as entry:
@@ -200,7 +199,7 @@ def _zip_lines(header: str, folder: str, name: str, parts: int):
 def zip_rows(rows: DataFrame, folder: str, name: str, parts: int) -> None:
     """Drops rows as archives into a folder, as an outside system would."""
     lines = rows.select(F.to_csv(F.struct(*rows.columns)).alias("line")).repartition(parts)
-    writer = _zip_lines(",".join(rows.columns), folder, name, parts)
+    writer = _zip_lines(",".join(rows.columns), folder, name)
     lines.mapInPandas(writer, "path STRING").write.format("noop").mode("overwrite").save()
 
 

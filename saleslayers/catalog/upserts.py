@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saleslayers.catalog.base import Query, bronze_table, labelled, raw
-from saleslayers.catalog.mapping import RUN_TS, RUN_TS_SQL, SECOND_TS, SECOND_TS_SQL
+from saleslayers.catalog.mapping import RUN_TS, SECOND_TS, SECOND_TS_SQL
 from saleslayers.catalog.sql import (
     FACT_COLUMNS,
     bronze_from,

@@ -14,6 +14,7 @@ from pyspark.sql.types import StructField, StructType
 from saleslayers.plans import bronze, gold, silver
 from saleslayers.schemas import FILE_REGISTRY, STRING
 from saleslayers.session import scratch_path
+from saleslayers.sinks.dimensions import read_current, read_history
 from saleslayers.sinks.tables import append, read_version, write_version, written
 from saleslayers.sources.archives import data_lines, expand_archives
 from saleslayers.sources.files import parse_csv_lines
@@ -136,15 +137,18 @@ def load_fact(
 
 
 def read_star(spark: SparkSession, layout: Layout) -> gold.Star:
+    """The fact table and the current rows of the dimensions."""
     return gold.Star(
         loads.read_fact(spark, layout.refined("fact_sale_orders")),
-        *(
-            read_version(spark, layout.refined(name), plan.schema)
-            for name, plan in silver.DIMENSIONS.items()
-        ),
+        *(read_current(spark, layout.refined(name), plan.schema) for name, plan in silver.DIMENSIONS.items()),
     )
 
 
+def read_dimension(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
+    """A dimension with its history."""
+    return read_history(spark, layout.refined(name), silver.DIMENSIONS[name].schema)
+
+
 def refresh_report_table(spark: SparkSession, root: str, report: gold.Report, star: gold.Star, run_ts: datetime) -> DataFrame:
     """Computes a report once, merges it into its table and returns the table's new version."""
     with written(gold.report_rows(report, star, run_ts), scratch_path(spark, report.name)) as rows:

@@ -90,11 +90,14 @@ def write_version(df: DataFrame, root: str, partition_columns: Sequence[str] = (
     return number
 
 
-def drop_old_versions(spark: SparkSession, root: str, keep: int = 2) -> None:
-    """Deletes all but the newest complete versions; readers of the kept ones are not disturbed."""
+def drop_old_versions(spark: SparkSession, root: str, keep: int = 2, part: str = "") -> None:
+    """Deletes all but the newest complete versions, or one part (subfolder) of each of them.
+
+    Readers of the kept ones are not disturbed.
+    """
     fs, _, hadoop = _file_system(spark, root)
     for number in versions(spark, root)[: -max(keep, 1)]:
-        fs.delete(hadoop.Path(f"{root}/version={number}"), True)
+        fs.delete(hadoop.Path(f"{root}/version={number}/{part}".rstrip("/")), True)
 
 
 def partition_label(columns: Sequence[str]) -> Column:

@@ -24,13 +24,18 @@ UNREADABLE = "unreadable"
 _LINES_PER_BATCH = 8192
 
 
-def _open(path: str):
-    """A seekable stream on any file system that Arrow knows (local, HDFS, object stores)."""
-    from pyarrow.fs import FileSystem
+def file_system_of(path: str):
+    """Arrow's file system for a path (local, HDFS, object stores) and the path on it."""
+    from pyarrow.fs import FileSystem, LocalFileSystem
+
+    if path.startswith(("file:", "/")):
+        return LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    return FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
 
-    if path.startswith("file:"):
-        return open("/" + path[len("file:") :].lstrip("/"), "rb")
-    file_system, name = FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+
+def _open(path: str):
+    """A seekable stream."""
+    file_system, name = file_system_of(path)
     return file_system.open_input_file(name)
 
 
@@ -41,7 +46,7 @@ def _contents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 with _open(path) as stream, zipfile.ZipFile(stream) as archive:
                     # A later entry of the same name replaces an earlier one.
                     sizes = {i.filename: i.file_size for i in archive.infolist() if not i.is_dir()}
-            except zipfile.BadZipFile:
+            except (zipfile.BadZipFile, ValueError):  # ValueError: too short to seek in
                 yield pd.DataFrame({"source_zip": [path], "entry": [None], "size": [None], "status": [UNREADABLE]})
                 continue
             names = list(sizes)

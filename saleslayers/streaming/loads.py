@@ -21,13 +21,12 @@ from saleslayers.plans import bronze, silver
 from saleslayers.schemas import BIGINT, INT, TIMESTAMP
 from saleslayers.session import scratch_path
 from saleslayers.sinks.audit import file_audit
+from saleslayers.sinks.dimensions import read_current, write_dimension
 from saleslayers.sinks.tables import (
     append_batch,
     finish_replacement,
-    read_version,
     replace_partitions,
     touched_partitions,
-    write_version,
     written,
 )
 from saleslayers.sources.files import CSV_OPTIONS
@@ -159,10 +158,10 @@ def upsert_dimension(
         if rejects:
             append_batch(silver.dimension_rejects(batch, plan, run_ts), rejects, batch_id, column=BATCH)
         with written(silver.dimension_batch(batch, plan, run_ts), scratch_path(spark, "dimension-batch")) as rows:
-            known = read_version(spark, dimension_root, plan.schema)
+            current = read_current(spark, dimension_root, plan.schema)
             # One row per key by construction, so the uniqueness check is left out.
-            after = apply_history(known, rows, plan.rule, run_ts, check_unique=False)
-            write_version(after, dimension_root)
+            after = apply_history(current, rows, plan.rule, run_ts, check_unique=False)
+            write_dimension(after, dimension_root)
 
     raw = spark.readStream.schema(raw_table_schema(bronze.RAW_TABLES[plan.raw_table])).parquet(raw_root)
     return run_available(raw, load, checkpoint)

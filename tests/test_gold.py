@@ -2,7 +2,6 @@ from datetime import date, datetime, timezone
 from decimal import Decimal
 
 from conftest import as_set
-from pyspark.sql import functions as F
 
 from saleslayers import schemas
 from saleslayers.plans import gold

@@ -7,7 +7,8 @@ from conftest import as_set
 
 from saleslayers import schemas
 from saleslayers.plans.gold import REPORTS
-from saleslayers.plans.jobs import Layout, land_archives, load_all, load_raw, read_star, registry
+from saleslayers.plans.jobs import Layout, land_archives, load_all, load_raw, read_dimension, read_star, registry
+from saleslayers.sinks.dimensions import drop_old_current_rows
 from saleslayers.sinks.tables import read_version
 from saleslayers.sources.landing import registry_state
 
@@ -78,7 +79,8 @@ def test_two_rounds(spark, tmp_path):
     drop(layout, "customers", "b.csv", customer("1", "Ann", "C", phone="777"))
     drop(layout, "sale_orders", "b.csv", order("SO2", 1, "2", 5), order("SO5", 1, "1", 1, "2024-06-01", "2024-06-02"))
     load_all(spark, layout, SECOND)
-    versions = as_set(read_star(spark, layout).customers.filter("customer_id = 1").select("country", "is_current"))
+    people = read_dimension(spark, layout, "dim_customers")
+    versions = as_set(people.filter("customer_id = 1").select("country", "is_current"))
     assert versions == [("A", False), ("C", True)]
     # A group that no line belongs to any more keeps its last totals, as merges delete nothing.
     expected = sorted([("A", 6.0, 1), ("B", 10.0, 1), ("C", 8.0, 2), (None, 2.0, 1)], key=repr)
@@ -86,7 +88,17 @@ def test_two_rounds(spark, tmp_path):
 
     load_all(spark, layout, THIRD)
     assert country() == expected
-    assert read_star(spark, layout).customers.count() == 3
+    assert read_star(spark, layout).customers.count() == 2
+    assert read_dimension(spark, layout, "dim_customers").count() == 3
+    drop(layout, "customers", "c.csv", customer("1", "Ann", "C", phone="888"))
+    load_all(spark, layout, THIRD)
+    drop_old_current_rows(spark, layout.refined("dim_customers"), keep=1)
+    people = read_dimension(spark, layout, "dim_customers").filter("customer_id = 1").orderBy("start_date")
+    assert [(r.phone, r.start_date.month, r.end_date and r.end_date.month) for r in people.collect()] == [
+        ("555", 1, 2),
+        ("777", 2, 3),
+        ("888", 3, None),
+    ]
     summary = read_version(spark, layout.report("sales_summary"), schemas.SALES_SUMMARY)
     assert summary.filter("customer_name = 'Ann X'").select("sale_date").distinct().count() == 2
     assert {r.sale_date for r in summary.collect()} == {date(2024, 5, 1), date(2024, 6, 1)}
