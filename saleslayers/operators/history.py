@@ -11,7 +11,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from saleslayers.operators.merge import keys_match, require_unique
+from saleslayers.operators.merge import fail_on_copies, keys_match
 from saleslayers.operators.rows import timestamp
 
 
@@ -75,11 +75,10 @@ def apply_history(
     """
     key = [rule.key]
     compared = batch.select(*key, *rule.tracked)
-    checked = require_unique(compared, key) if check_unique else compared
     current = current_rows(dimension)
 
     matched = current.alias("tgt").join(
-        checked.withColumn("__hit", F.lit(True)).alias("src"), keys_match("tgt", "src", key), "left"
+        compared.withColumn("__hit", F.lit(True)).alias("src"), keys_match("tgt", "src", key), "left"
     )
     closes = F.col("src.__hit") & _differs(rule.tracked)
     closing = {"is_current": F.lit(False), "end_date": timestamp(run_ts)}
@@ -107,4 +106,5 @@ def apply_history(
     )
 
     past = dimension.filter(~F.coalesce(F.col("is_current"), F.lit(False)))
-    return past.unionByName(kept_or_closed).unionByName(opened)
+    after = past.unionByName(kept_or_closed).unionByName(opened)
+    return after.unionByName(fail_on_copies(compared, key, dimension.schema)) if check_unique else after

@@ -6,22 +6,29 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 Assignments = Sequence[str] | Mapping[str, "Column | str"]
 
 _HIT = "__source_row"
 
 
-def require_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The same rows; the job fails when two of them share a key (NULLs are equal)."""
-    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
-    message = F.lit(f"merge source has several rows for one key ({', '.join(keys)})")
-    checked = df.withColumn("__nth", nth)
-    return checked.filter(
-        F.when(F.col("__nth") == 1, True).otherwise(F.raise_error(message).cast("boolean"))
-    ).drop("__nth")
+def fail_on_copies(source: DataFrame, keys: Sequence[str], layout: StructType) -> DataFrame:
+    """No rows, in the given layout; reading them fails when two source rows share a key.
+
+    NULL keys are equal. Counting combines on the map side, so many copies of one key cost
+    nothing more, and only the key columns are read.
+    """
+    copies = source.groupBy(*keys).agg(F.count("*").alias("__copies"))
+    message = F.concat(
+        F.lit(f"merge source has several rows for one key ({', '.join(keys)}): "), F.col("__copies").cast("string")
+    )
+    failing = copies.filter(F.when(F.col("__copies") > 1, F.raise_error(message).cast("boolean")).otherwise(False))
+    return failing.select(
+        *[(F.col(f.name) if f.name in keys else F.lit(None)).cast(f.dataType).alias(f.name) for f in layout]
+    )
 
 
 def keys_match(left: str, right: str, keys: Sequence[str]) -> Column:
@@ -55,7 +62,7 @@ def merge(
     insert        columns of a new row: names or {column: expression over "src.x"}; other
                   columns are NULL; None means every target column, by name
     check_unique  fail when two source rows share a key; pass False only for a source that
-                  is unique by construction (saves a sort of the source)
+                  is unique by construction (saves a pass over its keys)
 
     The result has the target's columns and types.
 
@@ -70,16 +77,13 @@ def merge(
     if unknown:
         raise ValueError(f"not a column of the target: {', '.join(unknown)}")
 
-    # One checked copy of the source is enough to fail the job.
-    checked = require_unique(source, keys) if check_unique else source
-
     kept = target
     if updates:
         hit = F.col(f"src.{_HIT}").isNotNull()
         applies = hit if when is None else hit & when
         kept = (
             target.alias("tgt")
-            .join(checked.withColumn(_HIT, F.lit(True)).alias("src"), keys_match("tgt", "src", keys), "left")
+            .join(source.withColumn(_HIT, F.lit(True)).alias("src"), keys_match("tgt", "src", keys), "left")
             .select(
                 *[
                     F.when(applies, updates[f.name].cast(f.dataType)).otherwise(F.col(f"tgt.{f.name}")).alias(f.name)
@@ -97,12 +101,12 @@ def merge(
         .distinct()
     )
     added = (
-        (source if updates else checked)
-        .alias("src")
+        source.alias("src")
         .join(found.alias("found"), keys_match("src", "found", keys), "left_anti")
         .select(*[inserts.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in target.schema])
     )
-    return kept.unionByName(added)
+    after = kept.unionByName(added)
+    return after.unionByName(fail_on_copies(source, keys, target.schema)) if check_unique else after
 
 
 def merge_into_table(

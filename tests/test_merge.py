@@ -4,7 +4,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from saleslayers.operators.merge import merge, merge_into_table
+from saleslayers.operators.merge import fail_on_copies, merge, merge_into_table
 
 SCHEMA = "k int, l string, v int, w string"
 KEYS = ["k", "l"]
@@ -63,6 +63,16 @@ def test_duplicate_source_key_fails(spark, set_):
         merge(frame(spark, *TARGET), source, KEYS, set=set_).collect()
 
 
+def test_many_copies_of_one_key_are_counted_before_the_shuffle(spark):
+    source = spark.range(30000, numPartitions=4).selectExpr("1 k", "'a' l", "1 v", "'new' w")
+    check = fail_on_copies(source, KEYS, frame(spark).schema)
+    assert check.columns == frame(spark).columns
+    plan = check._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("HashAggregate") == 2 and "Window" not in plan
+    with pytest.raises(Exception, match="30000"):
+        check.count()
+
+
 def test_unknown_column_is_refused(spark):
     with pytest.raises(ValueError, match="nope"):
         merge(frame(spark, *TARGET), frame(spark, *TARGET), KEYS, set=["nope"])
