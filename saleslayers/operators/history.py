@@ -71,7 +71,7 @@ def apply_history(
     in other columns open no version. Running the same batch again changes nothing.
 
     Closed history never takes part in a join. The current rows are the left side of both
-    joins, so a small batch is broadcast and the dimension is not shuffled.
+    joins, so a small batch is broadcast and the joins do not shuffle the dimension.
     """
     key = [rule.key]
     compared = batch.select(*key, *rule.tracked)

@@ -67,7 +67,7 @@ def merge(
     The result has the target's columns and types.
 
     Shape: target LEFT JOIN source, plus source ANTI JOIN the keys found in the target. A
-    small source is broadcast by its measured size and the target is then never shuffled;
+    small source is broadcast by its measured size and the joins then do not shuffle the target;
     for a large one both sides shuffle on the keys, and a key with very many target rows
     sits on the left side of its joins, where adaptive execution can split it.
     """

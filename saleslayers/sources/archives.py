@@ -94,14 +94,16 @@ def expand_archives(
 
     Entries of no known category keep a NULL category. With `category`, only entries of that
     one are opened. `tasks` is the number of tasks that
-    share the entries, by default as many as the cluster runs at a time.
+    share the entries, by default as many as a shuffle has or the cluster runs at a time.
     """
     wanted = archive_contents(spark, folder).filter(F.col("status") == CSV).select("source_zip", "entry")
     if category:
         wanted = wanted.filter(route(F.col("entry")) == category)
     # One entry is the unit of work. The number is given because these rows are tiny: left to
     # adaptive execution they would all be put into one task.
-    spread = wanted.repartition(tasks or spark.sparkContext.defaultParallelism)
+    if tasks is None:
+        tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    spread = wanted.repartition(tasks)
     lines = spread.mapInPandas(_entry_lines, "source_zip STRING, entry STRING, line_no LONG, line STRING")
     return lines.select("source_zip", "entry", route(F.col("entry")).alias("category"), "line_no", "line")
 
