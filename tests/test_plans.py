@@ -1,10 +1,13 @@
 """Plan shapes that decide how the queries behave on large and skewed tables."""
 
+from contextlib import contextmanager
+
 import pytest
 from pyspark.sql import functions as F
 
 from saleslayers.catalog.mapping import RUN_TS
 from saleslayers.catalog.registry import QUERIES
+from saleslayers.operators.merge import merge
 from saleslayers.plans import gold
 from saleslayers.plans.gold import Star
 
@@ -12,6 +15,30 @@ from saleslayers.plans.gold import Star
 FILES = ("scan_", "append_", "stream_", "ingest_", "expand_", "evolve_repartition", "evolve_chain")
 
 
+LIMITS = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.shuffle.partitions": "8",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+@contextmanager
+def shuffle_joins_only(spark):
+    """No broadcast, and sizes at which a test table already counts as skewed."""
+    before = {k: spark.conf.get(k, None) for k in LIMITS}
+    try:
+        for key, value in LIMITS.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -49,19 +76,7 @@ def test_hot_customer_is_split_when_the_dimension_is_too_large_to_broadcast(spar
     )
     fact.write.parquet(str(tmp_path / "f"))
     customers.write.parquet(str(tmp_path / "c"))
-    limits = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.shuffle.partitions": "8",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.coalescePartitions.enabled": "false",
-    }
-    before = {k: spark.conf.get(k, None) for k in limits}
-    try:
-        for key, value in limits.items():
-            spark.conf.set(key, value)
+    with shuffle_joins_only(spark):
         nothing = spark.createDataFrame([], "x int")
         star = Star(
             spark.read.parquet(str(tmp_path / "f")),
@@ -73,8 +88,28 @@ def test_hot_customer_is_split_when_the_dimension_is_too_large_to_broadcast(spar
         report = gold.by_country(star, RUN_TS)
         total = report.collect()
         plan = report._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     assert sum(r.total_quantity_sold for r in total) == rows
     assert "skew=true" in plan
+
+
+def test_hot_target_key_is_split_in_a_merge(spark, tmp_path):
+    """A third of the target's rows share one key and are all updated."""
+    rows = 300_000
+    spark.range(rows, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"),
+        F.lit(0).alias("v"),
+        F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+    ).write.parquet(str(tmp_path / "target"))
+    spark.range(-1000, 100_000).select(
+        F.col("id").alias("k"), F.lit(1).alias("v"), F.lit("new").alias("payload")
+    ).write.parquet(str(tmp_path / "source"))
+    with shuffle_joins_only(spark):
+        target, source = (spark.read.parquet(str(tmp_path / n)) for n in ("target", "source"))
+        after = merge(target, source, ["k"], set=["v"]).groupBy("v").count()
+        counts = {r.v: r["count"] for r in after.collect()}
+        plan = plan_of(after)
+    known = [i for i in range(rows) if i % 3]
+    updated = 100_000 + sum(i < 100_000 for i in known)
+    added = 1000 + sum(1 for i in range(1, 100_000) if i % 3 == 0)
+    assert counts == {0: rows - updated, 1: updated + added}
+    assert "skew=true" in plan
