@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from saleslayers.catalog.base import Query
-from saleslayers.llm import quality_rules, sql
+from saleslayers.llm import packing, quality_rules, sharding, sql, token_files, tokens
 from saleslayers.llm.common import table
+from saleslayers.session import scratch_path
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +17,32 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[f"q.{f}" for f in fields])
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
+    narrow = table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text).alias("text_crc32")
+    )
+    placed = sharding.shard(narrow, ["doc_id", "text_crc32", "size"], shards=40)
+    return placed.withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")}).select(
+        "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"
+    )
+
+
+def op6_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "token-ids")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    parts = token_files.write_ids(docs, folder, tokens.default_tokenizer(), end_id=2)
+    return token_files.read_ids(spark, folder, parts)
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack_documents(docs, tokens.default_tokenizer(), end_id=1, capacity=2048)
+
+
 QUERIES = {
     "op2_quality_rules": Query(op2_quality_rules, sql.OP2),
+    "op5_sharding": Query(op5_sharding),
+    "op6_token_ids": Query(op6_token_ids),
+    "op7_packing": Query(op7_packing),
 }
