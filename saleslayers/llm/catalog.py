@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saleslayers.catalog.base import Query
-from saleslayers.llm import packing, quality_rules, sharding, sql, token_files, tokens
+from saleslayers.llm import decontamination, packing, quality_rules, sharding, sql, token_files, tokens
 from saleslayers.llm.common import table
 from saleslayers.session import scratch_path
 
@@ -17,6 +17,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[f"q.{f}" for f in fields])
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
     narrow = table(spark, sf_dir, "documents").select(
@@ -42,6 +46,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_quality_rules": Query(op2_quality_rules, sql.OP2),
+    "op4_decontamination": Query(op4_decontamination, sql.OP4),
     "op5_sharding": Query(op5_sharding),
     "op6_token_ids": Query(op6_token_ids),
     "op7_packing": Query(op7_packing),

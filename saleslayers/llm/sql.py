@@ -33,3 +33,23 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
   NOT base_failed AND NOT lost * 100 > n_words * 40 AS kept
 FROM v
 """
+
+_ITEM_WORDS = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+
+OP4 = rf"""
+WITH items AS (SELECT item_id, {_ITEM_WORDS} AS w FROM benchmark),
+docs AS (SELECT doc_id, {_ITEM_WORDS} AS w FROM documents),
+item_starts AS (SELECT item_id, w, least(len(w), 10) AS n, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM items WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, n, array_to_string(w[s:s+n-1], ' ') AS t FROM item_starts),
+sizes AS (SELECT DISTINCT n FROM windows),
+doc_starts AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM docs, sizes WHERE len(w) >= n),
+doc_windows AS (SELECT doc_id, n, s, array_to_string(w[s:s+n-1], ' ') AS t FROM doc_starts),
+found AS (SELECT d.doc_id, d.s, d.n, i.item_id FROM doc_windows d JOIN windows i ON d.t = i.t AND d.n = i.n),
+places AS (SELECT DISTINCT doc_id, unnest(range(s, s + n)) AS p FROM found),
+hits AS (SELECT doc_id, count(*) AS n_hit FROM places GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS l
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS i FROM found) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(l, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
