@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saleslayers.catalog.base import Query
-from saleslayers.llm import decontamination, packing, quality_rules, sharding, sql, token_files, tokens
+from saleslayers.llm import decontamination, packing, quality_rules, sharding, sql, token_files, tokens, url_filter
 from saleslayers.llm.common import table
 from saleslayers.session import scratch_path
 
@@ -44,10 +44,20 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, tokens.default_tokenizer(), end_id=1, capacity=2048)
 
 
+#: The rules of the page query.
+URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = url_filter.fit(url_filter.labelled_urls(spark))
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES, model).drop("block_probability")
+
+
 QUERIES = {
     "op2_quality_rules": Query(op2_quality_rules, sql.OP2),
     "op4_decontamination": Query(op4_decontamination, sql.OP4),
     "op5_sharding": Query(op5_sharding),
     "op6_token_ids": Query(op6_token_ids),
     "op7_packing": Query(op7_packing),
+    "op9_url_filter": Query(op9_url_filter),
 }
