@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saleslayers.catalog.base import Query
-from saleslayers.llm import decontamination, packing, quality_rules, sharding, sql, token_files, tokens, url_filter
+from saleslayers.llm import decontamination, near_duplicates, packing, quality_rules, sharding, sql, token_files, tokens, url_filter
 from saleslayers.llm.common import table
 from saleslayers.session import scratch_path
 
@@ -44,6 +44,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, tokens.default_tokenizer(), end_id=1, capacity=2048)
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.link(table(spark, sf_dir, "documents"))
+
+
 #: The rules of the page query.
 URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
 
@@ -59,5 +63,6 @@ QUERIES = {
     "op5_sharding": Query(op5_sharding),
     "op6_token_ids": Query(op6_token_ids),
     "op7_packing": Query(op7_packing),
+    "op8_near_duplicates": Query(op8_near_duplicates, sql.OP8),
     "op9_url_filter": Query(op9_url_filter),
 }

@@ -53,3 +53,24 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
   sha256(coalesce(l, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs d LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+OP8 = rf"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+starts AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM t WHERE len(w) > 0),
+shingles AS (SELECT DISTINCT doc_id, array_to_string(w[i:i+4], ' ') AS s FROM starts),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id),
+links AS (
+  SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * k >= 75 * (p.n + q.n - k)),
+reach AS (
+  SELECT doc_id, doc_id AS c FROM t
+  UNION SELECT l.y, r.c FROM reach r JOIN links l ON l.x = r.doc_id AND r.c < l.y),
+least_id AS (SELECT doc_id, min(c) AS c FROM reach GROUP BY doc_id)
+SELECT t.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, c AS component_id, c = t.doc_id AS kept
+FROM t JOIN least_id USING (doc_id) LEFT JOIN sizes USING (doc_id)
+"""
