@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saleslayers.catalog.base import Query
-from saleslayers.llm import decontamination, near_duplicates, packing, quality_rules, sharding, sql, token_files, tokens, url_filter
+from saleslayers.llm import decontamination, near_duplicates, packing, quality_rules, repeated_text, sharding, sql, token_files, tokens, url_filter
 from saleslayers.llm.common import table
 from saleslayers.session import scratch_path
 
@@ -57,6 +57,10 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES, model).drop("block_probability")
 
 
+def op10_repeated_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_text.deduplicate(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_quality_rules": Query(op2_quality_rules, sql.OP2),
     "op4_decontamination": Query(op4_decontamination, sql.OP4),
@@ -65,4 +69,5 @@ QUERIES = {
     "op7_packing": Query(op7_packing),
     "op8_near_duplicates": Query(op8_near_duplicates, sql.OP8),
     "op9_url_filter": Query(op9_url_filter),
+    "op10_repeated_text": Query(op10_repeated_text),
 }

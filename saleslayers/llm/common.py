@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -65,3 +67,10 @@ def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
     before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     bases = sizes.select(part, F.coalesce(F.sum("count").over(before), F.lit(0)).alias(base))
     return split.join(bases, part).withColumn(name, F.col(local) + F.col(base)).drop(local, part, base)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of steps whose results are written: it does so once the driver's
+    objects for them are collected, which in a long job may be too late for the disks."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
