@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saleslayers.catalog.base import Query
-from saleslayers.llm import decontamination, near_duplicates, packing, quality_rules, repeated_text, sharding, sql, token_files, tokens, url_filter
+from saleslayers.llm import decontamination, near_duplicates, packing, quality_rules, repeated_text, sharding, sql, suffix_tree, token_files, tokens, url_filter
 from saleslayers.llm.common import table
 from saleslayers.session import scratch_path
 
@@ -17,6 +17,11 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[f"q.{f}" for f in fields])
 
 
+def op3_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    return suffix_tree.score_documents(table(spark, sf_dir, "documents"), held_out)
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -63,6 +68,7 @@ def op10_repeated_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_quality_rules": Query(op2_quality_rules, sql.OP2),
+    "op3_suffix_tree": Query(op3_suffix_tree),
     "op4_decontamination": Query(op4_decontamination, sql.OP4),
     "op5_sharding": Query(op5_sharding),
     "op6_token_ids": Query(op6_token_ids),
