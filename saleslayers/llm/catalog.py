@@ -6,11 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saleslayers.catalog.base import Query
-from saleslayers.llm import decontamination, near_duplicates, packing, quality_rules, repeated_text, sharding, sql, suffix_tree, token_files, tokens, url_filter
+from saleslayers.llm import decontamination, near_duplicates, packing, pii, quality_rules, repeated_text, sharding, sql, suffix_tree, token_files, tokens, url_filter
 from saleslayers.llm.common import table
 from saleslayers.session import scratch_path
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
     judged = quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"), into="q")
@@ -67,6 +71,7 @@ def op10_repeated_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pii": Query(op1_pii),
     "op2_quality_rules": Query(op2_quality_rules, sql.OP2),
     "op3_suffix_tree": Query(op3_suffix_tree),
     "op4_decontamination": Query(op4_decontamination, sql.OP4),
