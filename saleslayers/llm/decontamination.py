@@ -17,7 +17,6 @@ K = 5
 
 #: What separates words (after lower-casing): ASCII but letters and digits.
 _SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def benchmark_words(text: Column) -> Column:
@@ -45,8 +44,8 @@ def fingerprints(tokens: str, length: int) -> Column:
     )
 
 
-def _window_text(tokens: str, start: Column, length: int) -> Column:
-    return F.array_join(F.slice(F.col(tokens), start + 1, length), " ")
+def _benchmark_window(size: int) -> Callable[[Column, Column], Column]:
+    return lambda fp, i: F.struct(F.array_join(F.slice("w", i + 1, size), " ").alias("window"), fp.alias("fp"))
 
 
 def benchmark_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -55,7 +54,7 @@ def benchmark_windows(items: DataFrame, id_col: str = "item_id", text_col: str =
     rows = rows.where(F.size("w") > 0).withColumn("size", F.least(F.size("w"), F.lit(WINDOW)))
     by_size = []
     for size in range(1, WINDOW + 1):
-        starts = F.transform(fingerprints("w", size), lambda fp, i: F.struct(_window_text("w", i, size).alias("window"), fp.alias("fp")))
+        starts = F.transform(fingerprints("w", size), _benchmark_window(size))
         by_size.append(rows.where(F.col("size") == size).select("item_id", "size", F.inline(starts)))
     held = written(reduce(DataFrame.union, by_size).distinct(), "benchmark-windows")
     windows = held.select("size", "window", "fp").distinct().withColumn("wid", F.monotonically_increasing_id())
@@ -63,47 +62,58 @@ def benchmark_windows(items: DataFrame, id_col: str = "item_id", text_col: str =
     return windows, held.join(windows.select("wid", "window", "size"), ["window", "size"]).select("wid", "item_id").distinct()
 
 
-def _run_windows(size: int) -> Callable[[Column], Column]:
-    """For a run of equal fingerprints from a start on: its windows with their starts. Needs the columns fps and w."""
+def _runs(size: int) -> Column:
+    """Runs of neighbouring windows with one fingerprint, from the columns w and fps: fp, at (the first start), context.
 
-    def windows(run: Column) -> Column:
-        ahead = F.sequence(run["at"], F.least(run["at"] + (WINDOW - 1), F.size("fps") - 1))
-        mine = F.filter(ahead, lambda s: F.get("fps", s) == run["fp"])
-        return F.transform(mine, lambda s: F.struct(s.alias("start"), _window_text("w", s, size).alias("window")))
-
-    return windows
-
-
-def occurrences(docs: DataFrame, windows: DataFrame) -> DataFrame:
-    """Where benchmark windows occur: doc_id, h, wid, start, size. docs has doc_id, h and text.
-
-    A document is cut into runs of at most WINDOW starts with one fingerprint. Only runs whose fingerprint the
-    benchmark has are looked at again, window by window, as whole words.
+    A run has as many windows as a window has k-grams at most; where repeated words would make it
+    longer, each further start opens another. The context is the words that all its windows span.
     """
-    sizes = sorted(r["size"] for r in windows.select("size").distinct().collect())  # ten at most
-    tokens = docs.select("doc_id", "h", benchmark_words(F.col("text")).alias("w"))
-    found, candidates = [], []
+    per_window = size - min(K, size) + 1
+    fps, words = F.col("fps"), F.col("w")
+
+    def run(fp: Column, i: Column) -> Column:
+        opens = (i == 0) | (F.get(fps, i - 1) != fp) | F.coalesce(F.get(fps, i - per_window) == fp, F.lit(False))
+        context = F.array_join(F.slice(words, i + 1, per_window + size - 1), " ")
+        return F.when(opens, F.struct(fp.alias("fp"), i.alias("at"), context.alias("context")))
+
+    return F.filter(F.transform(fps, run), lambda r: r.isNotNull())
+
+
+def _contexts(keyed: DataFrame, windows: DataFrame, sizes: list[int]) -> DataFrame:
+    """One pass over the texts: the runs whose fingerprint the benchmark has (doc_id, h, size, at, context), and a
+    row for each document with size 0 and its number of words as `at`."""
+    tokens = keyed.select("doc_id", "h", benchmark_words(F.col("text")).alias("w"))
+    # The document's own row takes part in the join under the hash of its text, so that these rows are spread.
+    own = F.struct(F.col("h").alias("fp"), (-1 - F.size("w")).alias("at"), F.lit("").alias("context"))
+    found = []
+    for size in sizes or [WINDOW]:
+        marked = tokens.withColumn("fps", fingerprints("w", size))
+        runs = _runs(size) if size != (sizes or [WINDOW])[0] else F.concat(F.array(own), _runs(size))
+        known = windows.where(F.col("size") == size).select("fp").distinct().withColumn("known", F.lit(True))
+        rows = marked.select("doc_id", "h", F.inline(runs)).join(known, "fp", "left").where("known OR at < 0")
+        is_own = F.col("at") < 0
+        found.append(rows.select("doc_id", "h", F.when(is_own, 0).otherwise(size).alias("size"), F.when(is_own, -1 - F.col("at")).otherwise(F.col("at")).alias("at"), "context"))
+    return written(reduce(DataFrame.union, found), "fingerprint-hits")
+
+
+def _occurrences(contexts: DataFrame, windows: DataFrame, sizes: list[int]) -> DataFrame:
+    """Where benchmark windows occur, word for word: doc_id, h, wid, start, size."""
+    found = []
     for size in sizes:
-        marked = tokens.where(F.size("w") >= size).select("doc_id", "h", fingerprints("w", size).alias("fps"))
-        fps = F.col("fps")
-        runs = F.filter(
-            F.transform(fps, lambda fp, i: F.when((i % WINDOW == 0) | (F.get(fps, i - 1) != fp), F.struct(fp.alias("fp"), i.alias("at")))),
-            lambda run: run.isNotNull(),
-        )
-        known = windows.where(F.col("size") == size).select("fp").distinct()
-        found.append(marked.select("doc_id", "h", F.inline(runs)).join(known, "fp", "left_semi").withColumn("size", F.lit(size)))
+        per_window = size - min(K, size) + 1
+        words = F.split("context", " ")
+        last = F.least(F.lit(per_window - 1), F.size(words) - size)
+        spots = F.transform(F.sequence(F.lit(0), last), _window_at(words, size))
+        rows = contexts.where(F.col("size") == size).select("doc_id", "h", F.inline(spots))
+        known = windows.where(F.col("size") == size).select("window", "wid")
+        found.append(rows.join(known, "window").select("doc_id", "h", "wid", "start", F.lit(size).alias("size")))
     if not found:
-        return docs.sparkSession.createDataFrame([], "doc_id long, h long, wid long, start int, size int")
-    hits = written(reduce(DataFrame.union, found), "fingerprint-hits")
-    for size in sizes:
-        per_doc = hits.where(F.col("size") == size).groupBy("doc_id", "h").agg(F.collect_list(F.struct("fp", "at")).alias("runs"))
-        again = _same_document(tokens, per_doc, "inner").select("doc_id", "h", "runs", "w")
-        again = again.withColumn("fps", fingerprints("w", size))
+        return contexts.sparkSession.createDataFrame([], "doc_id long, h long, wid long, start int, size int")
+    return reduce(DataFrame.union, found)
 
-        spots = again.select("doc_id", "h", F.inline(F.flatten(F.transform("runs", _run_windows(size)))))
-        known = windows.where(F.col("size") == size).select("window", "wid")
-        candidates.append(spots.join(known, "window").select("doc_id", "h", "wid", "start", F.lit(size).alias("size")))
-    return reduce(DataFrame.union, candidates)
+
+def _window_at(words: Column, size: int) -> Callable[[Column], Column]:
+    return lambda s: F.struct((F.col("at") + s).alias("start"), F.array_join(F.slice(words, s + 1, size), " ").alias("window"))
 
 
 def _same_document(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
@@ -123,7 +133,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     text = F.coalesce(F.col(text_col), F.lit(""))
     keyed = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("h"))
     windows, members = benchmark_windows(items)
-    spots = written(occurrences(keyed, windows), "occurrences")
+    sizes = sorted(r["size"] for r in windows.select("size").distinct().collect())  # ten at most
+    contexts = _contexts(keyed, windows, sizes)
+    spots = written(_occurrences(contexts, windows, sizes), "occurrences")
     # Repeated rows find the same spots again, so they count once.
     covered = F.flatten(F.transform("o", lambda o: F.sequence(o["start"], o["start"] + o["size"] - 1)))
     hit = (
@@ -136,7 +148,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
         .groupBy("doc_id", "h").agg(F.array_sort(F.collect_set("item")).alias("items"))
     )
     marks = _same_document(hit, listed, "left")
-    counted = keyed.select("doc_id", "h", F.regexp_count("text", F.lit(_WORD_ANY_CASE)).cast("long").alias("n_words"))
+    counted = contexts.where("size = 0").select("doc_id", "h", F.col("at").cast("long").alias("n_words"))
     items_found = F.coalesce("items", F.array().cast("array<string>"))
     return _same_document(counted, marks, "left").select(
         "doc_id",
