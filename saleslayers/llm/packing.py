@@ -89,8 +89,7 @@ def cut(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, with_ids: b
         enc = encoder(tokenizer)
         for batch in batches:
             rows: list[list] = [[] for _ in names]
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
-            for doc_id, found in zip(batch.column(0).to_pylist(), enc.encode(texts)):
+            for doc_id, found in zip(batch.column(0).to_pylist(), enc.encode(batch.column(1))):
                 ids = np.append(found, end_id).astype("<u4")
                 for start in range(0, len(ids), capacity):
                     piece = ids[start : start + capacity]

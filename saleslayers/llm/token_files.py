@@ -84,7 +84,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int, id_col:
             if batch.column(0).null_count:
                 raise ValueError("a document id is null")
             out = out or _Writer(folder, number)
-            ids = enc.encode(batch.column(1).cast(pa.binary()).to_pylist())
+            ids = enc.encode(batch.column(1))
             out.write(batch.column(0).to_numpy(), [np.concatenate([x, end]) for x in ids])
         if out:
             out.close()

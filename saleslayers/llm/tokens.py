@@ -6,11 +6,14 @@ import os
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Words remembered by a worker; at this number the memory is emptied. Bounds memory, never the result.
-REMEMBERED = 800_000
-#: Words handed to the tokenizer at once.
+#: Words remembered by a worker; beyond this number the memory is emptied. Bounds memory, never the result.
+REMEMBERED = 1_500_000
+#: Words handed to the tokenizer at once, and bytes of text whose words are looked up together.
 AT_ONCE = 4096
+TEXT_AT_ONCE = 4_000_000
 
 
 def default_tokenizer() -> str:
@@ -34,47 +37,85 @@ class WordEncoder:
         self._tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2") if self._tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self._known: dict[bytes, bytes] = {}
-        self._point = self._ids([b"."])[0], self._ids([b","])[0]
+        self._point = {m: self._each([m])[0] for m in (b".", b",")}
+        vocabulary = self._tokenizer.get_vocab()
+        self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
-    def _ids(self, words: list[bytes]) -> list[bytes]:
+    def _each(self, words: list[bytes]) -> list[bytes]:
         texts = [w.decode("utf-8", "replace") for w in words]
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, dtype=self.dtype).tobytes() for x in found]
 
-    def _learn(self, new: set[bytes]) -> None:
-        """All words of a text; the memory holds them afterwards, however many they are."""
+    def _letters(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words of letters only: encoded as one text, whose ids part after each word's end."""
+        text = b" ".join(words).decode("utf-8")
+        ids = np.array(self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=self.dtype)
+        ends = np.flatnonzero(self._ends[ids]) + 1
+        if len(ends) != len(words):  # a tokenizer without word ends, or another notion of letters
+            return self._each(words)
+        data, width = ids.tobytes(), self.dtype.itemsize
+        at = [0, *(ends * width).tolist()]
+        return [data[a:b] for a, b in zip(at, at[1:])]
+
+    def _learn(self, words: set[bytes]) -> None:
+        """The memory holds all these words afterwards, however many they are."""
         known = self._known
-        fresh = {w for w in new if w not in known}
-        if len(known) + len(fresh) > REMEMBERED:
+        new = [w for w in words if w not in known]
+        if len(known) + len(new) > REMEMBERED:
             known.clear()
-            fresh = new
-        # A plain English word has the ids of its lower case, and of itself before a point or comma.
-        plain = {}
-        for w in fresh:
-            core, mark = (w[:-1], w[-1:]) if w[-1:] in (b".", b",") else (w, b"")
-            if core.isalpha():
-                plain[w] = core.lower(), mark
-        cores = {c for c, _ in plain.values()} | {w for w in fresh if w not in plain}
-        todo = [w for w in cores if w not in known]
-        for i in range(0, len(todo), AT_ONCE):
-            known.update(zip(todo[i : i + AT_ONCE], self._ids(todo[i : i + AT_ONCE])))
-        for w, (core, mark) in plain.items():
-            known[w] = known[core] + (self._point[mark == b","] if mark else b"")
-
-    def encode(self, texts: list[bytes | None]) -> list[np.ndarray]:
-        """Ids of each text, in UTF-8; null is empty. bytes.split parts at ASCII white space only."""
-        out = []
-        known = self._known
-        for text in texts:
-            words = (text or b"").split()
-            try:
-                packed = b"".join([known[w] for w in words])
-            except KeyError:
-                self._learn(set(words))
-                packed = b"".join([known[w] for w in words])
-            out.append(np.frombuffer(packed, dtype=self.dtype))
+            new = words
+        same, letters, others = {}, set(), []
+        for w in new:
+            # A word of letters has the ids of its lower case, and a point or comma after it stands alone.
+            core, mark = (w[:-1], w[-1:]) if w[-1:] in self._point else (w, b"")
+            if core.isalpha():  # ASCII letters
+                low = core.lower()
+            else:
+                text = core.decode("utf-8", "replace")
+                if not text.isalpha() or max(text) > "\u012f":  # beyond, a lower case may depend on its place
+                    others.append(w)
+                    continue
+                low = text.lower().encode()
+            if low not in known:
+                letters.add(low)
+            if low != w:
+                same[w] = low, mark
+        for kind, todo in ((self._letters, list(letters)), (self._each, others)):
+            for i in range(0, len(todo), AT_ONCE):
+                known.update(zip(todo[i : i + AT_ONCE], kind(todo[i : i + AT_ONCE])))
+        for w, (low, mark) in same.items():
+            known[w] = known[low] + self._point[mark] if mark else known[low]
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text of a string array; null is empty. Words part at ASCII white space only."""
+        out, a = [], 0
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+        while a < len(texts):
+            done = sizes[a - 1] if a else 0
+            b = max(a + 1, int(np.searchsorted(sizes, done + TEXT_AT_ONCE, "right")))
+            out += self._encode(pc.fill_null(texts.slice(a, b - a), ""))
+            a = b
         return out
 
+    def _encode(self, texts: pa.Array) -> list[np.ndarray]:
+        split = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
+        coded = split.flatten().dictionary_encode()
+        distinct = coded.dictionary.cast(pa.large_binary()).to_pylist()
+        self._learn(set(distinct) - {b""})
+        found = [self._known[w] if w else b"" for w in distinct]
+        ids = np.frombuffer(b"".join(found), dtype=self.dtype)
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // self.dtype.itemsize
+        starts = np.cumsum(lengths) - lengths
+        word = coded.indices.to_numpy()
+        sizes = lengths[word]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        # Each word's ids, one after the other: its start, and then one more for each further id.
+        all_ids = ids[np.repeat(starts[word] - ends[:-1], sizes) + np.arange(ends[-1])]
+        offsets = split.offsets.to_numpy()
+        at = ends[offsets - offsets[0]]
+        return [all_ids[x:y] for x, y in zip(at[:-1], at[1:])]
+
 
 @lru_cache(maxsize=1)
 def encoder(path: str) -> WordEncoder:
