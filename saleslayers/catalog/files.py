@@ -7,6 +7,7 @@ shared scratch space.
 from __future__ import annotations
 
 import io
+import uuid
 import zipfile
 from collections.abc import Iterator
 from datetime import timedelta
@@ -26,7 +27,7 @@ from saleslayers.session import scratch_path
 from saleslayers.sinks.audit import file_audit
 from saleslayers.sinks.tables import append
 from saleslayers.sources import landing
-from saleslayers.sources.archives import data_lines, expand_archives, file_system_of
+from saleslayers.sources.archives import data_lines, expand_archives, file_system_of, qualified
 from saleslayers.sources.files import parse_csv_lines, read_csv
 from saleslayers.sources.tables import read_table, rows_after
 from saleslayers.streaming import loads
@@ -83,12 +84,13 @@ def append_roundtrip(spark, sf_dir):
 
 
 def scan_table(spark, sf_dir):
-    """A catalog table, read by name."""
-    name = "saleslayers_scan_suppliers"
-    bronze_table(spark, sf_dir, "suppliers").write.mode("overwrite").option(
-        "path", scratch_path(spark, "table")
-    ).saveAsTable(name)
-    return read_table(spark, name)
+    """A catalog table, read by name. Its name is its own and goes once the table is resolved; the files stay."""
+    name = f"saleslayers_scan_{uuid.uuid4().hex}"
+    bronze_table(spark, sf_dir, "suppliers").write.option("path", scratch_path(spark, "table")).saveAsTable(name)
+    rows = read_table(spark, name)
+    rows.schema
+    spark.sql(f"DROP TABLE {name}")  # external: the catalog entry alone
+    return rows
 
 
 def scan_new_loads(spark, sf_dir):
@@ -196,30 +198,71 @@ def _zip_lines(header: str, folder: str, name: str):
     return write
 
 
-def zip_rows(rows: DataFrame, folder: str, name: str, parts: int) -> None:
-    """Drops rows as archives into a folder, as an outside system would."""
-    lines = rows.select(F.to_csv(F.struct(*rows.columns)).alias("line")).repartition(parts)
+def zip_rows(rows: DataFrame, folder: str, name: str) -> None:
+    """Drops rows as archives into a folder, as an outside system would: one archive per partition of the rows."""
+    folder = qualified(rows.sparkSession, folder)
+    lines = rows.select(F.to_csv(F.struct(*rows.columns)).alias("line"))
     writer = _zip_lines(",".join(rows.columns), folder, name)
     lines.mapInPandas(writer, "path STRING").write.format("noop").mode("overwrite").save()
 
 
+def _drop_damaged(spark, folder: str, name: str) -> None:
+    """An archive with a damaged entry and one without data rows, and a file that is no archive."""
+    header = ",".join(schemas.CUSTOMERS.fieldNames())
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_STORED) as archive:
+        archive.writestr(f"{name}_damaged.csv", header + "\nNobody,at,all")
+        archive.writestr(f"{name}_empty.csv", header + "\n")
+    files, place = file_system_of(qualified(spark, folder))
+    for file, data in (("damaged.zip", packed.getvalue().replace(b"Nobody", b"nobody")), ("broken.zip", b"no archive")):
+        with files.open_output_stream(f"{place}/{file}") as out:
+            out.write(data)
+
+
 def expand_archive_rows(spark, sf_dir):
-    """Customers dropped as archives, read back as typed rows."""
+    """Customers dropped as archives, read back as typed rows; damaged ones beside them change nothing."""
     folder = scratch_path(spark, "zips")
-    zip_rows(raw(spark, sf_dir, "customers"), folder, "Customers", 3)
+    zip_rows(raw(spark, sf_dir, "customers").hint("rebalance"), folder, "Customers")
+    _drop_damaged(spark, folder, "Customers")
     lines = expand_archives(spark, folder)
     return parse_csv_lines(data_lines(lines, "customers"), schemas.CUSTOMERS)
 
 
 def land_archives(spark, sf_dir):
-    """Customers dropped as archives, unpacked into the landing folder and read from there."""
+    """Customers dropped as archives, among damaged ones, unpacked into the landing folder and read from there."""
     base = scratch_path(spark, "landed")
-    zip_rows(raw(spark, sf_dir, "customers"), f"{base}/zips", "Customers", 3)
+    zip_rows(raw(spark, sf_dir, "customers").hint("rebalance"), f"{base}/zips", "Customers")
+    _drop_damaged(spark, f"{base}/zips", "Customers")
+    layout = Layout(f"{base}/landing", f"{base}/tables")
+    jobs.land_archives(spark, layout, f"{base}/zips", RUN_TS)
+    return read_csv(spark, schemas.CUSTOMERS, f"{layout.arrivals('customers')}/{RUN_TS:%Y/%m/%d}")
+
+
+def land_archives_same_name(spark, sf_dir):
+    """Two drops of one day whose archives have equal names, each landed twice: all rows are there once."""
+    base = scratch_path(spark, "landed-twice")
+    layout = Layout(f"{base}/landing", f"{base}/tables")
+    rows = raw(spark, sf_dir, "customers")
+    even = F.col("CustomerID").cast("int") % 2 == 0
+    for number, part in enumerate((even, ~even)):
+        zip_rows(rows.filter(part), f"{base}/drop{number}", "Customers")
+        for _ in range(2):
+            jobs.land_archives(spark, layout, f"{base}/drop{number}", RUN_TS)
+    return read_csv(spark, schemas.CUSTOMERS, f"{layout.arrivals('customers')}/{RUN_TS:%Y/%m/%d}")
+
+
+def landed_registry(spark, sf_dir):
+    """What the registry holds of such a drop after a raw load: entries by status, and rows read from files."""
+    base = scratch_path(spark, "registered")
+    zip_rows(raw(spark, sf_dir, "customers").coalesce(1), f"{base}/zips", "Customers")
+    _drop_damaged(spark, f"{base}/zips", "Customers")
     layout = Layout(f"{base}/landing", f"{base}/tables")
     jobs.land_archives(spark, layout, f"{base}/zips", RUN_TS)
-    files = landing.new_files(jobs.registry(spark, layout), "customers")
-    paths = [row.file_key for row in files.collect()]
-    return read_csv(spark, schemas.CUSTOMERS, paths)
+    jobs.load_raw(spark, layout, "customers", SECOND_TS)
+    state = landing.registry_state(jobs.registry(spark, layout))
+    audit = read_table(spark, layout.audit("customers")).select("file_key", "row_count")
+    rows = F.coalesce(F.sum("row_count"), F.lit(0)).alias("row_count")
+    return state.join(audit, "file_key", "left").groupBy("status").agg(F.count("*").alias("entries"), rows)
 
 
 # --- streamed loads ----------------------------------------------------------------------
@@ -304,6 +347,13 @@ QUERIES = {
             {RUN_TS_SQL} AS processed_at FROM ({raw_sql("sale_orders")}) GROUP BY ordertype""",
     ),
     "land_archives": Query(land_archives, raw_sql("customers")),
+    "land_archives_same_name": Query(land_archives_same_name, raw_sql("customers")),
+    "landed_registry": Query(
+        landed_registry,
+        f"""SELECT 'PROCESSED' AS status, CAST(2 AS BIGINT) AS entries, CAST(count(*) AS BIGINT) AS row_count
+            FROM ({raw_sql("customers")})
+            UNION ALL SELECT 'SKIPPED', 2, 0 UNION ALL SELECT 'CORRUPT', 1, 0 UNION ALL SELECT 'UNREADABLE', 1, 0""",
+    ),
     "expand_archives": Query(expand_archive_rows, raw_sql("customers")),
     "stream_ingest_files": Query(stream_ingest_files, _raw_typed()),
     "stream_bronze": Query(

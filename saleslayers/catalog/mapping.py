@@ -11,7 +11,6 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 RUN_TS = datetime(2025, 1, 1, tzinfo=timezone.utc)
 RUN_TS_SQL = "TIMESTAMP '2025-01-01 00:00:00'"
@@ -19,30 +18,9 @@ SECOND_TS = datetime(2025, 2, 1, tzinfo=timezone.utc)
 SECOND_TS_SQL = "TIMESTAMP '2025-02-01 00:00:00'"
 
 
-_schemas: dict[str, StructType] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of a data folder; its schema is looked up in the file once per process."""
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
-
-
-_splits: dict[str, int] = {}
-
-
-def spread(df: DataFrame, path: str, key: str) -> DataFrame:
-    """Shares the rows of a file that is read in fewer pieces than there are cores.
-
-    A small file may be one row group, which one task reads. Large tables have more pieces than
-    cores and are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if path not in _splits:
-        _splits[path] = df.rdd.getNumPartitions()
-    return df.repartition(cores, key) if _splits[path] < cores else df
+    """A table of a data folder."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _text(name: str) -> Column:
@@ -67,7 +45,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return rows.select(
         F.lit("Customer").alias("FirstName"),
-        F.substring("c_name", 10, 1000).alias("LastName"),
+        F.substr("c_name", F.lit(10)).alias("LastName"),
         F.col("c_mktsegment").alias("CompanyName"),
         F.when(key % 13 != 0, F.concat(F.lit("c"), _text("c_custkey"), F.lit("@example.com"))).alias("EmailAddress"),
         _padded("555-", "c_custkey", 7).alias("Phone"),
@@ -112,7 +90,7 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
         price.alias("ListPrice"),
         _text("p_size").alias("Size"),
         F.col("p_size").cast("decimal(10,2)").alias("Weight"),
-        F.substring("p_brand", 7, 1000).cast("int").alias("ProductCategoryID"),
+        F.substr("p_brand", F.lit(7)).cast("int").alias("ProductCategoryID"),
         F.col("p_size").alias("ProductModelID"),
         F.to_timestamp(F.lit("1995-01-01 00:00:00")).alias("SellStartDate"),
         F.lit(None).cast("string").alias("ThumbNailPhoto"),
@@ -221,7 +199,7 @@ FROM nation
 
 def sale_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = (
-        spread(table(spark, sf_dir, "lineitem"), f"{sf_dir}/lineitem.parquet", "l_orderkey")
+        table(spark, sf_dir, "lineitem")
         .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))

@@ -61,6 +61,18 @@ def report(name: str) -> Query:
     )
 
 
+def _refreshed_sql(rule: gold.Report) -> str:
+    """The refreshed table from the CTEs n (the report now) and o (its earlier groups)."""
+    same = " AND ".join(f'n."{k}" IS NOT DISTINCT FROM o."{k}"' for k in rule.keys)
+    values = [c for c in rule.schema.fieldNames() if c not in ("created_at", "updated_at")]
+    outputs = ", ".join(
+        f'CAST(n."{c}" AS DOUBLE) AS "{c}"' if c == "total_quantity_sold" else f'n."{c}"' for c in values
+    )
+    return f"""SELECT {outputs},
+        CASE WHEN o.seen THEN {RUN_TS_SQL} ELSE {SECOND_TS_SQL} END AS created_at, {SECOND_TS_SQL} AS updated_at
+        FROM n LEFT JOIN o ON {same}"""
+
+
 def refresh(name: str) -> Query:
     """A report table holding the lines before a date, refreshed from all lines."""
     rule = REPORTS[name]
@@ -72,18 +84,10 @@ def refresh(name: str) -> Query:
         refresh_report_table(spark, root, rule, before, RUN_TS)
         return refresh_report_table(spark, root, rule, everything, SECOND_TS)
 
-    same = " AND ".join(f'n."{k}" IS NOT DISTINCT FROM o."{k}"' for k in rule.keys)
-    values = [c for c in rule.schema.fieldNames() if c not in ("created_at", "updated_at")]
-    outputs = ", ".join(
-        f'CAST(n."{c}" AS DOUBLE) AS "{c}"' if c == "total_quantity_sold" else f'n."{c}"' for c in values
-    )
-    select = f"""SELECT {outputs},
-        CASE WHEN o.seen THEN {RUN_TS_SQL} ELSE {SECOND_TS_SQL} END AS created_at, {SECOND_TS_SQL} AS updated_at
-        FROM n LEFT JOIN o ON {same}"""
     return Query(
         run,
         with_(
-            select,
+            _refreshed_sql(rule),
             **BASE,
             earlier=f"SELECT * FROM fact WHERE createddate < TIMESTAMP '{CUTOFF} 00:00:00'",
             n=report_sql(name, "fact", SECOND_TS_SQL),
@@ -92,6 +96,36 @@ def refresh(name: str) -> Query:
     )
 
 
+MOVED = {
+    "c": ("customers", {"country": "CASE WHEN customer_id % 3 = 0 THEN 'New ' || country ELSE country END"}),
+    "s": ("suppliers", {"supplier_name": "CASE WHEN phone LIKE '%3' THEN supplier_name || ' Ltd' ELSE supplier_name END"}),
+}
+
+
+def refresh_moved(name: str) -> Query:
+    """A report table refreshed after customers changed country and suppliers their name. Groups that no line
+    belongs to any more are gone, so the report adds up to the fact table."""
+    rule = REPORTS[name]
+
+    def run(spark, sf_dir):
+        before, after = StarOf(spark, sf_dir), StarOf(spark, sf_dir)
+        after.fact = before.fact
+        for dimension, changes in MOVED.values():
+            setattr(after, dimension, getattr(before, dimension).withColumns({c: F.expr(e) for c, e in changes.items()}))
+        root = scratch_path(spark, f"moved-{name}")
+        refresh_report_table(spark, root, rule, before, RUN_TS)
+        return refresh_report_table(spark, root, rule, after, SECOND_TS)
+
+    changed = {}
+    for short, (_, changes) in MOVED.items():
+        replaced = ", ".join(f"{e} AS {c}" for c, e in changes.items())
+        changed[f"{short}2"] = f"SELECT * REPLACE ({replaced}) FROM {short}"
+    now = report_sql(name, "fact", SECOND_TS_SQL).replace("JOIN c ON", "JOIN c2 c ON").replace("JOIN s ON", "JOIN s2 s ON")
+    return Query(
+        run, with_(_refreshed_sql(rule), **BASE, **changed, n=now, o=f"SELECT *, TRUE AS seen FROM ({report_sql(name, 'fact', RUN_TS_SQL)})")
+    )
+
+
 def load_all_layers(spark, sf_dir):
     """From dropped CSV files through all layers to the report by country, in two rounds.
 
@@ -148,4 +182,6 @@ QUERIES = {
     "gold_merge_by_country": refresh("by_country"),
     "gold_merge_supplier_daily": refresh("by_supplier_daily"),
     "gold_merge_supplier_monthly": refresh("by_supplier_monthly"),
+    "gold_moved_by_country": refresh_moved("by_country"),
+    "gold_moved_supplier_monthly": refresh_moved("by_supplier_monthly"),
 }

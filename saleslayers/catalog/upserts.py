@@ -15,6 +15,7 @@ from saleslayers.catalog.sql import (
     bronze_sql,
     columns,
     conform_sql,
+    fact_sql,
     labelled_lines_sql,
     lines_sql,
     raw_sql,
@@ -78,6 +79,17 @@ def merge_insert_columns(spark, sf_dir) -> DataFrame:
     )
 
 
+def fact_any_batching(spark, sf_dir) -> DataFrame:
+    """Two loads consumed by one batch. The second repeats lines, some of them with a bad quantity: these are
+    rejected and the first load's lines stay, as if the loads had come one after the other."""
+    rows = raw(spark, sf_dir, "sale_orders")
+    bad = F.col("customer_id").cast("int") % 5 == 0
+    again = _second(rows, F.when(bad, -5).otherwise(F.col("quantity") + 1))
+    table = bronze.RAW_TABLES["sale_orders"]
+    both = bronze.ingest(_first(rows), table, RUN_TS).unionByName(bronze.ingest(again, table, SECOND_TS))
+    return silver.fact_batch(silver.labelled_lines(both))
+
+
 def _replaced(**changes: str) -> str:
     return ", ".join(f'{changes[c]} AS "{c}"' if c in changes else f'"{c}"' for c in FACT_COLUMNS)
 
@@ -199,4 +211,12 @@ def _history_query(name: str) -> Query:
     return Query(run, sql)
 
 
-QUERIES = {**MERGES, **{f"scd2_{name}": _history_query(name) for name in LOADS}}
+BATCHING = {
+    "fact_any_batching": Query(
+        fact_any_batching,
+        f"""SELECT * REPLACE (CASE WHEN {IN_SECOND} AND customer_id % 5 <> 0 THEN quantity + 1 ELSE quantity END AS quantity)
+            FROM ({fact_sql()}) WHERE {IN_FIRST} OR customer_id % 5 <> 0""",
+    )
+}
+
+QUERIES = {**MERGES, **BATCHING, **{f"scd2_{name}": _history_query(name) for name in LOADS}}

@@ -39,6 +39,9 @@ def _typed(target: str, source: str, type_name: str) -> Column:
     return F.col(source).try_cast(type_name).alias(target)
 
 
+# Source and target column names of the following layouts.
+
+
 def customers(raw: DataFrame, run_ts: datetime, carry: Sequence[str] = ()) -> DataFrame:
     return raw.select(
         _typed("customer_id", "CustomerID", "int"),
@@ -109,7 +112,7 @@ def warehouses(raw: DataFrame, run_ts: datetime, carry: Sequence[str] = ()) -> D
     )
 
 
-def sale_orders(raw: DataFrame) -> DataFrame:
+def sale_orders(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Order lines; amounts beyond their decimal range become NULL and so fail the rules."""
     return raw.select(
         "salesordernumber",
@@ -127,4 +130,5 @@ def sale_orders(raw: DataFrame) -> DataFrame:
         "year",
         "month",
         "day",
+        *carry,
     )

@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 
 from saleslayers import schemas
 from saleslayers.operators.history import current_rows
-from saleslayers.operators.merge import merge
+from saleslayers.operators.merge import keys_match
 from saleslayers.operators.rows import conform_to, timestamp
 
 
@@ -161,11 +161,12 @@ def report_rows(report: Report, star: Star, run_ts: datetime) -> DataFrame:
 
 
 def refresh_report(table: DataFrame, rows: DataFrame, report: Report) -> DataFrame:
-    """The report table after a run: known groups get new totals, new groups are added.
+    """The report table after a run: the report as it is now, with the creation time of groups known before.
 
-    Group keys may be NULL (lines without a dimension row); they are matched null-safely, so
-    a repeated run updates them instead of adding them again.
+    A group that no line belongs to any more (its customer moved, its supplier has another name) goes, so
+    a report always adds up to the fact table. Group keys may be NULL and are matched null-safely.
     """
-    updated = [c for c in report.schema.fieldNames() if c not in (*report.keys, "supplier_name", "created_at")]
-    # Grouped on the keys, hence unique.
-    return merge(table, rows, report.keys, set=updated, check_unique=False)
+    known = table.select(*report.keys, F.col("created_at").alias("__first")).alias("old")
+    joined = rows.alias("new").join(known, keys_match("new", "old", report.keys), "left")
+    created = F.coalesce(F.col("old.__first"), F.col("new.created_at")).alias("created_at")
+    return joined.select(*[created if c == "created_at" else F.col(f"new.{c}") for c in report.schema.fieldNames()])

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,15 +13,20 @@ from pyspark.sql.types import StructField, StructType
 from saleslayers.plans import bronze, gold, silver
 from saleslayers.schemas import FILE_REGISTRY, STRING
 from saleslayers.session import scratch_path
-from saleslayers.sinks.dimensions import read_current, read_history
-from saleslayers.sinks.tables import append, read_version, write_version, written
-from saleslayers.sources.archives import data_lines, expand_archives
-from saleslayers.sources.files import parse_csv_lines
-from saleslayers.sources.landing import list_files, mark_processed, register
+from saleslayers.sinks.dimensions import drop_old_current_rows, read_current, read_history
+from saleslayers.sinks.audit import empty_file_audit
+from saleslayers.sinks.tables import append, drop_old_versions, read_version, write_version, written
+from saleslayers.sources.archives import CSV, LANDED, archive_contents, land_entries, qualified
+from saleslayers.sources.landing import NEW, UNMATCHED, landing_path, list_files, mark_processed, register, route
 from saleslayers.sources.tables import read_table_or_empty
 from saleslayers.streaming import loads
 
 
+#: Versions kept of report tables, and of the current rows of dimensions: readers of the one before the
+#: newest are not disturbed.
+KEPT_VERSIONS = 2
+
+
 @dataclass(frozen=True)
 class Layout:
     """Where files arrive and where the tables are."""
@@ -57,32 +61,39 @@ class Layout:
 
 
 def land_archives(spark: SparkSession, layout: Layout, archives: str, run_ts: datetime) -> None:
-    """Unpacks a drop of ZIP archives into the landing folders and registers the files.
+    """Unpacks a drop of ZIP archives into the landing folders and registers every entry.
 
-    Values are passed on as text, in CSV files with a header below
-    `<category>_data/yyyy/MM/dd/source_zip=<archive>/`. Unpacking the same drop again on the
-    same day replaces its files.
+    Each CSV entry of a known category is copied, as it is, to
+    `<category>_data/yyyy/MM/dd/<category>_<yyyyMMdd>_<key>.csv`. The key is a hash of the archive's path,
+    time and size and of the entry, so archives of equal names never meet and no landed file is ever
+    replaced. The same archive again lands nothing. Other entries are registered with what became of
+    them: skipped, unmatched, corrupt, or unreadable for a file that is no archive.
     """
-    landed = []
-    for name, table in bronze.RAW_TABLES.items():
-        text = StructType([StructField(column, STRING) for column in table.schema.fieldNames()])
-        lines = data_lines(expand_archives(spark, archives, category=name), name)
-        rows = parse_csv_lines(lines, text, keep=["source_zip"])
-        folder = f"{layout.arrivals(name)}/{run_ts:%Y/%m/%d}"
-        (
-            rows.withColumn("source_zip", F.regexp_extract("source_zip", "[^/]*$", 0))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("source_zip")
-            .option("header", True)
-            .csv(folder)
-        )
-        landed.append(list_files(spark, folder))
-    files = reduce(DataFrame.unionByName, landed).withColumn(
-        "source_zip", F.regexp_extract("path", "source_zip=([^/]*)/", 1)
-    )
-    unknown = files.join(registry(spark, layout).select("file_key"), "file_key", "left_anti")
-    append(register(unknown, run_ts), layout.registry)
+    key = F.md5(F.concat_ws("|", "version", "entry"))
+    contents = archive_contents(spark, archives).withColumns({"category": route(F.col("entry")), "key": key})
+    usable = (F.col("status") == CSV) & F.col("category").isNotNull()
+    target = F.concat(F.lit(qualified(spark, layout.landing).rstrip("/") + "/"), landing_path(F.col("category"), run_ts, F.col("key")))
+    known = registry(spark, layout)
+    landed_keys = known.select(F.regexp_extract("file_key", "_([0-9a-f]{32})[.]csv$", 1).alias("key"))
+    with written(contents.withColumn("usable", usable), scratch_path(spark, "archive-contents")) as listed:
+        wanted = listed.filter("usable").join(landed_keys, "key", "left_anti").withColumn("target", target)
+        with written(land_entries(wanted), scratch_path(spark, "landed-entries")) as outcome:
+            unused = listed.filter("NOT usable").select(
+                "source_zip", "entry", F.when(F.col("status") == CSV, UNMATCHED).otherwise(F.upper("status")).alias("status"), F.lit(None).cast("string").alias("reason")
+            )
+            bad = outcome.filter(F.col("status") != LANDED).select("source_zip", "entry", F.upper("status").alias("status"), "reason")
+            others = unused.unionByName(bad).withColumn("file_key", F.concat_ws("#", "source_zip", "entry"))
+            rows = others.join(known.select("file_key"), "file_key", "left_anti")
+            good = outcome.filter(F.col("status") == LANDED)
+            if not good.isEmpty():
+                # The listing gives the path as scans report it.
+                files = list_files(spark, f"{layout.landing}/*_data/{run_ts:%Y/%m/%d}")
+                named = good.withColumn("name", F.element_at(F.split("target", "/"), -1))
+                found = files.select("file_key", F.element_at(F.split("path", "/"), -1).alias("name"))
+                arrived = named.join(found, "name").withColumn("status", F.lit(NEW))
+                rows = rows.unionByName(arrived.select("file_key", "source_zip", "entry", "status", "reason"))
+            if not rows.isEmpty():
+                append(register(rows, run_ts), layout.registry)
 
 
 def registry(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -91,21 +102,27 @@ def registry(spark: SparkSession, layout: Layout) -> DataFrame:
 
 
 def load_raw(spark: SparkSession, layout: Layout, name: str, run_ts: datetime) -> None:
-    """New files of one kind into their raw table."""
-    loads.ingest_files(
-        spark,
-        bronze.RAW_TABLES[name],
-        layout.arrivals(name),
-        layout.raw(name),
-        layout.checkpoint(f"raw-{name}"),
-        audit=layout.audit(name),
-        clock=lambda: run_ts,
-    )
-    known = registry(spark, layout)
-    read = read_table_or_empty(spark, layout.audit(name), StructType([StructField("file_key", STRING)]))
-    done = mark_processed(known, read, run_ts)
-    if not done.isEmpty():
-        append(done, layout.registry)
+    """New files of one kind into their raw table. Files without a data row count as read, too."""
+    table = bronze.RAW_TABLES[name]
+    with written(list_files(spark, layout.arrivals(name)).select("file_key"), scratch_path(spark, "arrivals")) as arrived:
+        # The stream takes at least what has arrived by now.
+        loads.ingest_files(
+            spark,
+            table,
+            layout.arrivals(name),
+            layout.raw(name),
+            layout.checkpoint(f"raw-{name}"),
+            audit=layout.audit(name),
+            clock=lambda: run_ts,
+        )
+        read = read_table_or_empty(spark, layout.audit(name), StructType([StructField("file_key", STRING)]))
+        empty = arrived.join(read.select("file_key"), "file_key", "left_anti")
+        if not empty.isEmpty():
+            dated = "createddate" in table.schema.fieldNames()
+            append(empty_file_audit(empty, run_ts, dated), f"{layout.audit(name)}/{loads.BATCH}=-1")
+        done = mark_processed(registry(spark, layout), arrived, run_ts)
+        if not done.isEmpty():
+            append(done, layout.registry)
 
 
 def load_dimension(spark: SparkSession, layout: Layout, name: str, run_ts: datetime) -> None:
@@ -120,6 +137,7 @@ def load_dimension(spark: SparkSession, layout: Layout, name: str, run_ts: datet
         rejects=layout.rejects(name),
         clock=lambda: run_ts,
     )
+    drop_old_current_rows(spark, layout.refined(name), KEPT_VERSIONS)
 
 
 def load_fact(
@@ -150,10 +168,10 @@ def read_dimension(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
 
 
 def refresh_report_table(spark: SparkSession, root: str, report: gold.Report, star: gold.Star, run_ts: datetime) -> DataFrame:
-    """Computes a report once, merges it into its table and returns the table's new version."""
-    with written(gold.report_rows(report, star, run_ts), scratch_path(spark, report.name)) as rows:
-        table = read_version(spark, root, report.schema)
-        write_version(gold.refresh_report(table, rows, report), root)
+    """Writes a report as its table's next version, frees all but the last KEPT_VERSIONS and returns the new one."""
+    table = read_version(spark, root, report.schema)
+    write_version(gold.refresh_report(table, gold.report_rows(report, star, run_ts), report), root)
+    drop_old_versions(spark, root, KEPT_VERSIONS)
     return read_version(spark, root, report.schema)
 
 

@@ -74,20 +74,32 @@ def refresh_dimension(dimension: DataFrame, raw: DataFrame, plan: DimensionPlan,
     return history.apply_history(dimension, batch, plan.rule, run_ts, check_unique=False)
 
 
+LOAD = "ingestion_timestamp"
+
+
 def labelled_lines(raw: DataFrame) -> DataFrame:
-    """Conformed order lines of the new loads, the newest copy of each, with quality labels."""
-    newest = latest_load(raw, ("salesordernumber", "salesorderlinenumber"), ("processeddate",))
-    return label_quality(conform.sale_orders(newest))
+    """Conformed order lines of the new loads with quality labels and the time of their load."""
+    return label_quality(conform.sale_orders(raw, carry=[LOAD]))
 
 
 def fact_batch(labelled: DataFrame) -> DataFrame:
-    """Valid lines, one per customer, product and creation time."""
-    valid = valid_rows(labelled).select(*schemas.FACT_SALE_ORDERS.fieldNames())
-    return dedupe_latest(valid, FACT_COPY_KEYS, "processeddate")
+    """Valid lines, one per fact key.
+
+    Within a load, lines of one customer, product and creation time are copies, and the later processed
+    one stays. Over several loads (if the lines know their load) the newest load's line stays. As rejects
+    are out before any copy is chosen, and loads are settled one by one, the fact table does not
+    depend on which loads a batch happens to hold.
+    """
+    load = [LOAD] if LOAD in labelled.columns else []
+    valid = valid_rows(labelled).select(*schemas.FACT_SALE_ORDERS.fieldNames(), *load)
+    lines = dedupe_latest(valid, [*FACT_COPY_KEYS, *load], "processeddate")
+    if load:
+        lines = dedupe_latest(lines, FACT_KEYS, [LOAD, "processeddate"]).drop(LOAD)
+    return lines
 
 
 def merge_fact(fact: DataFrame, batch: DataFrame) -> DataFrame:
     """The fact table after a batch: known lines updated, new lines added."""
     updated = [c for c in schemas.FACT_SALE_ORDERS.fieldNames() if c not in FACT_KEYS]
-    # Unique on the copy keys, hence on the wider fact key.
+    # One line per fact key by construction.
     return merge(fact, batch, FACT_KEYS, set=updated, check_unique=False)

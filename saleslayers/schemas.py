@@ -229,6 +229,8 @@ FILE_REGISTRY = _table(
     upload_timestamp=TIMESTAMP,
     status=STRING,
     processed_at=TIMESTAMP,
+    entry=STRING,
+    reason=STRING,
 )
 MIGRATION_LEDGER = _table(
     filename=STRING,

@@ -30,3 +30,12 @@ def file_audit(rows: DataFrame, batch_id: int, run_ts: datetime, file_column: st
             }
         )
     )
+
+
+def empty_file_audit(files: DataFrame, run_ts: datetime, dated: bool) -> DataFrame:
+    """Audit rows of files (column file_key) that were read and hold no data row; they belong to no batch."""
+    none = F.lit(None).cast("timestamp")
+    times = {"first_created": none, "last_created": none} if dated else {}
+    return files.select("file_key").distinct().withColumns(
+        {"row_count": F.lit(0).cast("long"), **times, "batch_id": F.lit(None).cast("long"), "status": F.lit(PROCESSED), "processed_at": timestamp(run_ts)}
+    )

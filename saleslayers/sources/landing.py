@@ -15,6 +15,7 @@ CATEGORIES = ("sale_orders", "customers", "products", "suppliers", "warehouses")
 
 NEW = "NEW"
 PROCESSED = "PROCESSED"
+UNMATCHED = "UNMATCHED"
 
 
 def route(file_name: Column) -> Column:
@@ -54,8 +55,10 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> Data
 
 
 def register(files: DataFrame, run_ts: datetime) -> DataFrame:
-    """Registry rows for files that arrived (columns file_key and optionally source_zip)."""
-    stamped = files.withColumns({"upload_timestamp": timestamp(run_ts), "status": F.lit(NEW)})
+    """Registry rows for files that arrived (columns file_key and optionally source_zip, entry, reason and a
+    status other than NEW)."""
+    status = F.col("status") if "status" in files.columns else F.lit(NEW)
+    stamped = files.withColumns({"upload_timestamp": timestamp(run_ts), "status": status})
     return conform_to(stamped, FILE_REGISTRY)
 
 

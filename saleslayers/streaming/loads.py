@@ -131,7 +131,7 @@ def upsert_fact(
     def load(batch: DataFrame, batch_id: int) -> None:
         with written(silver.labelled_lines(batch), scratch_path(batch.sparkSession, "labelled")) as labelled:
             if rejects:
-                append_batch(rejected_rows(labelled), rejects, batch_id, column=BATCH)
+                append_batch(rejected_rows(labelled).drop(silver.LOAD), rejects, batch_id, column=BATCH)
             write_fact(silver.fact_batch(labelled), fact_root, partition_columns)
 
     raw = spark.readStream.schema(raw_table_schema(raw_table)).parquet(raw_root)

@@ -40,20 +40,61 @@ def test_archives_are_landed_and_registered(spark, tmp_path):
             header = ",".join(schemas.CUSTOMERS.fieldNames())
             archive.writestr("Customers.csv", "\n".join([header, *people]))
             archive.writestr("readme.txt", "x")
-    for _ in range(2):  # the same drop again replaces its files
+    for _ in range(2):  # the same drop again lands nothing
         land_archives(spark, layout, str(tmp_path / "zips"), FIRST)
     load_raw(spark, layout, "customers", SECOND)
     assert as_set(spark.read.parquet(layout.raw("customers")).select("CustomerID")) == [("1",), ("2",)]
     state = registry_state(registry(spark, layout)).filter("status = 'PROCESSED'")
-    assert as_set(state.select("source_zip", "processed_at")) == [
-        ("one.zip", datetime(2025, 2, 1)),
-        ("two.zip", datetime(2025, 2, 1)),
+    names = [(r.source_zip.split("/")[-1], r.entry, r.processed_at) for r in state.collect()]
+    assert sorted(names) == [
+        ("one.zip", "Customers.csv", datetime(2025, 2, 1)),
+        ("two.zip", "Customers.csv", datetime(2025, 2, 1)),
     ]
     before = registry(spark, layout).count()
     load_raw(spark, layout, "customers", THIRD)
     assert registry(spark, layout).count() == before
 
 
+def zipped(path, **entries):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_STORED) as archive:
+        for name, people in entries.items():
+            archive.writestr(f"{name}.csv", "\n".join([",".join(schemas.CUSTOMERS.fieldNames()), *people]))
+
+
+def test_archives_of_equal_names_never_meet(spark, tmp_path):
+    layout = Layout(str(tmp_path / "landing"), str(tmp_path / "tables"))
+    zipped(tmp_path / "drop1" / "drop.zip", customers=[customer("1", "Ann", "A")])
+    zipped(tmp_path / "drop2" / "a" / "drop.zip", customers=[customer("2", "Bo", "B")])
+    zipped(tmp_path / "drop2" / "b" / "drop.zip", customers=[customer("3", "Cy", "C")])
+    for drop_folder in ("drop1", "drop2", "drop1"):
+        land_archives(spark, layout, str(tmp_path / drop_folder), FIRST)
+    load_raw(spark, layout, "customers", SECOND)
+    assert as_set(spark.read.parquet(layout.raw("customers")).select("CustomerID")) == [("1",), ("2",), ("3",)]
+    assert registry_state(registry(spark, layout)).filter("status = 'PROCESSED'").count() == 3
+
+
+def test_empty_and_damaged_entries_are_on_record(spark, tmp_path):
+    layout = Layout(str(tmp_path / "landing"), str(tmp_path / "tables"))
+    zipped(tmp_path / "zips" / "one.zip", customers=[], customers_good=[customer("1", "Ann", "A")], customers_bad=["Damaged,x"], other=["x"])
+    path = tmp_path / "zips" / "one.zip"
+    path.write_bytes(path.read_bytes().replace(b"Damaged", b"damaged"))
+    (tmp_path / "zips" / "two.zip").write_bytes(b"no archive")
+    for _ in range(2):
+        land_archives(spark, layout, str(tmp_path / "zips"), FIRST)
+    load_raw(spark, layout, "customers", SECOND)
+    state = {(r.entry or "-"): r for r in registry_state(registry(spark, layout)).collect()}
+    assert {k: r.status for k, r in state.items()} == {
+        "customers.csv": "PROCESSED", "customers_good.csv": "PROCESSED", "customers_bad.csv": "CORRUPT", "other.csv": "UNMATCHED", "-": "UNREADABLE",
+    }
+    assert "CRC" in state["customers_bad.csv"].reason
+    audit = spark.read.parquet(layout.audit("customers"))
+    assert sorted(r.row_count for r in audit.collect()) == [0, 1]
+    before = registry(spark, layout).count(), audit.count()
+    load_raw(spark, layout, "customers", THIRD)
+    assert (registry(spark, layout).count(), spark.read.parquet(layout.audit("customers")).count()) == before
+
+
 def test_two_rounds(spark, tmp_path):
     layout = Layout(str(tmp_path / "landing"), str(tmp_path / "tables"))
     drop(layout, "customers", "a.csv", customer("1", "Ann", "A"), customer("2", "Bo", "B"), customer("x2", "Bad", "B"))
@@ -82,9 +123,11 @@ def test_two_rounds(spark, tmp_path):
     people = read_dimension(spark, layout, "dim_customers")
     versions = as_set(people.filter("customer_id = 1").select("country", "is_current"))
     assert versions == [("A", False), ("C", True)]
-    # A group that no line belongs to any more keeps its last totals, as merges delete nothing.
-    expected = sorted([("A", 6.0, 1), ("B", 10.0, 1), ("C", 8.0, 2), (None, 2.0, 1)], key=repr)
+    # A group that no line belongs to any more is gone: the report adds up to the fact table.
+    expected = sorted([("B", 10.0, 1), ("C", 8.0, 2), (None, 2.0, 1)], key=repr)
     assert country() == expected
+    total = read_star(spark, layout).fact.selectExpr("sum(quantity * unitprice) AS t").first().t
+    assert float(total) == sum(amount for _, amount, _ in expected)
 
     load_all(spark, layout, THIRD)
     assert country() == expected

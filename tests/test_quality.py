@@ -1,7 +1,10 @@
+import random
+from functools import reduce
 from datetime import datetime, timezone
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from saleslayers import schemas
@@ -85,8 +88,32 @@ def test_copies_of_a_line_over_two_loads(spark):
     later = bronze.ingest(
         rows.withColumn("quantity", F.lit(9)), bronze.RAW_TABLES["sale_orders"], datetime(2025, 2, 1, tzinfo=timezone.utc)
     )
-    both = silver.labelled_lines(first.unionByName(later)).collect()
-    assert [r.quantity for r in both] == [9]
+    both = silver.labelled_lines(first.unionByName(later))
+    assert [r.quantity for r in silver.fact_batch(both).collect()] == [9]
+    bad = silver.labelled_lines(first.unionByName(later.withColumn("quantity", F.lit(-5))))
+    assert [r.quantity for r in silver.fact_batch(bad).collect()] == [1]
+
+
+def test_any_batching_gives_the_same_fact(spark):
+    schema = schemas.SALE_ORDERS.__class__([schemas.SALE_ORDERS[n] for n in GOOD])
+    choose = random.Random(11)
+    loads = []
+    for month in range(1, 5):
+        lines = []
+        for _ in range(12):
+            changes = {"quantity": choose.choice([-5, 1, 2, 3, None]), "salesordernumber": f"SO{choose.randint(1, 4)}"}
+            lines.append(tuple({**GOOD, **changes, "customer_id": str(choose.randint(1, 2))}.values()))
+        rows = spark.createDataFrame(lines, schema)
+        loads.append(bronze.ingest(rows, bronze.RAW_TABLES["sale_orders"], datetime(2025, month, 1, tzinfo=timezone.utc)))
+    results = []
+    for cuts in ((), (1,), (2, 3), (1, 2, 3)):
+        fact = spark.createDataFrame([], schemas.FACT_SALE_ORDERS)
+        edges = [0, *cuts, len(loads)]
+        for a, b in zip(edges, edges[1:]):
+            batch = silver.fact_batch(silver.labelled_lines(reduce(DataFrame.unionByName, loads[a:b])))
+            fact = spark.createDataFrame(silver.merge_fact(fact, batch).collect(), schemas.FACT_SALE_ORDERS)
+        results.append(sorted(map(repr, fact.collect())))
+    assert results[0] and all(r == results[0] for r in results)
 
 
 def test_dimension_conforming(spark):
