@@ -31,6 +31,9 @@ LEAST_COUNT = 2
 DISCOUNT = 0.75
 LEAST_GAIN = 8.0
 
+#: Bytes of text that are looked up together.
+TEXT_AT_ONCE = 6_000_000
+
 #: The end of a text as a token; no word has white space.
 END = "\n"
 
@@ -175,6 +178,17 @@ class Tree:
         return plain, best
 
 
+def _small(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of some megabytes of text, as a word takes many times its bytes while it is looked up."""
+    for batch in batches:
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False))
+        a = 0
+        while a < batch.num_rows:
+            b = max(a + 1, int(np.searchsorted(sizes, (sizes[a - 1] if a else 0) + TEXT_AT_ONCE, "right")))
+            yield batch.slice(a, b - a)
+            a = b
+
+
 def _split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """The words of all texts as a dictionary array, and where each text's begin. A to Z are lowered."""
     lowered = pc.ascii_lower(pc.fill_null(texts, "")).cast(pa.large_string())
@@ -199,7 +213,7 @@ def count_words(texts: DataFrame) -> DataFrame:
     """Words and ends of all texts with their counts: token, c."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _small(batches, 0):
             coded, offsets = _split(batch.column(0))
             n = np.bincount(coded.indices.to_numpy(), minlength=len(coded.dictionary))
             tokens = pa.concat_arrays([coded.dictionary.cast(pa.string()), pa.array([END])])
@@ -215,7 +229,7 @@ def count_strings(texts: DataFrame, tree: Tree, least: int) -> tuple[np.ndarray,
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in batches:
+        for batch in _small(batches, 0):
             stream = _stream(*_split(batch.column(0)), model)
             found = model.states(stream, len(model.levels) + 1)
             context = model.before(found[-1], stream, len(found))
@@ -252,10 +266,8 @@ _SCORED = (
 def _scorer(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree = shared.value
-        for batch in batches:
+        for batch in _small(batches, 2):
             docs = batch.num_rows
-            if not docs:
-                continue
             coded, offsets = _split(batch.column(2))
             stream = _stream(coded, offsets, tree)
             plain, best = tree.score(stream)
