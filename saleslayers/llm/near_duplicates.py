@@ -20,7 +20,7 @@ PERCENT = 75
 #: (1 - 0.75^4)^40 = 3e-7; such a pair is still linked if both meet a common partner.
 BANDS, ROWS = 40, 4
 #: Bits of a document's shingle bitmap, by which pairs are ruled out without their texts.
-BITMAP = 512
+BITMAP = 1024
 #: Words whose hashes a worker remembers; bounds memory, never the result.
 REMEMBERED = 1_000_000
 
@@ -156,8 +156,12 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _texts_of(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    """The documents of the pairs, written once: a part of the corpus, as most documents are in no pair."""
-    ids = pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
+    """The documents of the pairs, written once: a part of the corpus, as most documents are in no pair.
+
+    The ids are written before, so that Spark knows their size when it plans: few are sent to the texts,
+    and only for many are the texts shuffled.
+    """
+    ids = written(pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct(), "pair-ids")
     return written(rows.join(ids, "doc_id").dropDuplicates(["doc_id", "text"]), "pair-texts")
 
 
