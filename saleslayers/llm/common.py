@@ -23,7 +23,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """The frame written once to the shared folder and read back; cuts its lineage and gives its measured size."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back.written_to = path
+    return back
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes a table made by `written` that nothing will read again."""
+    spark = df.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.written_to)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def lower_ascii(text: Column) -> Column:

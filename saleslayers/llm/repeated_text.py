@@ -17,14 +17,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saleslayers.llm.common import numbered, release, written
+from saleslayers.llm.common import discard, numbered, release, written
 from saleslayers.llm.suffix_array import common_prefixes, joined, suffix_array
 
 #: Bytes of a repeated string, and of a k-gram.
 LENGTH = 100
 K = 32
-#: An anchor met more often than this is too common for one shard: its strings are compared one by one,
-#: under a hash of the whole string as anchor, where nothing is left to sort.
+#: An anchor with more distinct pieces than this is too common for one shard: their strings are compared one
+#: by one, under hashes of 128 bits, by a grouped minimum.
 COMMON = 4096
 #: Bytes of text whose anchors are found at once, and of pieces whose suffixes are sorted at once.
 TEXT_AT_ONCE = 1 << 18
@@ -102,30 +102,64 @@ def _within(hashes: np.ndarray, first: np.ndarray, count: np.ndarray, ends: np.n
     return hashes[row][real], low[real], (high - low)[real]
 
 
-_PIECES = "anchor long, piece_hash long, doc long, at long, strings long, piece binary"
+def _met_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by anchor those whose anchor the row before or after has, and the first and last one, whose
+    neighbours are in other partitions."""
+    pending, again = None, True
+    names = ["anchor", "doc", "at", "strings"]
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = [c.to_numpy() for c in batch.columns]
+        if pending is not None:
+            rows = [np.append(x, y) for x, y in zip(pending, rows)]
+        same = rows[0][1:] == rows[0][:-1]
+        keep = np.append(again, same)[:-1] | same  # all but the last row, which waits for the next batch
+        again = bool(same[-1]) if len(same) else again
+        pending = [x[-1:] for x in rows]
+        yield pa.RecordBatch.from_arrays([pa.array(x[:-1][keep]) for x in rows], names)
+    if pending is not None:
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in pending], names)
+
+
+def _hash_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hashes of the bytes around the anchors of each text."""
+    names = ["anchor", "piece_hash", "doc", "at", "strings"]
+    for batch in batches:
+        hashes = []
+        texts = batch.column(1).cast(pa.binary()).to_pylist()
+        lists = batch.column(2)
+        found = lists.flatten()
+        at, strings = (found.field(n).to_numpy() for n in ("at", "strings"))
+        sizes = np.diff(lists.offsets.to_numpy())
+        doc = np.repeat(np.arange(len(texts)), sizes)
+        for d, low, high in zip(doc.tolist(), at.tolist(), (at + strings + LENGTH - 1).tolist()):
+            hashes.append(xxhash.xxh3_64_intdigest(texts[d][low:high]))
+        columns = [found.field("anchor"), np.array(hashes, np.uint64).view(np.int64), batch.column(0).to_numpy()[doc], at, strings]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+
+
+_FETCHED = "anchor long, doc long, at long, piece binary, string_a long, string_b long"
 
 
-def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes around each repeated anchor of a text; for common anchors, a hash for each string instead."""
-    names = ["anchor", "piece_hash", "doc", "at", "strings", "piece"]
-    kinds = [pa.int64()] * 5 + [pa.binary()]
+def _fetch_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes around anchors; for common anchors a row per string, with its hash."""
+    names = ["anchor", "doc", "at", "piece", "string_a", "string_b"]
+    kinds = [pa.int64()] * 3 + [pa.binary()] + [pa.int64()] * 2
     for batch in batches:
-        rows: list[list] = [[] for _ in names]
+        rows: list[tuple] = []
         texts = batch.column(1).cast(pa.binary()).to_pylist()
         for doc, text, found in zip(batch.column(0).to_pylist(), texts, batch.column(2).to_pylist()):
             for x in found:
-                at, strings = x["at"], x["strings"]
+                anchor, at, strings = x["anchor"], x["at"], x["strings"]
                 if x["common"]:
                     for s in range(at, at + strings):
-                        whole = np.frombuffer(xxhash.xxh3_128_digest(text[s : s + LENGTH]), np.int64)
-                        for column, value in zip(rows, (int(whole[0]), int(whole[1]), doc, s, 1, None)):
-                            column.append(value)
+                        a, b = np.frombuffer(xxhash.xxh3_128_digest(text[s : s + LENGTH]), np.int64).tolist()
+                        rows.append((None, doc, s, None, a, b))
                 else:
-                    piece = text[at : at + strings + LENGTH - 1]
-                    hashed = xxhash.xxh3_64_intdigest(piece) - (1 << 63)
-                    for column, value in zip(rows, (x["anchor"], hashed, doc, at, strings, piece)):
-                        column.append(value)
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds)], names)
+                    rows.append((anchor, doc, at, text[at : at + strings + LENGTH - 1], None, None))
+        columns = zip(*rows) if rows else [[]] * len(names)
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
 
 def later_copies(pieces: list[bytes], docs: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int]]:
@@ -133,10 +167,13 @@ def later_copies(pieces: list[bytes], docs: np.ndarray, at: np.ndarray) -> list[
     piece. Order is by doc, then by place."""
     text, starts = joined(pieces)
     order = suffix_array(text, LENGTH)
+    piece = np.repeat(np.arange(len(pieces)), np.diff(np.append(starts, len(text) - 1)))
+    ends = np.append(starts[1:] - 1, len(text) - 2)
+    order = order[1:]  # without the end mark
+    order = order[order + LENGTH <= ends[piece[order]]]  # starts of whole strings
     repeats = common_prefixes(text, order, LENGTH)[order] >= LENGTH
     if not repeats.any():
         return []
-    piece = np.repeat(np.arange(len(pieces)), np.diff(np.append(starts, len(text) - 1)))
     group = np.cumsum(~repeats)
     size = np.bincount(group)
     member = size[group] > 1
@@ -227,28 +264,43 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     texts has doc (unique, not null; its order is the documents' order) and text. Documents that are whole
     copies of earlier ones are left out: see `whole_copies`.
     """
-    rows = written(texts.mapInArrow(_anchor_rows, "anchor long, doc long, at long, strings long"), "anchors")
-    counts = rows.groupBy("anchor").count().where("count > 1").select("anchor", (F.col("count") > COMMON).alias("common"))
-    again = rows.join(counts, "anchor").join(whole_copies(texts), "doc", "left_anti")
-    candidates = written(again.select("doc", "anchor", "at", "strings", "common"), "candidates")
-    release(texts.sparkSession)
-    # One row per document: as many anchors as its text has, at most.
-    per_doc = candidates.groupBy("doc").agg(F.collect_list(F.struct("anchor", "at", "strings", "common")).alias("found"))
-    around = texts.join(per_doc, "doc").select("doc", "text", "found")
-    pieces = written(around.mapInArrow(_pieces, _PIECES), "pieces")
-    release(texts.sparkSession)
+    spark = texts.sparkSession
+    anchored = "anchor long, doc long, at long, strings long"
+    rows = written(texts.mapInArrow(_anchor_rows, anchored), "anchors")
+    # By ranges of anchor and doc: an anchor that a third of all texts have is dealt over many tasks.
+    dealt = rows.repartitionByRange("anchor", "doc").sortWithinPartitions("anchor")
+    candidates = written(dealt.mapInArrow(_met_again, anchored), "candidates")
+    discard(rows)
+    release(spark)
+    hashed = _around(texts.join(whole_copies(texts), "doc", "left_anti"), candidates, ["anchor", "at", "strings"])
+    pieces = written(hashed.mapInArrow(_hash_pieces, "anchor long, piece_hash long, doc long, at long, strings long"), "pieces")
+    discard(candidates)
+    release(spark)
     key = ["anchor", "piece_hash"]
-    firsts = pieces.groupBy(*key).agg(F.min(F.struct("doc", "at")).alias("first"))
+    first = F.min(F.struct("doc", "at", "strings")).alias("first")
+    firsts = written(pieces.groupBy(*key).agg(first).select(*key, "first.*"), "first-pieces")
     # Of equal pieces around an anchor, all but the first repeat it throughout.
-    firsts = written(firsts.select(*key, F.col("first.doc").alias("first_doc"), F.col("first.at").alias("first_at")), "first-pieces")
-    later = pieces.join(firsts, key).where("doc <> first_doc OR at <> first_at")
+    known = firsts.select(*key, F.col("doc").alias("first_doc"), F.col("at").alias("first_at"))
+    later = pieces.join(known, key).where("doc <> first_doc OR at <> first_at")
     throughout = later.select("doc", F.col("at").alias("low"), (F.col("at") + F.col("strings") + (LENGTH - 1)).alias("high"))
     # The first ones are compared with each other where their anchor has several.
-    several = firsts.groupBy("anchor").count().where("count > 1").select("anchor")
-    is_first = [pieces[k] == firsts[k] for k in key] + [pieces["doc"] == firsts["first_doc"], pieces["at"] == firsts["first_at"]]
-    distinct = pieces.where("piece IS NOT NULL").join(firsts, is_first, "left_semi").join(several, "anchor", "left_semi")
-    shards = distinct.select("anchor", "doc", "at", "piece").repartition("anchor").sortWithinPartitions("anchor")
-    return throughout.union(shards.mapInArrow(_shard_runs, "doc long, low long, high long"))
+    several = firsts.groupBy("anchor").count().where("count > 1").select("anchor", (F.col("count") > COMMON).alias("common"))
+    wanted = firsts.join(several, "anchor").select("doc", "anchor", "at", "strings", "common")
+    fetched = written(_around(texts, wanted, ["anchor", "at", "strings", "common"]).mapInArrow(_fetch_pieces, _FETCHED), "distinct-pieces")
+    release(spark)
+    shards = fetched.where("piece IS NOT NULL").select("anchor", "doc", "at", "piece").repartition("anchor").sortWithinPartitions("anchor")
+    sorted_out = shards.mapInArrow(_shard_runs, "doc long, low long, high long")
+    strings = fetched.where("piece IS NULL").select("string_a", "string_b", "doc", "at")
+    earliest = strings.groupBy("string_a", "string_b").agg(F.min(F.struct("doc", "at")).alias("first"))
+    repeated = strings.join(earliest, ["string_a", "string_b"]).where(F.struct("doc", "at") != F.col("first"))
+    one_by_one = repeated.select("doc", F.col("at").alias("low"), (F.col("at") + LENGTH).alias("high"))
+    return throughout.union(sorted_out).union(one_by_one)
+
+
+def _around(texts: DataFrame, places: DataFrame, fields: list[str]) -> DataFrame:
+    """doc, text and the places in it, for each text that has any: no more than it has bytes."""
+    per_doc = places.groupBy("doc").agg(F.collect_list(F.struct(*fields)).alias("found"))
+    return texts.join(per_doc, "doc").select("doc", "text", "found")
 
 
 def whole_copies(texts: DataFrame) -> DataFrame:

@@ -106,7 +106,7 @@ def _sorted_names(names: np.ndarray, rounds: int) -> np.ndarray:
         following = np.zeros(len(rank), np.int64)
         following[: len(rank) - width] = rank[width:] + 1
         key = rank * (top + 1) + following
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         fresh = np.concatenate([[0], np.cumsum(key[order][1:] != key[order][:-1])])
         rank = np.empty_like(rank)
         rank[order] = fresh
@@ -137,35 +137,36 @@ def suffix_array(text: np.ndarray, depth: int | None = None) -> np.ndarray:
     names = by_place[seeds]
     # Each substring takes two characters at least.
     rounds = 64 if depth is None else max(1, int(depth).bit_length())
-    return induce(text, small, seeds[np.argsort(_sorted_names(names, rounds), kind="stable")])
+    return induce(text, small, seeds[np.argsort(_sorted_names(names, rounds))])
 
 
 def common_prefixes(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
-    """Permuted common prefixes up to a depth: for each suffix, by place in the text, how many characters it
-    shares with the one before it in order. A separator or the end mark ends a prefix."""
-    before = np.full(len(text), -1, np.int64)
-    before[order[1:]] = order[:-1]
+    """Permuted common prefixes up to a depth: for each suffix of the order, by place in the text, how many
+    characters it shares with the one before it. A separator or the end mark ends a prefix.
+
+    The order may hold some of the suffixes only; the others have 0.
+    """
     shared = np.zeros(len(text), np.int64)
-    left = np.flatnonzero(before >= 0)
+    here, there = order[1:], order[:-1]
     padded = np.concatenate([text, np.zeros(depth + 8, text.dtype)])
-    # Eight characters are compared at once, and the last eight one by one.
     inner = padded >= FIRST_BYTE
+    # Eight characters are compared at once, and the last eight one by one.
     n = len(padded) - 7
     whole = np.ones(n, bool)
     words = np.zeros(n, np.uint64)
     for j in range(8):
         whole &= inner[j : j + n]
         words |= ((padded[j : j + n] - FIRST_BYTE) & 0xFF).astype(np.uint64) << np.uint64(8 * j)
-    k = 0
-    while k + 8 <= depth and len(left):
-        here, there = left + k, before[left] + k
-        same = whole[here] & whole[there] & (words[here] == words[there])
-        shared[left[same]] = k + 8
-        left, k = left[same], k + 8
-    left = np.flatnonzero((before >= 0) & (shared < depth))
-    at = shared[left]
+    a, b, k = here, there, 0
+    while k + 8 <= depth and len(a):
+        same = (words[a + k] == words[b + k]) & whole[a + k] & whole[b + k]
+        a, b, k = a[same], b[same], k + 8
+        shared[a] = k
+    at = shared[here]
+    left = np.flatnonzero(at < depth)
+    a, b, at = here[left], there[left], at[left]
     for _ in range(8):
-        same = (padded[left + at] == padded[before[left] + at]) & inner[left + at] & (at < depth)
-        left, at = left[same], at[same] + 1
-        shared[left] = at
+        same = (padded[a + at] == padded[b + at]) & inner[a + at] & (at < depth)
+        a, b, at = a[same], b[same], at[same] + 1
+        shared[a] = at
     return shared
