@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from saleslayers.llm.common import lower_ascii, written
+from saleslayers.llm.common import fresh, lower_ascii, written
 
 #: Words of a window, and of a k-gram within it. A window holds WINDOW - K + 1 k-grams; the least hash of
 #: these is its fingerprint, so two texts that share a window share its fingerprint.
@@ -162,5 +162,6 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
 def clean_documents(docs: DataFrame, items: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The documents that hold no benchmark window; all their columns. An id is dropped with all its rows."""
-    bad = decontaminate(docs, items, id_col).where("contaminated").select(F.col("doc_id").alias("_contaminated_id")).distinct()
-    return docs.join(bad, docs[id_col].eqNullSafe(bad["_contaminated_id"]), "left_anti")
+    gone = fresh(docs, "_gone")
+    bad = decontaminate(docs, items, id_col).where("contaminated").select(F.col("doc_id").alias(gone)).distinct()
+    return docs.join(bad, docs[id_col].eqNullSafe(bad[gone]), "left_anti")

@@ -237,18 +237,18 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     Only documents with personal data are joined and rewritten; the others pass through.
     """
-    spans, h = fresh(docs, "_spans"), fresh(docs, "_h")
+    spans, h, near, near_id, near_h = (fresh(docs, n) for n in ("_spans", "_h", "_terms", "_term_id", "_term_h"))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     marked = docs.withColumn(spans, base_spans(text))
     keyed = _keyed(docs, id_col, text_col)
     found = written(keyed.select("doc_id", "h", base_spans(F.col("text")).alias("spans")).where(F.size("spans") > 0), "base-spans")
-    terms = term_spans(found, keyed).withColumnsRenamed({"doc_id": "_term_doc", "h": "_term_h"})
+    terms = term_spans(found, keyed).withColumnsRenamed({"doc_id": near_id, "h": near_h, "terms": near})
     touched = marked.where(F.size(spans) > 0).withColumn(h, F.xxhash64(text))
-    touched = touched.join(terms, touched[id_col].eqNullSafe(terms["_term_doc"]) & (touched[h] == terms["_term_h"]), "left")
+    touched = touched.join(terms, touched[id_col].eqNullSafe(terms[near_id]) & (touched[h] == terms[near_h]), "left")
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     edit = lambda x, by: F.struct(x["start"].alias("start"), x["end"].alias("end"), by.alias("by"))
     base = F.transform(spans, lambda x: edit(x, F.get(names, x["kind_no"])))
-    extra = F.transform(F.coalesce("terms", F.array().cast("array<struct<start:int,kind_no:int,end:int,remove:boolean>>")), lambda x: edit(x, F.when(x["remove"], F.lit("")).otherwise(F.get(names, x["kind_no"]))))
+    extra = F.transform(F.coalesce(near, F.array().cast("array<struct<start:int,kind_no:int,end:int,remove:boolean>>")), lambda x: edit(x, F.when(x["remove"], F.lit("")).otherwise(F.get(names, x["kind_no"]))))
     edits = F.sort_array(F.concat(base, extra))
     zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
 
