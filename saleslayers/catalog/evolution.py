@@ -8,8 +8,9 @@ from saleslayers import schemas
 from saleslayers.catalog.base import Query, bronze_table
 from saleslayers.catalog.mapping import RUN_TS, table
 from saleslayers.catalog.sql import bronze_columns, bronze_sql
-from saleslayers.operators.evolve import Evolved, evolve, ledger_rows, pending
+from saleslayers.operators.evolve import Evolved, Migration, evolve, ledger_rows, pending
 from saleslayers.operators.rows import conform_to
+from saleslayers.plans import migrations
 from saleslayers.session import scratch_path
 
 PRODUCT_COLUMNS = bronze_columns("products")
@@ -61,6 +62,22 @@ def evolve_chain(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+def migrations_applied(spark, sf_dir):
+    """A stored table through two migrations in two runs; the second run has one of them and a third, and a
+    further run changes nothing."""
+    root = scratch_path(spark, "migrations")
+    migrations.store(Evolved(bronze_table(spark, sf_dir, "products")), f"{root}/tables/products")
+    kinds = {True: [], False: []}
+    for step in CHAIN:
+        kinds[step["action"] in migrations.SCHEMA_ONLY].append(step)
+    light = Migration("bronze", "001_columns", "products", {"type": "alter", "alterations": kinds[True]})
+    heavy = Migration("bronze", "002_layout", "products", {"type": "alter", "alterations": kinds[False]})
+    migrations.run_migrations(spark, root, [light], RUN_TS)
+    for _ in range(2):
+        migrations.run_migrations(spark, root, [heavy, light], RUN_TS)
+    return migrations.read_table(spark, root, "products")
+
+
 def migrations_pending(spark, sf_dir):
     """One step per product type and brand, named after them; one type is not recorded yet."""
     steps = table(spark, sf_dir, "part").select(
@@ -104,6 +121,17 @@ QUERIES = {
             product_name='"Name"',
         ),
     ),
+    "migrations_applied": Query(
+        migrations_applied,
+        _select(
+            rowguid=None,
+            Name=None,
+            ProductID='CAST("ProductID" AS BIGINT)',
+            Weight='CAST("Weight" AS DECIMAL(12,4))',
+            loyalty_score="CAST(NULL AS INTEGER)",
+            product_name='"Name"',
+        ),
+    ),
     "migrations_pending": Query(
         migrations_pending,
         "SELECT DISTINCT 'silver/' || p_type || '_' || p_brand AS filename FROM part WHERE p_type = 'ECONOMY'",

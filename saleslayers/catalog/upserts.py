@@ -54,7 +54,7 @@ LINES_SQL = lines_sql(f"({bronze_sql('sale_orders')})")
 
 def merge_upsert(spark, sf_dir) -> DataFrame:
     lines = _lines(spark, sf_dir)
-    return merge(_first(lines), _second(lines, F.col("quantity") + 1), FACT_KEYS, set=VALUES)
+    return merge(_first(lines), _second(lines, F.col("quantity") + 1), FACT_KEYS, set=VALUES, unique_target=True)
 
 
 def merge_conditional(spark, sf_dir) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
@@ -70,41 +70,31 @@ def apply_history(
     row as its new current row; new keys are added; everything else is left as it is. Changes
     in other columns open no version. Running the same batch again changes nothing.
 
-    Closed history never takes part in a join. The current rows are the left side of both
-    joins, so a small batch is broadcast and the joins do not shuffle the dimension.
+    Closed history never takes part in the join. Current rows and batch meet in one full outer join, so each
+    input is read and shuffled once per load, and every outcome is emitted from the joined row.
     """
     key = [rule.key]
-    compared = batch.select(*key, *rule.tracked)
-    current = current_rows(dimension)
+    current = current_rows(dimension).withColumn("__known", F.lit(True)).alias("tgt")
+    changes = batch.withColumn("__hit", F.lit(True)).alias("src")
+    joined = current.join(changes, keys_match("tgt", "src", key), "full")
 
-    matched = current.alias("tgt").join(
-        compared.withColumn("__hit", F.lit(True)).alias("src"), keys_match("tgt", "src", key), "left"
-    )
-    closes = F.col("src.__hit") & _differs(rule.tracked)
     closing = {"is_current": F.lit(False), "end_date": timestamp(run_ts)}
     if rule.closing_sets_updated_at:
         closing["updated_at"] = timestamp(run_ts)
-    kept_or_closed = matched.select(
-        *[
-            F.when(closes, closing[c]).otherwise(F.col(f"tgt.{c}")).alias(c)
-            if c in closing
-            else F.col(f"tgt.{c}")
-            for c in dimension.columns
-        ]
-    )
 
-    unchanged = (
-        current.select(*key, *rule.tracked)
-        .alias("tgt")
-        .join(compared.alias("src"), keys_match("tgt", "src", key) & ~_differs(rule.tracked), "left_semi")
-        .select(*key)
-    )
-    opened = (
-        batch.alias("src")
-        .join(unchanged.alias("same"), keys_match("src", "same", key), "left_anti")
-        .select(*dimension.columns)
-    )
+    def row(value: Callable[[str], Column]) -> Column:
+        return F.struct(*[value(f.name).cast(f.dataType).alias(f.name) for f in dimension.schema])
 
+    kept = row(lambda c: F.col(f"tgt.{c}"))
+    closed = row(lambda c: closing.get(c, F.col(f"tgt.{c}")))
+    opened = row(lambda c: F.col(f"src.{c}"))
+    outcome = (
+        F.when(F.col("tgt.__known").isNull(), F.array(opened))
+        .when(F.col("src.__hit").isNotNull() & _differs(rule.tracked), F.array(closed, opened))
+        .otherwise(F.array(kept))
+    )
     past = dimension.filter(~F.coalesce(F.col("is_current"), F.lit(False)))
-    after = past.unionByName(kept_or_closed).unionByName(opened)
-    return after.unionByName(fail_on_copies(compared, key, dimension.schema)) if check_unique else after
+    after = past.unionByName(joined.select(F.inline(outcome)))
+    if not check_unique:
+        return after
+    return after.unionByName(fail_on_copies(batch.select(*key), key, dimension.schema))

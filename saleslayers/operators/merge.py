@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 
 Assignments = Sequence[str] | Mapping[str, "Column | str"]
 
+_KNOWN = "__known"
 _HIT = "__source_row"
 
 
@@ -52,6 +53,7 @@ def merge(
     when: Column | None = None,
     insert: Assignments | None = None,
     check_unique: bool = True,
+    unique_target: bool = False,
 ) -> DataFrame:
     """The target table after an upsert from `source`.
 
@@ -63,10 +65,12 @@ def merge(
                   columns are NULL; None means every target column, by name
     check_unique  fail when two source rows share a key; pass False only for a source that
                   is unique by construction (saves a pass over its keys)
+    unique_target  True states that the target has one row per key: target and source then
+                  meet in one full outer join, and each is evaluated and shuffled once
 
     The result has the target's columns and types.
 
-    Shape: target LEFT JOIN source, plus source ANTI JOIN the keys found in the target. A
+    Shape otherwise: target LEFT JOIN source, plus source ANTI JOIN the keys found in the target. A
     small source is broadcast by its measured size and the joins then do not shuffle the target;
     for a large one both sides shuffle on the keys, and a key with very many target rows
     sits on the left side of its joins, where adaptive execution can split it.
@@ -77,6 +81,10 @@ def merge(
     if unknown:
         raise ValueError(f"not a column of the target: {', '.join(unknown)}")
 
+    if unique_target:
+        after = _merge_unique(target, source, keys, updates, inserts, when)
+        return after.unionByName(fail_on_copies(source, keys, target.schema)) if check_unique else after
+
     kept = target
     if updates:
         hit = F.col(f"src.{_HIT}").isNotNull()
@@ -96,9 +104,9 @@ def merge(
 
     found = (
         target.select(*keys)
+        .distinct()
         .alias("tgt")
         .join(source.select(*keys).alias("src"), keys_match("tgt", "src", keys), "left_semi")
-        .distinct()
     )
     added = (
         source.alias("src")
@@ -109,6 +117,25 @@ def merge(
     return after.unionByName(fail_on_copies(source, keys, target.schema)) if check_unique else after
 
 
+def _merge_unique(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], updates: dict[str, Column], inserts: dict[str, Column], when: Column | None
+) -> DataFrame:
+    known, hit = F.col(f"tgt.{_KNOWN}").isNotNull(), F.col(f"src.{_HIT}").isNotNull()
+    applies = hit if when is None else hit & when
+    joined = (
+        target.withColumn(_KNOWN, F.lit(True))
+        .alias("tgt")
+        .join(source.withColumn(_HIT, F.lit(True)).alias("src"), keys_match("tgt", "src", keys), "full")
+    )
+
+    def value(name: str) -> Column:
+        old, new = F.col(f"tgt.{name}"), inserts.get(name, F.lit(None))
+        changed = F.when(applies, updates[name]).otherwise(old) if name in updates else old
+        return F.when(known, changed).otherwise(new)
+
+    return joined.select(*[value(f.name).cast(f.dataType).alias(f.name) for f in target.schema])
+
+
 def merge_into_table(
     source: DataFrame,
     table: str,

@@ -101,5 +101,5 @@ def fact_batch(labelled: DataFrame) -> DataFrame:
 def merge_fact(fact: DataFrame, batch: DataFrame) -> DataFrame:
     """The fact table after a batch: known lines updated, new lines added."""
     updated = [c for c in schemas.FACT_SALE_ORDERS.fieldNames() if c not in FACT_KEYS]
-    # One line per fact key by construction.
-    return merge(fact, batch, FACT_KEYS, set=updated, check_unique=False)
+    # One line per fact key by construction, in the batch and so in the table.
+    return merge(fact, batch, FACT_KEYS, set=updated, check_unique=False, unique_target=True)

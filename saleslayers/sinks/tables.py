@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+MOVES_AT_ONCE = 32
+
+
 def laid_out(df: DataFrame, partition_columns: Sequence[str]) -> DataFrame:
     """Rows grouped by partition before a write, so each partition gets few files.
 
@@ -135,14 +139,18 @@ def finish_replacement(spark: SparkSession, path: str, partition_columns: Sequen
     if not fs.exists(hadoop.Path(pending, "_SUCCESS")):
         return
     pattern = "/".join(f"{c}=*" for c in partition_columns)
-    for status in fs.globStatus(hadoop.Path(pending, pattern)):
-        source = status.getPath()
+
+    def move(source) -> None:
         place = "/".join(source.toString().split("/")[-len(partition_columns) :])
         target = hadoop.Path(f"{path.rstrip('/')}/{place}")
         fs.mkdirs(target.getParent())
         fs.delete(target, True)
         if not fs.rename(source, target):
             raise OSError(f"could not move {source.toString()} into the table")
+
+    # Many at a time: on an object store each move is a copy.
+    with ThreadPoolExecutor(MOVES_AT_ONCE) as pool:
+        list(pool.map(move, [status.getPath() for status in fs.globStatus(hadoop.Path(pending, pattern))]))
     fs.delete(pending, True)
 
 
