@@ -123,9 +123,11 @@ def judge(docs: DataFrame, text_col: str = "text", into: str = "quality") -> Dat
 
 def clean(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents that pass, without their failing lines; the same columns, n_chars (if any) kept true."""
-    q = fresh(docs, "_quality")
-    kept = judge(docs, text_col, q).where(F.col(q)["kept"])
-    cleaned = kept.withColumn(text_col, F.col(q)["clean_text"]).drop(q)
+    q, keep, cleaned_text = (fresh(docs, n) for n in ("_quality", "_keep", "_clean"))
+    verdict = F.struct(F.col(q)["kept"].alias(keep), F.col(q)["clean_text"].alias(cleaned_text))
+    # Through a generator: a filter on a plain column would be moved below it, and all rules computed once more.
+    judged = judge(docs, text_col, q).select(*docs.columns, F.inline(F.array(verdict)))
+    cleaned = judged.where(keep).withColumn(text_col, F.col(cleaned_text))
     if "n_chars" in docs.columns and text_col == "text":
         kind = docs.schema["n_chars"].dataType
         cleaned = cleaned.withColumn("n_chars", F.length(text_col).cast(kind))
