@@ -63,6 +63,7 @@ def apply_history(
     run_ts: datetime,
     *,
     check_unique: bool = True,
+    only_current: bool = False,
 ) -> DataFrame:
     """The dimension after a batch of conformed rows, at most one per key.
 
@@ -71,7 +72,8 @@ def apply_history(
     in other columns open no version. Running the same batch again changes nothing.
 
     Closed history never takes part in the join. Current rows and batch meet in one full outer join, so each
-    input is read and shuffled once per load, and every outcome is emitted from the joined row.
+    input is read and shuffled once per load, and every outcome is emitted from the joined row. With
+    `only_current`, the caller states that the dimension's closed rows are kept elsewhere.
     """
     key = [rule.key]
     current = current_rows(dimension).withColumn("__known", F.lit(True)).alias("tgt")
@@ -93,8 +95,9 @@ def apply_history(
         .when(F.col("src.__hit").isNotNull() & _differs(rule.tracked), F.array(closed, opened))
         .otherwise(F.array(kept))
     )
-    past = dimension.filter(~F.coalesce(F.col("is_current"), F.lit(False)))
-    after = past.unionByName(joined.select(F.inline(outcome)))
+    after = joined.select(F.inline(outcome))
+    if not only_current:
+        after = dimension.filter(~F.coalesce(F.col("is_current"), F.lit(False))).unionByName(after)
     if not check_unique:
         return after
     return after.unionByName(fail_on_copies(batch.select(*key), key, dimension.schema))

@@ -160,7 +160,7 @@ def upsert_dimension(
         with written(silver.dimension_batch(batch, plan, run_ts), scratch_path(spark, "dimension-batch")) as rows:
             current = read_current(spark, dimension_root, plan.schema)
             # One row per key by construction, so the uniqueness check is left out.
-            after = apply_history(current, rows, plan.rule, run_ts, check_unique=False)
+            after = apply_history(current, rows, plan.rule, run_ts, check_unique=False, only_current=True)
             write_dimension(after, dimension_root)
 
     raw = spark.readStream.schema(raw_table_schema(bronze.RAW_TABLES[plan.raw_table])).parquet(raw_root)

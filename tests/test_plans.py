@@ -5,10 +5,11 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
+from saleslayers.operators import history
+from saleslayers.plans import gold, silver
 from saleslayers.catalog.mapping import RUN_TS
 from saleslayers.catalog.registry import QUERIES
 from saleslayers.operators.merge import merge
-from saleslayers.plans import gold
 from saleslayers.plans.gold import Star
 
 # Reading these needs files to be written first.
@@ -113,3 +114,29 @@ def test_hot_target_key_is_split_in_a_merge(spark, tmp_path):
     added = 1000 + sum(1 for i in range(1, 100_000) if i % 3 == 0)
     assert counts == {0: rows - updated, 1: updated + added}
     assert "skew=true" in plan
+
+
+def _scans_and_exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("FileScan parquet"), plan.count("Exchange hashpartitioning")
+
+
+def test_a_load_reads_dimension_and_batch_once(spark, tmp_path):
+    plan = silver.DIMENSIONS["dim_customers"]
+    for name in ("current", "batch"):
+        spark.createDataFrame([], plan.schema).write.parquet(f"{tmp_path}/{name}")
+    current, batch = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("current", "batch"))
+    with_conf = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(with_conf)
+    spark.conf.set(with_conf, "-1")
+    try:
+        after = history.apply_history(current, batch, plan.rule, RUN_TS, check_unique=False, only_current=True)
+        assert _scans_and_exchanges(after) == (2, 2)
+        merged = merge(current, batch, ["customer_id"], set=["phone"], check_unique=False, unique_target=True)
+        assert _scans_and_exchanges(merged) == (2, 2)
+        report = gold.REPORTS["by_country"]
+        spark.createDataFrame([], report.schema).write.parquet(f"{tmp_path}/report")
+        stored = spark.read.parquet(f"{tmp_path}/report")
+        assert _scans_and_exchanges(gold.refresh_report(stored, stored, report)) == (2, 2)
+    finally:
+        spark.conf.set(with_conf, before)
