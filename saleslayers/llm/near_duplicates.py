@@ -21,8 +21,8 @@ PERCENT = 75
 BANDS, ROWS = 40, 4
 #: Bits of a document's shingle bitmap, by which pairs are ruled out without their texts.
 BITMAP = 1024
-#: Words whose hashes a worker remembers; bounds memory, never the result.
-REMEMBERED = 1_000_000
+#: Words whose hashes a task remembers; bounds memory, never the result.
+REMEMBERED = 300_000
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -124,6 +124,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pa.ListArray.from_arrays(pa.array(np.arange(len(sizes) + 1, dtype=np.int32) * (BITMAP // 64)), pa.array(np.concatenate(bits))),
         ]
         yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "set_a", "set_b", "bands", "bits"])
+    _hashes.clear()  # a worker outlives its task, and other operators need its memory
 
 
 def _possible(a: str, b: str) -> Column:
@@ -153,6 +154,7 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             both = len(np.intersect1d(left, right, assume_unique=True))
             keep.append(100 * both >= PERCENT * (len(left) + len(right) - both))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
+    _hashes.clear()
 
 
 def _texts_of(pairs: DataFrame, rows: DataFrame) -> DataFrame:
