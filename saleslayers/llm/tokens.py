@@ -10,10 +10,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Words remembered by a worker; beyond this number the memory is emptied. Bounds memory, never the result.
-REMEMBERED = 1_500_000
+REMEMBERED = 1_000_000
 #: Words handed to the tokenizer at once, and bytes of text whose words are looked up together.
 AT_ONCE = 4096
 TEXT_AT_ONCE = 4_000_000
+#: ASCII marks but the apostrophe, which may belong to the letters around it.
+MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def default_tokenizer() -> str:
@@ -37,7 +39,6 @@ class WordEncoder:
         self._tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2") if self._tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self._known: dict[bytes, bytes] = {}
-        self._point = {m: self._each([m])[0] for m in (b".", b",")}
         vocabulary = self._tokenizer.get_vocab()
         self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self._ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -65,27 +66,30 @@ class WordEncoder:
         if len(known) + len(new) > REMEMBERED:
             known.clear()
             new = words
-        same, letters, others = {}, set(), []
+        same, letters, others = {}, set(), set()
         for w in new:
-            # A word of letters has the ids of its lower case, and a point or comma after it stands alone.
-            core, mark = (w[:-1], w[-1:]) if w[-1:] in self._point else (w, b"")
+            # A word of letters has the ids of its lower case, and the marks after it stand by themselves.
+            core = w.rstrip(MARKS)
+            mark = w[len(core) :]
             if core.isalpha():  # ASCII letters
                 low = core.lower()
             else:
                 text = core.decode("utf-8", "replace")
                 if not text.isalpha() or max(text) > "\u012f":  # beyond, a lower case may depend on its place
-                    others.append(w)
+                    others.add(w)
                     continue
                 low = text.lower().encode()
             if low not in known:
                 letters.add(low)
+            if mark and mark not in known:
+                others.add(mark)
             if low != w:
                 same[w] = low, mark
-        for kind, todo in ((self._letters, list(letters)), (self._each, others)):
+        for kind, todo in ((self._letters, list(letters)), (self._each, list(others))):
             for i in range(0, len(todo), AT_ONCE):
                 known.update(zip(todo[i : i + AT_ONCE], kind(todo[i : i + AT_ONCE])))
         for w, (low, mark) in same.items():
-            known[w] = known[low] + self._point[mark] if mark else known[low]
+            known[w] = known[low] + known[mark] if mark else known[low]
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text of a string array; null is empty. Words part at ASCII white space only."""
