@@ -4,9 +4,11 @@ A context (up to DEPTH words back) is kept if what follows it differs enough fro
 suffix, which is kept with it. Next-word distributions are discounted and smoothed with the suffix's,
 down to add-one word counts. A word is scored in the longest kept context that it stands in.
 
-Counts cover the whole training part. What every task needs is a table of frequent strings: those with
-at least a share LEAST_SHARE of all tokens, of which there can be 1 / LEAST_SHARE per length whatever
-the corpus. Rarer words only have their counts, which are joined to the texts by a shuffle.
+Counts cover the whole training part. Every string that occurs LEAST_COUNT times takes part, whatever the
+size of the corpus: strings are Spark tables under 64-bit hashes, pruned by grouped sums. The score of a
+text is a sum of one value for each of its words, pairs and triples; a join by hash looks them up.
+Tasks hold tables of a fixed size only, which save rows of the shuffle and change no result: bits of the
+strings that a table may have, and the values of common words.
 """
 
 from __future__ import annotations
@@ -16,17 +18,17 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from saleslayers.llm.common import release, written
+from saleslayers.llm.common import discard, release, written
 
-#: Longest context, least share and number of a counted string, discount, and the gain in log-likelihood
-#: (in nats, over all its occurrences) from which a context is kept.
+#: Longest context, least number of a counted string, discount, and the gain in log-likelihood (in nats,
+#: over all its occurrences) from which a context is kept.
 DEPTH = 2
-LEAST_SHARE = 1e-6
 LEAST_COUNT = 2
 DISCOUNT = 0.75
 LEAST_GAIN = 8.0
@@ -34,6 +36,11 @@ LEAST_GAIN = 8.0
 #: Bytes of text that are looked up together.
 TEXT_AT_ONCE = 6_000_000
 
+#: Share of all tokens from which a word's values go to every task instead of through the join.
+COMMON_SHARE = 1e-6
+#: Bits (as a power of two) of the set of strings that a table may have.
+SET_BITS = 26
+
 #: The end of a text as a token; no word has white space.
 END = "\n"
 
@@ -238,59 +245,217 @@ def count_strings(texts: DataFrame, tree: Tree, least: int) -> tuple[np.ndarray,
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], ["key", "n"])
 
     rows = texts.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    table = rows.toPandas()  # at most 1 / LEAST_SHARE rows
+    table = rows.toPandas()
     return table["key"].to_numpy(np.int64), table["n"].to_numpy(np.int64)
 
 
 def train(texts: DataFrame) -> tuple[Tree, DataFrame]:
-    """The tree of a training part (one column, text), and the counts of all its words (token, c)."""
+    """The tree of a training part (one column, text) in the driver's memory, and the counts of all its words
+    (token, c). For corpora that fit there; `score_documents` has the same tree as tables."""
     counts = written(count_words(texts), "word-counts")
     total = counts.where("c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    least = max(LEAST_COUNT, math.ceil(total["n"] * LEAST_SHARE))
-    frequent = counts.where((F.col("c") >= least) & (F.col("token") != END)).orderBy("token").toPandas()
+    frequent = counts.where((F.col("c") >= LEAST_COUNT) & (F.col("token") != END)).orderBy("token").toPandas()
     ends = counts.where(F.col("token") == END).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
     words = pa.array([*frequent["token"], END], pa.large_string())
     tree = Tree(words, np.append(frequent["c"].to_numpy(np.int64), ends), total["n"], total["v"])
     for _ in range(DEPTH):
-        tree.grow(*count_strings(texts, tree, least))
+        tree.grow(*count_strings(texts, tree, LEAST_COUNT))
     tree.prune()
     return tree, counts
 
 
-_SCORED = (
-    "doc_id long, held_out boolean, n_tokens long, known long, base double, score double, "
-    "rare array<struct<token: string, n: long>>"
-)
+def _hashes(words: list[str] | np.ndarray) -> np.ndarray:
+    return pd.util.hash_array(np.asarray(words, object), categorize=False).view(np.int64)
+
+
+#: The hash of the end.
+_END = int(_hashes([END])[0])
+
+
+def _hashed(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, an end before the first and after each; and where each text's begin."""
+    coded, offsets = _split(texts)
+    docs = len(offsets) - 1
+    stream = np.full(offsets[-1] + docs + 1, _END, np.int64)
+    owner = np.repeat(np.arange(docs), np.diff(offsets))
+    stream[np.arange(offsets[-1]) + owner + 1] = _hashes(coded.dictionary.to_numpy(zero_copy_only=False))[coded.indices.to_numpy()]
+    return stream, offsets[:-1] + np.arange(docs)
+
+
+#: A string's hash is that of its first part, and that of its last part turned by so many bits.
+_OF_PAIR, _OF_TRIPLE = 1, 7
+
+
+def _turned(x: np.ndarray, y: np.ndarray, by: int) -> np.ndarray:
+    y = y.view(np.uint64)
+    return (x.view(np.uint64) ^ ((y << np.uint64(by)) | (y >> np.uint64(64 - by)))).view(np.int64)
+
+
+def _key(x: str, y: str, by: int) -> Column:
+    """_turned as a column."""
+    return F.col(x).bitwiseXOR(F.shiftleft(y, by).bitwiseOR(F.shiftrightunsigned(y, 64 - by)))
+
+
+def _pairs(stream: np.ndarray) -> np.ndarray:
+    """Hash of each word and the one before it; the first word has the end before it."""
+    return _turned(stream[:-1], stream[1:], _OF_PAIR)
+
+
+def _triples(pairs: np.ndarray) -> np.ndarray:
+    """Hash of each pair and the one before it."""
+    return _turned(pairs[:-1], pairs[1:], _OF_TRIPLE)
+
+
+def _bits(keys: DataFrame) -> np.ndarray:
+    """A set of at most 2 ** SET_BITS bits, in which every key is and others may be."""
+    key = F.col(keys.columns[0])
+    word, bit = F.shiftrightunsigned(key, 70 - SET_BITS), F.shiftrightunsigned(key, 64 - SET_BITS).bitwiseAND(63).cast("int")
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), bit)
+    rows = keys.select(word.alias("word"), mask.alias("mask")).groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
+    bits = np.zeros(1 << (SET_BITS - 6), np.int64)
+    bits[rows["word"].to_numpy()] = rows["mask"].to_numpy()
+    return bits
 
 
-def _scorer(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _may_have(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = keys.view(np.uint64) >> np.uint64(64 - SET_BITS)
+    return (bits[(at >> np.uint64(6)).astype(np.int64)].view(np.uint64) >> (at & np.uint64(63))) & np.uint64(1) == 1
+
+
+def _counted(columns: list[np.ndarray], names: list[str], key: np.ndarray) -> pa.RecordBatch:
+    """Each string once, with its number; key tells the strings of a batch apart."""
+    _, first, n = np.unique(key, return_index=True, return_counts=True)
+    return pa.RecordBatch.from_arrays([*[pa.array(c[first]) for c in columns], pa.array(n)], [*names, "n"])
+
+
+def _count(texts: DataFrame, names: list[str], strings: Callable[[np.ndarray], tuple[list[np.ndarray], np.ndarray]]) -> DataFrame:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _small(batches, 0):
+            columns, key = strings(_hashed(batch.column(0))[0])
+            yield _counted(columns, names, key)
+
+    schema = ", ".join(f"{c} long" for c in [*names, "n"])
+    return texts.mapInArrow(count, schema).groupBy(*names).agg(F.sum("n").alias("n"))
+
+
+@dataclass
+class Model:
+    """The tree as a table: the value (log10) that a string adds to the score of a text, by kind (1 word, 2 pair,
+    3 triple) and key. Words also have their add-one probability (base); their value is of what follows them."""
+
+    values: DataFrame
+    tokens: int
+    distinct: int
+
+
+def fit(texts: DataFrame) -> Model:
+    """The model of a training part (one column, text)."""
+    context = texts.sparkSession.sparkContext
+    words = written(_count(texts, ["h"], lambda stream: ([stream[1:]], stream[1:])).where("n > 0"), "words")
+    total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
+    may = context.broadcast(_bits(words.where((F.col("n") >= LEAST_COUNT) | (F.col("h") == _END)).select("h")))
+
+    def pairs_of(stream: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+        real = _may_have(may.value, stream)
+        at = np.flatnonzero(real[:-1] & real[1:])
+        pairs = _pairs(stream)[at]
+        return [stream[at], stream[at + 1]], pairs
+
+    pairs = _count(texts, ["b", "w"], pairs_of).where(F.col("n") >= LEAST_COUNT)
+    pairs_only = pairs = written(pairs.withColumn("q", _key("b", "w", _OF_PAIR)), "pairs")
+    may.destroy()
+    release(texts.sparkSession)
+    may_pair = context.broadcast(_bits(pairs.select("q")))
+
+    def triples_of(stream: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+        pairs = _pairs(stream)
+        real = _may_have(may_pair.value, pairs)
+        at = np.flatnonzero(real[:-1] & real[1:] & (stream[1:-1] != _END))
+        return [pairs[at], pairs[at + 1]], _triples(pairs)[at]
+
+    triples = written(_count(texts, ["p", "q"], triples_of).where(F.col("n") >= LEAST_COUNT), "triples")
+    may_pair.destroy()
+    release(texts.sparkSession)
+    root = lambda n: (n + 1) / F.lit(float(total["n"] + total["v"] + 1))
+    pairs = pairs.join(words.select(F.col("h").alias("b"), F.col("n").alias("n_b")), "b")
+    counted = pairs_only, triples
+    pairs = written(pairs.join(words.select(F.col("h").alias("w"), root(F.col("n")).alias("root")), "w").drop("w"), "pairs-of-words")
+    triples = triples.join(pairs.select(F.col("q").alias("p"), F.col("n").alias("n_p")), "p")
+    triples = triples.join(pairs.select("q", "b", "root", F.col("n").alias("n_q"), "n_b"), "q")
+
+    def tested(strings: DataFrame, by: list[str], here: Column, there: Column, of: str) -> DataFrame:
+        gain, mass = F.sum(F.col("n") * F.log(here / there)), F.sum((F.col("n") - DISCOUNT) / F.col(of))
+        return strings.groupBy(*by).agg(gain.alias("gain"), (1 - mass).alias("rest"))
+
+    triples = written(triples, "triples-of-pairs")
+    for done in counted:
+        discard(done)
+    release(texts.sparkSession)
+    longer = tested(triples, ["p", "b"], F.col("n") / F.col("n_p"), F.col("n_q") / F.col("n_b"), "n_p")
+    longer = written(longer.where(F.col("gain") >= LEAST_GAIN), "contexts-2")
+    shorter = tested(pairs, ["b"], F.col("n") / F.col("n_b"), F.col("root"), "n_b")
+    shorter = shorter.join(longer.select("b").distinct().withColumn("longer", F.lit(True)), "b", "left")
+    shorter = written(shorter.where((F.col("gain") >= LEAST_GAIN) | F.col("longer")).select("b", F.col("rest").alias("rest_b")), "contexts-1")
+    chance = lambda n, of, rest, lower: (n - DISCOUNT) / of + rest * lower
+    low = chance(F.col("n"), F.col("n_b"), F.col("rest_b"), F.col("root"))
+    contexts = longer.select(F.col("p").alias("q"), "rest")
+    of_pairs = pairs.join(shorter, "b", "left").join(contexts, "q", "left")
+    value = F.coalesce(F.log10(low / F.col("rest_b") / F.col("root")), F.lit(0.0)) + F.coalesce(F.log10("rest"), F.lit(0.0))
+    none = F.lit(None).cast("double")
+    of_pairs = of_pairs.where("rest_b IS NOT NULL OR rest IS NOT NULL").select(F.lit(2).alias("kind"), F.col("q").alias("key"), none.alias("base"), value.alias("value"))
+    low = chance(F.col("n_q"), F.col("n_b"), F.col("rest_b"), F.col("root"))
+    high = chance(F.col("n"), F.col("n_p"), F.col("rest"), low)
+    of_triples = triples.join(longer.select("p", "rest"), "p").join(shorter, "b")
+    of_triples = of_triples.select(F.lit(3).alias("kind"), _key("p", "q", _OF_TRIPLE).alias("key"), none.alias("base"), F.log10(high / F.col("rest") / low).alias("value"))
+    of_words = words.join(shorter, F.col("h") == F.col("b"), "left")
+    of_words = of_words.select(F.lit(1).alias("kind"), F.col("h").alias("key"), F.log10(root(F.col("n"))).alias("base"), F.coalesce(F.log10("rest_b"), F.lit(0.0)).alias("value"))
+    values = written(of_words.union(of_pairs).union(of_triples), "values")
+    for done in (words, pairs, triples, longer, shorter):
+        discard(done)
+    return Model(values, total["n"], total["v"])
+
+
+_STRINGS = "row long, kind int, key long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double"
+
+
+def _scorer(common, may) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """For each text a row of kind 0 with sums over its common words, and a row for each string to look up."""
+
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = shared.value
-        for batch in _small(batches, 2):
+        keys, base, value = common.value
+        index = Index(keys)
+        for batch in _small(batches, 3):
             docs = batch.num_rows
-            coded, offsets = _split(batch.column(2))
-            stream = _stream(coded, offsets, tree)
-            plain, best = tree.score(stream)
-            stream, plain, best = stream[1:], plain[1:], best[1:]
-            starts = offsets[:-1] + np.arange(docs)
-            known = (stream >= 0) & (tree.counts[np.maximum(stream, 0)] > 0)
-            sums = [np.add.reduceat(x, starts) for x in (known.astype(np.int64), plain, best)]
-            # Rare words of each text, each once with its number.
-            is_end = np.zeros(len(stream), bool)
-            is_end[starts[1:] - 1] = is_end[-1] = True
-            rare = stream[~is_end] < 0
-            owner = np.repeat(np.arange(docs), np.diff(offsets))[rare]
-            pairs, n = np.unique(owner * len(coded.dictionary) + coded.indices.to_numpy()[rare], return_counts=True)
-            at, word = (pairs // len(coded.dictionary), pairs % len(coded.dictionary)) if len(pairs) else (pairs, pairs)
-            tokens = coded.dictionary.take(pa.array(word, pa.int64())).cast(pa.string())
-            items = pa.StructArray.from_arrays([tokens, pa.array(n, pa.int64())], ["token", "n"])
-            ends = np.append(0, np.cumsum(np.bincount(at.astype(np.int64), minlength=docs))).astype(np.int32)
-            columns = [batch.column(0), batch.column(1), pa.array(np.diff(offsets) + 1), *map(pa.array, sums), pa.ListArray.from_arrays(pa.array(ends), items)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "known", "base", "score", "rare"])
+            stream, starts = _hashed(batch.column(3))
+            tokens = np.diff(np.append(starts, len(stream) - 1))
+            owner = np.repeat(np.arange(docs), tokens)
+            place = index.find(stream[1:])
+            seen = place >= 0
+            plain = np.where(seen, np.append(base, 0)[place], 0.0)
+            best = plain + np.where(seen, np.append(value, 0)[place], 0.0)
+            sums = [np.add.reduceat(x, starts) for x in (seen.astype(np.int64), plain, best)]
+            pairs = _pairs(stream)
+            two = np.flatnonzero(_may_have(may.value, pairs))
+            triples = _triples(pairs)
+            three = np.flatnonzero(_may_have(may.value, triples) & (stream[1:-1] != _END))
+            one = np.flatnonzero(~seen)
+            rows = batch.column(0)
+            empty = lambda n, t: pa.nulls(n, t)
+            whole = [rows, pa.array(np.zeros(docs, np.int32)), rows, batch.column(1), batch.column(2), pa.array(tokens), *map(pa.array, sums)]
+            yield pa.RecordBatch.from_arrays(whole, _NAMES)
+            n = len(one) + len(two) + len(three)
+            of = rows.take(pa.array(np.concatenate([owner[one], owner[two], owner[three + 1]])))
+            kind = np.repeat(np.array([1, 2, 3], np.int32), [len(one), len(two), len(three)])
+            found = np.concatenate([stream[one + 1], pairs[two], triples[three]])
+            kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
+            yield pa.RecordBatch.from_arrays([of, pa.array(kind), pa.array(found), *[empty(n, t) for t in kinds]], _NAMES)
 
     return score
 
 
+_NAMES = ["row", "kind", "key", "doc_id", "held_out", "n_tokens", "known", "base", "score"]
+
+
 def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -302,25 +467,32 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col(text_col).cast("string").alias("text")
     )
-    spark = docs.sparkSession
-    tree, counts = train(rows.where("NOT held_out").select("text"))
-    release(spark)
-    scored = rows.mapInArrow(_scorer(spark.sparkContext.broadcast(tree)), _SCORED)
-    scored = written(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
-    frequent = int(tree.counts[:-1].min()) if len(tree.counts) > 1 else None
-    others = counts.where(F.col("token") != END) if frequent is None else counts.where((F.col("token") != END) & (F.col("c") < frequent))
-    rare = scored.select("row", F.inline("rare")).join(others, "token", "left")
-    c, all_of = F.coalesce("c", F.lit(0)), float(tree.tokens + tree.distinct + 1)
-    per_row = rare.groupBy("row").agg(
-        F.sum(F.col("n") * F.log10((c + 1) / F.lit(all_of))).alias("log_rare"), F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("known_rare")
-    )
-    log_rare = F.coalesce("log_rare", F.lit(0.0))
-    return scored.drop("rare").join(per_row, "row", "left").select(
-        "doc_id",
-        "held_out",
-        "n_tokens",
-        (F.col("known") + F.coalesce("known_rare", F.lit(0))).alias("n_known"),
-        F.lit(tree.tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + log_rare).alias("base_score"),
-        (F.col("score") + log_rare).alias("score"),
+    context = docs.sparkSession.sparkContext
+    model = fit(rows.where("NOT held_out").select("text"))
+    release(docs.sparkSession)
+    unknown = -math.log10(model.tokens + model.distinct + 1)
+    # At most 1 / COMMON_SHARE words; any other is looked up by the join.
+    bar = math.log10((model.tokens * COMMON_SHARE + 1) / (model.tokens + model.distinct + 1))
+    common = model.values.where((F.col("kind") == 1) & (F.col("base") >= bar)).select("key", "base", "value").toArrow()
+    common = context.broadcast(tuple(common[c].to_numpy() for c in ("key", "base", "value")))
+    may = context.broadcast(_bits(model.values.where("kind > 1").select("key")))
+    strings = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text").mapInArrow(_scorer(common, may), _STRINGS)
+    found = model.values.withColumnsRenamed({"base": "log_base", "value": "log_value"})
+    both = strings.join(found, ["kind", "key"], "left")
+    is_word = F.col("kind") == 1
+    plain = F.when(is_word, F.coalesce("log_base", F.lit(unknown)))
+    total = lambda own, x: F.sum(F.coalesce(own, F.lit(0)) + F.coalesce(x, F.lit(0)))
+    value = F.coalesce(plain, F.lit(0.0)) + F.coalesce("log_value", F.lit(0.0))
+    return (
+        both.groupBy("row")
+        .agg(
+            F.max("doc_id").alias("doc_id"),
+            F.max("held_out").alias("held_out"),
+            F.max("n_tokens").alias("n_tokens"),
+            total("known", F.when(is_word & F.col("log_base").isNotNull(), 1)).cast("long").alias("n_known"),
+            F.lit(model.tokens).cast("long").alias("train_tokens"),
+            total("base", plain).alias("base_score"),
+            total("score", value).alias("score"),
+        )
+        .drop("row")
     )

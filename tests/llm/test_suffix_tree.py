@@ -126,3 +126,14 @@ def test_index():
     assert (index.find(keys) == np.arange(len(keys))).all()
     assert (index.find(np.array([-5, 2**41, int(keys[7]) + (int(keys[7]) + 1 == int(keys[8])) * 0])) == [-1, -1, 7]).all()
     assert (st.Index(np.zeros(0, np.int64)).find(np.array([3])) == [-1]).all()
+
+
+def test_rare_strings_of_a_large_corpus_take_part(spark):
+    # Over two million tokens, in which a share of 1e-6 would be a count of three.
+    filler = " ".join("f%d" % (k % 50) for k in range(10_000))
+    docs = [(i, filler) for i in range(1000, 1300) if not held(i)]
+    twice = [(i, "north zq1 zq2 zq3 zq4 zq1 zq2 zq3 zq4 south") for i in range(40) if not held(i)][:1]
+    asked = next((i, "zq1 zq2 zq3") for i in range(40, 80) if held(i))
+    rows = st.score_documents(spark.createDataFrame([*docs, *twice, asked], "doc_id long, text string"), held_out())
+    row = rows.where(f"doc_id = {asked[0]}").first()
+    assert row.train_tokens > 2_000_000 and row.score > row.base_score + 3
