@@ -29,10 +29,13 @@ _IP_PARTS = r"^0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?:\.0*(?:25[0-5]|2[0-4][0
 #: Characters of context on either side of an entity (up to the next of its kind), and shortest term.
 CONTEXT = 80
 TERM = r"\p{L}{3,}"
-#: A term is sanitised from this share of the entity's information on, and removed from the second on, if
-#: it stands near the entity in as many different texts: one text tells nothing about what goes together.
+#: A term is sanitised from this share of the entity's information on, and removed from the second on. Near
+#: an entity of several texts it counts if it is there in LEAST_TEXTS of them. An entity of one text has no
+#: more to tell than how much the term narrows the corpus down; the term then counts as if it stood in PRIOR
+#: further documents that are not the entity's, as little is known of a term that is hardly ever seen.
 GENERALISE, REMOVE = 0.5, 0.9
 LEAST_TEXTS = 2
+PRIOR = 20
 
 _SPAN = "array<struct<start:int,kind_no:int,end:int,value:string,before:string,after:string>>"
 
@@ -177,13 +180,15 @@ def disclosing(around: DataFrame, docs: DataFrame) -> DataFrame:
     doc = F.struct("doc_id", "h")
     once = around.select("entity", "term", "doc_id", "h").distinct()
     pairs = once.groupBy("entity", "term").agg(F.count("*").alias("both"), F.count_distinct("h").alias("texts"))
-    pairs = written(pairs.where(F.col("texts") >= LEAST_TEXTS), "term-pairs")
-    entities = around.select("entity", "doc_id", "h").distinct().groupBy("entity").agg(F.count(doc).alias("n_entity"))
+    entities = around.select("entity", "doc_id", "h").distinct().groupBy("entity").agg(F.count(doc).alias("n_entity"), F.count_distinct("h").alias("of_texts"))
+    pairs = pairs.join(entities, "entity")
+    pairs = written(pairs.where((F.col("texts") >= LEAST_TEXTS) | (F.col("of_texts") == 1)), "term-pairs")
     letters = F.array_distinct(F.split(F.lower("text"), r"\P{L}+"))
     terms = docs.select(F.explode(letters).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
-    counted = pairs.join(entities, "entity").join(terms, "term")
+    counted = pairs.join(terms, "term")
     n = F.lit(float(max(total, 1)))
-    pmi = F.log(F.col("both") / F.col("n_entity")) - F.log(F.col("n_term") / n)
+    prior = F.when(F.col("of_texts") == 1, PRIOR).otherwise(0)
+    pmi = F.log(F.col("both") / F.col("n_entity")) - F.log((F.col("n_term") + prior) / (n + prior))
     information = -F.log(F.col("n_entity") / n)
     share = F.when(information > 0, pmi / information).otherwise(F.lit(0.0))
     return counted.select("entity", "term", share.alias("share")).where(F.col("share") >= GENERALISE)

@@ -93,6 +93,17 @@ def test_sanitised_documents(spark):
     assert not any(base(r.text) for r in rows)
 
 
+def test_rare_terms_near_an_entity_of_one_text(spark):
+    docs = [(i, f"please call the office about item lists {i}") for i in range(2000)] + [(5000, "please call Jonathan Kowalski at jk@corp.com about item lists")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    row = pii.find(frame).where("doc_id = 5000").first()
+    text = docs[-1][1]
+    terms = [text[int(s.split(":")[1]) : int(s.split(":")[2])] for s in row.spans.split(",") if s.startswith("term")]
+    assert terms == ["Jonathan", "Kowalski"] and row.n_term == 2
+    clean = pii.sanitise(frame).where("doc_id = 5000").first().text
+    assert clean == "please call [TERM] [TERM] at [EMAIL] about item lists"
+
+
 def test_empty_table(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert pii.find(none).count() == 0 and pii.sanitise(none).count() == 0
