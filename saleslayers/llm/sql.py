@@ -74,3 +74,21 @@ least_id AS (SELECT doc_id, min(c) AS c FROM reach GROUP BY doc_id)
 SELECT t.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, c AS component_id, c = t.doc_id AS kept
 FROM t JOIN least_id USING (doc_id) LEFT JOIN sizes USING (doc_id)
 """
+
+OP13 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, coalesce(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])), 0)::BIGINT AS s
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)),
+p AS (SELECT a, b AS p, s AS ps FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY s DESC, b) <= 5),
+n AS (
+  SELECT p.a, p.p, p.ps, s.b, s.s, row_number() OVER (PARTITION BY p.a, p.p ORDER BY s.s DESC, s.b) AS rank
+  FROM p JOIN s ON s.a = p.a AND NOT same AND 30 * ps <= 100 * s.s AND 100 * s.s <= 90 * ps)
+SELECT a AS anchor_id, p AS positive_id, rank::INTEGER AS rank, b AS negative_id, ps AS positive_score, s AS negative_score
+FROM n WHERE rank <= 10
+"""
