@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saleslayers.catalog.base import Query
-from saleslayers.llm import decontamination, hard_negatives, near_duplicates, packing, pii, quality_rules, repeated_text, sharding, sql, suffix_tree, token_files, tokens, url_filter
+from saleslayers.llm import alignment, decontamination, hard_negatives, near_duplicates, packing, pii, quality_rules, repeated_text, sharding, sql, suffix_tree, token_files, tokens, url_filter
 from saleslayers.llm.common import table
 from saleslayers.session import scratch_path
 
@@ -70,6 +70,10 @@ def op10_repeated_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_text.deduplicate(table(spark, sf_dir, "documents"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), *alignment.default_tokenizers())
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
     relabelled = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -87,5 +91,6 @@ QUERIES = {
     "op8_near_duplicates": Query(op8_near_duplicates, sql.OP8),
     "op9_url_filter": Query(op9_url_filter),
     "op10_repeated_text": Query(op10_repeated_text),
+    "op12_alignment": Query(op12_alignment),
     "op13_hard_negatives": Query(op13_hard_negatives, sql.OP13),
 }
