@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saleslayers.catalog.base import Query
-from saleslayers.llm import alignment, decontamination, hard_negatives, near_duplicates, packing, pii, quality_rules, repeated_text, sharding, sql, suffix_tree, token_files, tokens, url_filter
+from saleslayers.llm import alignment, decontamination, hard_negatives, language_id, near_duplicates, packing, pii, quality_rules, repeated_text, sharding, sql, suffix_tree, token_files, tokens, url_filter
 from saleslayers.llm.common import table
 from saleslayers.session import scratch_path
 
@@ -70,6 +70,11 @@ def op10_repeated_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_text.deduplicate(table(spark, sf_dir, "documents"))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    return language_id.identify(table(spark, sf_dir, "documents"), held_out)
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(table(spark, sf_dir, "documents"), *alignment.default_tokenizers())
 
@@ -91,6 +96,7 @@ QUERIES = {
     "op8_near_duplicates": Query(op8_near_duplicates, sql.OP8),
     "op9_url_filter": Query(op9_url_filter),
     "op10_repeated_text": Query(op10_repeated_text),
+    "op11_language_id": Query(op11_language_id),
     "op12_alignment": Query(op12_alignment),
     "op13_hard_negatives": Query(op13_hard_negatives, sql.OP13),
 }

@@ -1,0 +1,132 @@
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from saleslayers.llm import language_id
+from saleslayers.llm.language_id import ALPHA, BETA, L1, L2, Leader, Model, split
+
+TEXTS = [None, "", "12 -- !", "a", "The cat, the CAT.", "Één café\nÉÉN", "日本 語x", "ét", "x" * 5000, "The cat, the CAT."]
+
+
+def grams(text):
+    """The n-grams of a text as strings, their ends marked by spaces."""
+    words = re.findall(r"[^\W\d_]+(?:[^\W\d_]|[̀-ͯ])*", (text or "").lower())
+    return [f" {w} "[i : i + n] for w in words for n in language_id.GRAMS for i in range(len(w) + 3 - n) if n > 1 or f" {w} "[i] != " "]
+
+
+def feature(gram):
+    """The hash of an n-gram, in whole numbers."""
+    x = len(gram)
+    for c in gram:
+        x = (x + ord(c)) * 0x9E3779B97F4A7C15 % 2**64
+        x ^= x >> 29
+    return (x * 0x9E3779B97F4A7C15 % 2**64) >> (64 - language_id.FEATURE_BITS)
+
+
+def languages(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+
+
+HELD = "crc32(cast(cast(doc_id AS string) AS binary)) % 5 = 0"
+
+
+def test_features_of_texts():
+    found = split(pa.array(TEXTS, pa.string()))
+    for k, text in enumerate(TEXTS):
+        own = [f for w in found.codes[found.offsets[k] : found.offsets[k + 1]] for f in found.features[found.starts[w] : found.starts[w] + found.lengths[w]]]
+        assert Counter(own) == Counter(map(feature, grams(text)))
+    values = np.random.default_rng(0).random((3, 1 << language_id.FEATURE_BITS))
+    want = np.array([[sum(row[feature(g)] for g in grams(t)) for t in TEXTS] for row in values])
+    assert np.allclose(found.sums(values), want)
+
+
+def test_document_frequencies(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "TEXT_AT_ONCE", 30)
+    monkeypatch.setattr(language_id, "MARKED_AT_ONCE", 2)
+    got = language_id.document_frequencies(spark.createDataFrame([(t,) for t in TEXTS * 3], "text string").repartition(3))
+    want = Counter(f for t in TEXTS * 3 for f in {feature(g) for g in grams(t)})
+    assert {int(f): int(got[f]) for f in np.flatnonzero(got)} == want
+
+
+def test_leader_follows_the_closed_form():
+    """Against weights that minimise the linearised loss plus both penalties, coordinate by coordinate."""
+    rng = np.random.default_rng(3)
+    leader, features = Leader(4, 2), 4
+    gradients, shifts = np.zeros((features, 2)), np.zeros((features, 2))
+    squares = np.zeros((features, 2))
+    for _ in range(30):
+        x, y = rng.random(features) * 3, int(rng.integers(0, 2))
+        w = leader.weights(np.arange(features))
+        for i in range(features):
+            for k in range(2):
+                g, s, n = gradients[i, k] - shifts[i, k], squares[i, k], 0
+                best = min(np.linspace(-6, 6, 2401), key=lambda v: g * v + 0.5 * ((BETA + math.sqrt(s)) / ALPHA) * v * v + L1 * abs(v) + 0.5 * L2 * v * v)
+                assert abs(best - w[i, k]) < 0.01
+        chance = np.exp(x @ w) / np.exp(x @ w).sum()
+        g = x[:, None] * (chance - np.eye(2)[y])
+        grown = squares + g**2
+        gradients, shifts, squares = gradients + g, shifts + (np.sqrt(grown) - np.sqrt(squares)) / ALPHA * w, grown
+        leader.learn(np.arange(features), x, y)
+
+
+def test_temperature_fits_the_calibration_rows():
+    rng = np.random.default_rng(1)
+    sums = rng.normal(0, 1, (4000, 3))
+    chances = language_id._softmax(sums)
+    truth = np.array([rng.choice(3, p=c) for c in chances])
+    assert abs(language_id._temperature(sums * 5, truth) - 5) < 0.5
+    assert language_id._temperature(np.empty((0, 3)), np.empty(0, np.int64)) == 1.0
+
+
+def test_probabilities_of_a_text_are_those_of_its_features():
+    rng = np.random.default_rng(2)
+    model = Model(["x", "y"], rng.normal(0, 50, (2, 1 << language_id.FEATURE_BITS)), np.array([0.1, -0.3]), 1.7)
+    texts = [t for t in TEXTS if t]
+    for text, got in zip(texts, model.probabilities(split(pa.array(texts)))):
+        own = [feature(g) for g in grams(text)]
+        sums = [(sum(w[f] for f in own) / max(len(own), 1) + b) / 1.7 for w, b in zip(model.weights, model.intercepts)]
+        assert np.allclose(got, np.exp(sums) / np.exp(sums).sum())
+
+
+def test_held_out_accuracy(spark, sf_dir):
+    docs = languages(spark, sf_dir)
+    rows = language_id.identify(docs, F.expr(HELD)).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert len(rows) == docs.count()
+    out = [r for r in rows if r.held_out]
+    assert {r.doc_id for r in out} == {r.doc_id for r in rows if zlib.crc32(str(r.doc_id).encode()) % 5 == 0}
+    assert np.mean([r.lang == r.lang_pred for r in out]) > 0.95 and all(0 <= r.score <= 1 for r in rows)
+    assert np.mean([r.score for r in out]) > 0.9
+
+
+def test_weights_are_sparse_and_held_out_rows_teach_nothing(spark, sf_dir):
+    docs = languages(spark, sf_dir)
+    model = language_id.fit(docs.where(f"NOT ({HELD})").select("lang", "text"))
+    assert np.mean(model.weights == 0) > 0.5
+    other = docs.withColumn("lang", F.when(F.expr(HELD), "zz").otherwise(F.col("lang")))
+    first, second = (sorted(map(tuple, language_id.identify(d.repartition(n), F.expr(HELD)).collect())) for d, n in ((docs, 2), (other, 5)))
+    assert [r[:3] for r in first] == [r[:3] for r in second] and np.allclose([r[3] for r in first], [r[3] for r in second])
+
+
+@pytest.mark.parametrize("lang", ["lang", None])
+def test_odd_rows(spark, lang):
+    rows = [(k, t, "fr" if k % 2 else "en", 1) for k, t in enumerate(["le chat et la maison", "the cat and the house"][::-1] * 20)]
+    rows += [(100, None, "en", 1), (101, "", None, 1), (102, "12 3!", "fr", 1), (103, "the house", None, 1), (None, "la maison", None, 1), (103, "the house", None, 1), (104, "дом", None, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, score int")
+    if lang is None:
+        docs = docs.withColumn("lang", F.lit(None).cast("string"))
+    got = language_id.identify(docs, F.col("doc_id") == 5)
+    found = Counter((r.doc_id, r.lang_pred) for r in got.collect() if r.doc_id is None or r.doc_id >= 100)
+    plain = {(100, "und"): 1, (101, "und"): 1, (102, "und"): 1}
+    if lang is None:  # nothing to learn from
+        assert found == Counter(plain | {(103, "und"): 2, (None, "und"): 1, (104, "und"): 1})
+    else:
+        assert {k: n for k, n in found.items() if k[0] != 104} == plain | {(103, "en"): 2, (None, "fr"): 1}
+        assert {k[1] for k in found if k[0] == 104} <= {"en", "fr"}
+        assert {r.score for r in got.collect() if r.lang_pred == "und"} == {0.0}
+    assert language_id.identify(docs.limit(0), F.lit(None).cast("boolean")).collect() == []
