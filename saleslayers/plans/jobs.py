@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from saleslayers.plans import bronze, gold, silver
+from saleslayers.plans import bronze, gold, incremental, silver
 from saleslayers.schemas import FILE_REGISTRY, STRING
 from saleslayers.session import scratch_path
 from saleslayers.sinks.dimensions import drop_old_current_rows, read_current, read_history
@@ -56,6 +56,13 @@ class Layout:
     def report(self, name: str) -> str:
         return f"{self.root}/reports/{name}"
 
+    def changes(self, table: str) -> str:
+        return f"{self.root}/changes/{table}"
+
+    def kept_up(self, name: str) -> incremental.Tables:
+        """A report that `load_reports` keeps up, with its partial sums."""
+        return incremental.Tables(self.report(name), f"{self.root}/partial_sums/{name}", f"{self.root}/refreshes/{name}")
+
     def checkpoint(self, load: str) -> str:
         return f"{self.root}/checkpoints/{load}"
 
@@ -151,6 +158,7 @@ def load_fact(
         layout.checkpoint("fact_sale_orders"),
         rejects=layout.rejects("fact_sale_orders"),
         partition_columns=partition_columns,
+        changes=layout.changes("fact_sale_orders"),
     )
 
 
@@ -168,18 +176,25 @@ def read_dimension(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
 
 
 def refresh_report_table(spark: SparkSession, root: str, report: gold.Report, star: gold.Star, run_ts: datetime) -> DataFrame:
-    """Writes a report as its table's next version, frees all but the last KEPT_VERSIONS and returns the new one."""
+    """Writes a whole report as its table's next version, frees all but the last KEPT_VERSIONS and returns the new one."""
     table = read_version(spark, root, report.schema)
     write_version(gold.refresh_report(table, gold.report_rows(report, star, run_ts), report), root)
     drop_old_versions(spark, root, KEPT_VERSIONS)
     return read_version(spark, root, report.schema)
 
 
-def load_reports(spark: SparkSession, layout: Layout, run_ts: datetime) -> None:
-    """All reports from the tables as they are now."""
+def load_reports(
+    spark: SparkSession, layout: Layout, run_ts: datetime, fact_partitions: Sequence[str] = silver.FACT_PARTITIONS
+) -> None:
+    """The groups of all reports that loads since the last call touched."""
     star = read_star(spark, layout)
     for report in gold.REPORTS.values():
-        refresh_report_table(spark, layout.report(report.name), report, star, run_ts)
+        incremental.refresh(star, report, layout.kept_up(report.name), layout.changes("fact_sale_orders"), run_ts, fact_partitions)
+
+
+def read_report(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
+    """A report as `load_reports` left it."""
+    return incremental.read_report(spark, gold.REPORTS[name], layout.kept_up(name))
 
 
 def load_all(
@@ -194,4 +209,4 @@ def load_all(
     for name in silver.DIMENSIONS:
         load_dimension(spark, layout, name, run_ts)
     load_fact(spark, layout, fact_partitions)
-    load_reports(spark, layout, run_ts)
+    load_reports(spark, layout, run_ts, fact_partitions)

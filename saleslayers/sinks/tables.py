@@ -6,13 +6,16 @@ from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
 MOVES_AT_ONCE = 32
 
+#: Number of rows of a partition in `partitions_of`.
+LINES = "lines"
+
 
 def laid_out(df: DataFrame, partition_columns: Sequence[str]) -> DataFrame:
     """Rows grouped by partition before a write, so each partition gets few files.
@@ -54,8 +57,7 @@ def written(df: DataFrame, path: str) -> Iterator[DataFrame]:
     try:
         yield materialise(df, path)
     finally:
-        fs, folder, _ = _file_system(df.sparkSession, path)
-        fs.delete(folder, True)
+        drop_folder(df.sparkSession, path)
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -64,6 +66,12 @@ def _file_system(spark: SparkSession, path: str):
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder, hadoop
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder if it is there."""
+    fs, folder, _ = _file_system(spark, path.rstrip("/"))
+    fs.delete(folder, True)
+
+
 def versions(spark: SparkSession, root: str) -> list[int]:
     """Complete versions below a table root, oldest first."""
     fs, folder, hadoop = _file_system(spark, root)
@@ -104,20 +112,21 @@ def drop_old_versions(spark: SparkSession, root: str, keep: int = 2, part: str =
         fs.delete(hadoop.Path(f"{root}/version={number}/{part}".rstrip("/")), True)
 
 
-def partition_label(columns: Sequence[str]) -> Column:
-    """One text per partition; NULL parts stay distinct from all values."""
-    return F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in columns])
+def partitions_of(rows: DataFrame, partition_columns: Sequence[str]) -> DataFrame:
+    """The partitions that rows belong to, with the number of their lines."""
+    return rows.groupBy(*partition_columns).agg(F.count("*").alias(LINES))
 
 
-def touched_partitions(table: DataFrame, batch: DataFrame, partition_columns: Sequence[str]) -> DataFrame:
-    """The table's rows in the partitions that a batch has rows for.
+def rows_in_partitions(table: DataFrame, partitions: DataFrame, partition_columns: Sequence[str]) -> DataFrame:
+    """The table's rows in some partitions (a written frame of `partitions_of`).
 
-    Only the names of those partitions come to the driver (at most one per day of data). The
-    filter is on partition columns alone, so other folders are never read.
+    A semi join on the bare partition columns: Spark first reads the small frame and then lists only the
+    folders that it names (dynamic partition pruning), however many there are, and nothing comes to the
+    driver but these names, typed. Partition values are not NULL.
     """
-    label = partition_label(partition_columns)
-    names = [row[0] for row in batch.select(label).distinct().collect()]
-    return table.filter(label.isin(names))
+    # The comparison tells the planner that the frame selects; without one it would not prune.
+    named = partitions.filter(F.col(LINES) > 0).select(*partition_columns)
+    return table.join(named, list(partition_columns), "left_semi")
 
 
 def replace_partitions(df: DataFrame, path: str, partition_columns: Sequence[str]) -> None:

@@ -25,8 +25,9 @@ from saleslayers.sinks.dimensions import read_current, write_dimension
 from saleslayers.sinks.tables import (
     append_batch,
     finish_replacement,
+    partitions_of,
     replace_partitions,
-    touched_partitions,
+    rows_in_partitions,
     written,
 )
 from saleslayers.sources.files import CSV_OPTIONS
@@ -124,15 +125,17 @@ def upsert_fact(
     *,
     rejects: str | None = None,
     partition_columns: Sequence[str] = silver.FACT_PARTITIONS,
+    changes: str | None = None,
 ) -> StreamingQuery:
-    """Every new raw order line into the fact table; only the touched partitions are rewritten."""
+    """Every new raw order line into the fact table; only the touched partitions are rewritten, and recorded
+    below `changes`."""
     raw_table = bronze.RAW_TABLES["sale_orders"]
 
     def load(batch: DataFrame, batch_id: int) -> None:
         with written(silver.labelled_lines(batch), scratch_path(batch.sparkSession, "labelled")) as labelled:
             if rejects:
                 append_batch(rejected_rows(labelled).drop(silver.LOAD), rejects, batch_id, column=BATCH)
-            write_fact(silver.fact_batch(labelled), fact_root, partition_columns)
+            write_fact(silver.fact_batch(labelled), fact_root, partition_columns, changes=changes, batch_id=batch_id)
 
     raw = spark.readStream.schema(raw_table_schema(raw_table)).parquet(raw_root)
     return run_available(raw, load, checkpoint)
@@ -168,21 +171,32 @@ def upsert_dimension(
 
 
 def write_fact(
-    batch: DataFrame, fact_root: str, partition_columns: Sequence[str] = silver.FACT_PARTITIONS
+    batch: DataFrame,
+    fact_root: str,
+    partition_columns: Sequence[str] = silver.FACT_PARTITIONS,
+    *,
+    changes: str | None = None,
+    batch_id: int = 0,
 ) -> None:
     """Merges a batch of valid lines into the partitioned fact table.
 
     The creation time is part of the key and gives the partition, so a line can only meet its
     older self within the partitions that the batch touches. Small tables do with years or
     months as partitions; a table always keeps the ones it was first written with.
+
+    With `changes`, the touched partitions are put on record under the batch's number once they are in
+    place; a batch that is repeated after a failure replaces its record.
     """
     spark = batch.sparkSession
     finish_replacement(spark, fact_root, partition_columns)
     with written(batch, scratch_path(spark, "fact-batch")) as rows:
         if rows.isEmpty():
             return
-        affected = touched_partitions(read_fact(spark, fact_root), rows, partition_columns)
-        replace_partitions(silver.merge_fact(affected, rows), fact_root, partition_columns)
+        with written(partitions_of(rows, partition_columns), scratch_path(spark, "touched")) as touched:
+            affected = rows_in_partitions(read_fact(spark, fact_root), touched, partition_columns)
+            replace_partitions(silver.merge_fact(affected, rows), fact_root, partition_columns)
+            if changes:
+                append_batch(touched, changes, batch_id, column=BATCH)
 
 
 def read_fact(spark: SparkSession, fact_root: str) -> DataFrame:

@@ -6,10 +6,8 @@ from datetime import date, datetime, timezone
 from conftest import as_set
 
 from saleslayers import schemas
-from saleslayers.plans.gold import REPORTS
-from saleslayers.plans.jobs import Layout, land_archives, load_all, load_raw, read_dimension, read_star, registry
+from saleslayers.plans.jobs import Layout, land_archives, load_all, load_raw, read_dimension, read_report, read_star, registry
 from saleslayers.sinks.dimensions import drop_old_current_rows
-from saleslayers.sinks.tables import read_version
 from saleslayers.sources.landing import registry_state
 
 FIRST, SECOND, THIRD = (datetime(2025, m, 1, tzinfo=timezone.utc) for m in (1, 2, 3))
@@ -105,8 +103,7 @@ def test_two_rounds(spark, tmp_path):
     load_all(spark, layout, FIRST)
 
     def country():
-        report = REPORTS["by_country"]
-        rows = read_version(spark, layout.report("by_country"), report.schema)
+        rows = read_report(spark, layout, "by_country")
         return as_set(rows.select("country", "total_sales_amount", "total_orders"))
 
     assert country() == sorted([("A", 6.0, 1), ("B", 8.0, 1), (None, 2.0, 1)], key=repr)
@@ -142,6 +139,6 @@ def test_two_rounds(spark, tmp_path):
         ("777", 2, 3),
         ("888", 3, None),
     ]
-    summary = read_version(spark, layout.report("sales_summary"), schemas.SALES_SUMMARY)
+    summary = read_report(spark, layout, "sales_summary")
     assert summary.filter("customer_name = 'Ann X'").select("sale_date").distinct().count() == 2
     assert {r.sale_date for r in summary.collect()} == {date(2024, 5, 1), date(2024, 6, 1)}
