@@ -251,19 +251,67 @@ def land_archives_same_name(spark, sf_dir):
     return read_csv(spark, schemas.CUSTOMERS, f"{layout.arrivals('customers')}/{RUN_TS:%Y/%m/%d}")
 
 
+def _interrupted_landing(spark, sf_dir, name: str) -> tuple[Layout, str]:
+    """Customers dropped as archives, landed by a run that is lost after the copies and before it registers them.
+    What it copied is read by a load of the raw table. The next day's run lands the drop again, twice."""
+    base = scratch_path(spark, name)
+    layout, zips = Layout(f"{base}/landing", f"{base}/tables"), f"{base}/zips"
+    zip_rows(raw(spark, sf_dir, "customers").hint("rebalance"), zips, "Customers")
+    _drop_damaged(spark, zips, "Customers")
+    with jobs.copied_entries(spark, layout, zips, RUN_TS):
+        pass  # here the run is lost
+    jobs.load_raw(spark, layout, "customers", RUN_TS + timedelta(hours=1))
+    for _ in range(2):
+        jobs.land_archives(spark, layout, zips, RUN_TS + timedelta(days=1))
+    jobs.load_raw(spark, layout, "customers", SECOND_TS)
+    return layout, zips
+
+
+def land_archives_retried(spark, sf_dir):
+    """The raw rows after such a landing: each customer once, from the first load."""
+    layout, _ = _interrupted_landing(spark, sf_dir, "landed-again")
+    rows = read_table(spark, layout.raw("customers"))
+    return rows.select(*schemas.CUSTOMERS.fieldNames(), loads.BATCH)
+
+
+def _registered(spark, layout: Layout, zips: str) -> DataFrame:
+    """By status: entries of the registry less what the archives of whole rows hold of that kind (`more_entries`), rows
+    read from the files, and how many of the landed files are not registered as this."""
+    state = landing.registry_state(jobs.registry(spark, layout))
+    audit = read_table(spark, layout.audit("customers")).select("file_key", "row_count")
+    archives = landing.list_files(spark, zips, "drop-*.zip").agg(F.count("*").alias("archives"))
+    landed = landing.list_files(spark, layout.arrivals("customers")).agg(F.count("*").alias("files"))
+    counted = state.join(audit, "file_key", "left").groupBy("status").agg(
+        F.count("*").alias("entries"), F.coalesce(F.sum("row_count"), F.lit(0)).alias("row_count")
+    )
+    both = archives.withColumn("one", F.lit(1)).join(landed.withColumn("one", F.lit(1)), "one")
+    per_archive = F.when(F.col("status") == "PROCESSED", 1).when(F.col("status") == "SKIPPED", 2).otherwise(0)
+    files = F.when(F.col("status") == "PROCESSED", F.col("files") - F.col("entries"))
+    return counted.withColumn("one", F.lit(1)).join(both, "one").select(
+        "status", (F.col("entries") - per_archive * F.col("archives")).alias("more_entries"), "row_count", files.alias("unregistered_files")
+    )
+
+
 def landed_registry(spark, sf_dir):
-    """What the registry holds of such a drop after a raw load: entries by status, and rows read from files."""
+    """What the registry holds of a drop among damaged archives after a raw load."""
     base = scratch_path(spark, "registered")
-    zip_rows(raw(spark, sf_dir, "customers").coalesce(1), f"{base}/zips", "Customers")
+    zip_rows(raw(spark, sf_dir, "customers").hint("rebalance"), f"{base}/zips", "Customers")
     _drop_damaged(spark, f"{base}/zips", "Customers")
     layout = Layout(f"{base}/landing", f"{base}/tables")
     jobs.land_archives(spark, layout, f"{base}/zips", RUN_TS)
     jobs.load_raw(spark, layout, "customers", SECOND_TS)
-    state = landing.registry_state(jobs.registry(spark, layout))
-    audit = read_table(spark, layout.audit("customers")).select("file_key", "row_count")
-    rows = F.coalesce(F.sum("row_count"), F.lit(0)).alias("row_count")
-    return state.join(audit, "file_key", "left").groupBy("status").agg(F.count("*").alias("entries"), rows)
+    return _registered(spark, layout, f"{base}/zips")
+
+
+def landed_registry_retried(spark, sf_dir):
+    """The same of a drop whose first landing was lost before it registered anything."""
+    return _registered(spark, *_interrupted_landing(spark, sf_dir, "registered-again"))
+
 
+# Beside the archives of whole rows: an entry without rows, a damaged one, and a file that is no archive.
+REGISTERED_SQL = f"""SELECT 'PROCESSED' AS status, CAST(1 AS BIGINT) AS more_entries, CAST(count(*) AS BIGINT) AS row_count,
+        CAST(0 AS BIGINT) AS unregistered_files FROM ({raw_sql("customers")})
+    UNION ALL SELECT 'SKIPPED', 0, 0, NULL UNION ALL SELECT 'CORRUPT', 1, 0, NULL UNION ALL SELECT 'UNREADABLE', 1, 0, NULL"""
 
 # --- streamed loads ----------------------------------------------------------------------
 
@@ -348,12 +396,11 @@ QUERIES = {
     ),
     "land_archives": Query(land_archives, raw_sql("customers")),
     "land_archives_same_name": Query(land_archives_same_name, raw_sql("customers")),
-    "landed_registry": Query(
-        landed_registry,
-        f"""SELECT 'PROCESSED' AS status, CAST(2 AS BIGINT) AS entries, CAST(count(*) AS BIGINT) AS row_count
-            FROM ({raw_sql("customers")})
-            UNION ALL SELECT 'SKIPPED', 2, 0 UNION ALL SELECT 'CORRUPT', 1, 0 UNION ALL SELECT 'UNREADABLE', 1, 0""",
+    "land_archives_retried": Query(
+        land_archives_retried, f"SELECT {columns(schemas.CUSTOMERS.fieldNames())}, 0 AS ingest_batch FROM ({bronze_sql('customers')})"
     ),
+    "landed_registry": Query(landed_registry, REGISTERED_SQL),
+    "landed_registry_retried": Query(landed_registry_retried, REGISTERED_SQL),
     "expand_archives": Query(expand_archive_rows, raw_sql("customers")),
     "stream_ingest_files": Query(stream_ingest_files, _raw_typed()),
     "stream_bronze": Query(

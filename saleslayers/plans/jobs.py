@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -11,13 +12,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from saleslayers.plans import bronze, gold, incremental, silver
-from saleslayers.schemas import FILE_REGISTRY, STRING
+from saleslayers.schemas import FILE_REGISTRY, LANDING_PLANS, STRING
 from saleslayers.session import scratch_path
 from saleslayers.sinks.dimensions import drop_old_current_rows, read_current, read_history
 from saleslayers.sinks.audit import empty_file_audit
 from saleslayers.sinks.tables import append, drop_old_versions, read_version, write_version, written
 from saleslayers.sources.archives import CSV, LANDED, archive_contents, land_entries, qualified
-from saleslayers.sources.landing import NEW, UNMATCHED, landing_path, list_files, mark_processed, register, route
+from saleslayers.sources.landing import NEW, UNMATCHED, landing_path, list_files, mark_processed, plan_landings, planned_targets, register, route
 from saleslayers.sources.tables import read_table_or_empty
 from saleslayers.streaming import loads
 
@@ -38,6 +39,10 @@ class Layout:
     def registry(self) -> str:
         return f"{self.root}/registry"
 
+    @property
+    def landing_plans(self) -> str:
+        return f"{self.root}/landing_plans"
+
     def arrivals(self, table: str) -> str:
         return f"{self.landing}/{table}_data"
 
@@ -75,32 +80,54 @@ def land_archives(spark: SparkSession, layout: Layout, archives: str, run_ts: da
     time and size and of the entry, so archives of equal names never meet and no landed file is ever
     replaced. The same archive again lands nothing. Other entries are registered with what became of
     them: skipped, unmatched, corrupt, or unreadable for a file that is no archive.
+
+    A run that was interrupted is made up for by the next one, on any day: an entry's target is planned before
+    it is copied, so the copies that are there already are found under their names and registered.
     """
+    with copied_entries(spark, layout, archives, run_ts) as (listed, outcome):
+        known = registry(spark, layout)
+        unused = listed.filter("NOT usable").select(
+            "source_zip", "entry", F.when(F.col("status") == CSV, UNMATCHED).otherwise(F.upper("status")).alias("status"), F.lit(None).cast("string").alias("reason")
+        )
+        bad = outcome.filter(F.col("status") != LANDED).select("source_zip", "entry", F.upper("status").alias("status"), "reason")
+        others = unused.unionByName(bad).withColumn("file_key", F.concat_ws("#", "source_zip", "entry"))
+        rows = others.join(known.select("file_key"), "file_key", "left_anti")
+        good = outcome.filter(F.col("status") == LANDED)
+        # A folder per category and day, of this run and of interrupted ones.
+        folders = [r[0] for r in good.select(F.regexp_extract("target", "^(.*)/[^/]*$", 1)).distinct().collect()]
+        if folders:
+            # The listing gives the path as scans report it.
+            files = list_files(spark, folders)
+            in_target = F.element_at(F.split("target", "/"), -1).alias("name")
+            found = files.select("file_key", F.element_at(F.split("path", "/"), -1).alias("name"))
+            arrived = good.withColumn("name", in_target).join(found, "name").withColumn("status", F.lit(NEW))
+            rows = rows.unionByName(arrived.select("file_key", "source_zip", "entry", "status", "reason"))
+        if not rows.isEmpty():
+            append(register(rows, run_ts), layout.registry)
+
+
+@contextmanager
+def copied_entries(spark: SparkSession, layout: Layout, archives: str, run_ts: datetime) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """The first part of landing: plans targets, copies entries. Gives all entries and what became of the copies;
+    nothing is registered yet."""
     key = F.md5(F.concat_ws("|", "version", "entry"))
     contents = archive_contents(spark, archives).withColumns({"category": route(F.col("entry")), "key": key})
     usable = (F.col("status") == CSV) & F.col("category").isNotNull()
     target = F.concat(F.lit(qualified(spark, layout.landing).rstrip("/") + "/"), landing_path(F.col("category"), run_ts, F.col("key")))
-    known = registry(spark, layout)
-    landed_keys = known.select(F.regexp_extract("file_key", "_([0-9a-f]{32})[.]csv$", 1).alias("key"))
+    landed_keys = registry(spark, layout).select(F.regexp_extract("file_key", "_([0-9a-f]{32})[.]csv$", 1).alias("key"))
     with written(contents.withColumn("usable", usable), scratch_path(spark, "archive-contents")) as listed:
         wanted = listed.filter("usable").join(landed_keys, "key", "left_anti").withColumn("target", target)
-        with written(land_entries(wanted), scratch_path(spark, "landed-entries")) as outcome:
-            unused = listed.filter("NOT usable").select(
-                "source_zip", "entry", F.when(F.col("status") == CSV, UNMATCHED).otherwise(F.upper("status")).alias("status"), F.lit(None).cast("string").alias("reason")
-            )
-            bad = outcome.filter(F.col("status") != LANDED).select("source_zip", "entry", F.upper("status").alias("status"), "reason")
-            others = unused.unionByName(bad).withColumn("file_key", F.concat_ws("#", "source_zip", "entry"))
-            rows = others.join(known.select("file_key"), "file_key", "left_anti")
-            good = outcome.filter(F.col("status") == LANDED)
-            if not good.isEmpty():
-                # The listing gives the path as scans report it.
-                files = list_files(spark, f"{layout.landing}/*_data/{run_ts:%Y/%m/%d}")
-                named = good.withColumn("name", F.element_at(F.split("target", "/"), -1))
-                found = files.select("file_key", F.element_at(F.split("path", "/"), -1).alias("name"))
-                arrived = named.join(found, "name").withColumn("status", F.lit(NEW))
-                rows = rows.unionByName(arrived.select("file_key", "source_zip", "entry", "status", "reason"))
-            if not rows.isEmpty():
-                append(register(rows, run_ts), layout.registry)
+        planned = plan_landings(wanted, landing_plans(spark, layout), run_ts)
+        if not planned.isEmpty():
+            append(planned, layout.landing_plans)
+        bound = planned_targets(wanted, landing_plans(spark, layout))
+        with written(land_entries(bound), scratch_path(spark, "landed-entries")) as outcome:
+            yield listed, outcome
+
+
+def landing_plans(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The append-only table of planned landings; no rows before the first."""
+    return read_table_or_empty(spark, layout.landing_plans, LANDING_PLANS)
 
 
 def registry(spark: SparkSession, layout: Layout) -> DataFrame:

@@ -232,6 +232,14 @@ FILE_REGISTRY = _table(
     entry=STRING,
     reason=STRING,
 )
+LANDING_PLANS = _table(
+    key=STRING,
+    source_zip=STRING,
+    entry=STRING,
+    target=STRING,
+    status=STRING,
+    planned_at=TIMESTAMP,
+)
 MIGRATION_LEDGER = _table(
     filename=STRING,
     applied_at=TIMESTAMP,

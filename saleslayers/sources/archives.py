@@ -110,14 +110,18 @@ def _defect(path: str, entry: str) -> str | None:
 
 
 def _land(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Copies each entry to its target, which takes its name only once it is whole."""
+    """Copies each entry to its target, which takes its name only once it is whole. A target that has its name
+    was landed by an earlier attempt and stays."""
     for batch in batches:
         for row in batch.itertuples():
             target_system, target = file_system_of(row.target)
+            status, reason = LANDED, None
+            if target_system.get_file_info(target).is_file:
+                yield pd.DataFrame({"source_zip": [row.source_zip], "entry": [row.entry], "target": [row.target], "status": [status], "reason": [reason]})
+                continue
             target_system.create_dir(target.rsplit("/", 1)[0], recursive=True)
             folder, name = target.rsplit("/", 1)
             pending = f"{folder}/_{name}.{uuid.uuid4().hex}"
-            status, reason = LANDED, None
             try:
                 with _open(row.source_zip) as stream, zipfile.ZipFile(stream) as archive, archive.open(row.entry) as raw:
                     with target_system.open_output_stream(pending) as out:

@@ -8,11 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saleslayers.operators.rows import conform_to, dedupe_latest, timestamp
-from saleslayers.schemas import FILE_REGISTRY
+from saleslayers.schemas import FILE_REGISTRY, LANDING_PLANS
 
 # The kinds of files, in the order in which their names are looked for.
 CATEGORIES = ("sale_orders", "customers", "products", "suppliers", "warehouses")
 
+LANDING = "LANDING"
 NEW = "NEW"
 PROCESSED = "PROCESSED"
 UNMATCHED = "UNMATCHED"
@@ -40,8 +41,8 @@ def landing_path(category: Column, run_ts: datetime, unique: Column | None = Non
     )
 
 
-def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
-    """path, file_key, modified and size of the files below a folder; contents are not read.
+def list_files(spark: SparkSession, folder: str | list[str], pattern: str = "*.csv") -> DataFrame:
+    """path, file_key, modified and size of the files below a folder or several; contents are not read.
 
     file_key is the path as scans report it in `_metadata.file_path`.
     """
@@ -75,6 +76,22 @@ def registry_state(registry: DataFrame) -> DataFrame:
     return dedupe_latest(registry, ["file_key"], ["processed_at", "upload_timestamp"])
 
 
+def plan_landings(entries: DataFrame, plans: DataFrame, run_ts: datetime) -> DataFrame:
+    """The entries (key, target) whose landing is not planned yet, as rows of the append-only table of plans.
+
+    A plan is written before its copy and binds the entry to its target for good: whoever makes up for an
+    interrupted landing, on whatever day, finds the copy under the same name.
+    """
+    missing = entries.join(plans.select("key"), "key", "left_anti").dropDuplicates(["key"])
+    return conform_to(missing.withColumns({"planned_at": timestamp(run_ts), "status": F.lit(LANDING)}), LANDING_PLANS)
+
+
+def planned_targets(entries: DataFrame, plans: DataFrame) -> DataFrame:
+    """The entries with the target of their first plan (of two runs at once, both follow the earlier)."""
+    first = plans.groupBy("key").agg(F.min_by("target", F.struct("planned_at", "target")).alias("target"))
+    return entries.drop("target").join(first, "key")
+
+
 def new_files(registry: DataFrame, category: str) -> DataFrame:
     """Files of a category that are registered but not processed."""
     in_folder = F.concat(F.lit("/"), F.col("file_key")).contains(f"/{category}_data/")

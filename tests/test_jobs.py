@@ -3,9 +3,12 @@
 import zipfile
 from datetime import date, datetime, timezone
 
+import pytest
 from conftest import as_set
+from pyspark.sql import functions as F
 
 from saleslayers import schemas
+from saleslayers.plans import jobs
 from saleslayers.plans.jobs import Layout, land_archives, load_all, load_raw, read_dimension, read_report, read_star, registry
 from saleslayers.sinks.dimensions import drop_old_current_rows
 from saleslayers.sources.landing import registry_state
@@ -72,6 +75,50 @@ def test_archives_of_equal_names_never_meet(spark, tmp_path):
     assert registry_state(registry(spark, layout)).filter("status = 'PROCESSED'").count() == 3
 
 
+class Lost(Exception):
+    pass
+
+
+@pytest.mark.parametrize("lost_at", ["append", "land_entries", "list_files"])
+def test_an_interrupted_landing_is_made_up_for(spark, tmp_path, monkeypatch, lost_at):
+    """The run is lost as it writes its plans, as it copies, or between the copies and the registry; the next one is
+    on another day. Every entry is landed once, under its first name, and registered."""
+    layout = Layout(str(tmp_path / "landing"), str(tmp_path / "tables"))
+    zipped(tmp_path / "zips" / "drop.zip", customers=[customer("1", "Ann", "A")], customers_b=[customer("2", "Bo", "B")], other=["x"])
+
+    def lost(*_, **__):
+        raise Lost
+
+    with monkeypatch.context() as patch:
+        patch.setattr(jobs, lost_at, lost)
+        with pytest.raises(Lost):
+            land_archives(spark, layout, str(tmp_path / "zips"), FIRST)
+    assert registry(spark, layout).isEmpty()
+    zipped(tmp_path / "zips" / "new.zip", customers=[customer("3", "Cy", "C")])
+    for _ in range(2):
+        land_archives(spark, layout, str(tmp_path / "zips"), SECOND)
+    landed = sorted(str(p.relative_to(tmp_path / "landing")) for p in (tmp_path / "landing").rglob("*.csv"))
+    days = [name.split("/", 1)[1].rsplit("/", 1)[0] for name in landed]
+    assert days == (["2025/02/01"] * 3 if lost_at == "append" else ["2025/01/01"] * 2 + ["2025/02/01"])
+    load_raw(spark, layout, "customers", THIRD)
+    assert as_set(spark.read.parquet(layout.raw("customers")).select("CustomerID")) == [("1",), ("2",), ("3",)]
+    state = registry_state(registry(spark, layout))
+    assert sorted(r.status for r in state.collect()) == ["PROCESSED"] * 3 + ["UNMATCHED"]
+    assert sorted(r.file_key.rsplit("/", 1)[-1] for r in state.filter("status = 'PROCESSED'").collect()) == sorted(n.rsplit("/", 1)[-1] for n in landed)
+
+
+def test_two_runs_that_planned_at_once_follow_the_first_plan(spark, tmp_path):
+    layout = Layout(str(tmp_path / "landing"), str(tmp_path / "tables"))
+    zipped(tmp_path / "zips" / "drop.zip", customers=[customer("1", "Ann", "A")])
+    with jobs.copied_entries(spark, layout, str(tmp_path / "zips"), FIRST):
+        plans = jobs.landing_plans(spark, layout)
+        first = plans.first()
+        later = plans.withColumns({"target": F.lit("/elsewhere.csv"), "planned_at": F.lit(SECOND)})
+        later.write.mode("append").parquet(layout.landing_plans)
+    with jobs.copied_entries(spark, layout, str(tmp_path / "zips"), THIRD) as (_, outcome):
+        assert [r.target for r in outcome.collect()] == [first.target]
+
+
 def test_empty_and_damaged_entries_are_on_record(spark, tmp_path):
     layout = Layout(str(tmp_path / "landing"), str(tmp_path / "tables"))
     zipped(tmp_path / "zips" / "one.zip", customers=[], customers_good=[customer("1", "Ann", "A")], customers_bad=["Damaged,x"], other=["x"])
