@@ -33,9 +33,9 @@ from pyspark.sql import functions as F
 from saleslayers.llm.common import discard, written
 
 #: Characters of text from which a block of documents ends (a longer text is a block), and of segments encoded as one text.
-BLOCK_CHARS, JOINED_CHARS = 6_000_000, 50_000
+BLOCK_CHARS, JOINED_CHARS = 4_000_000, 50_000
 #: Segments remembered by a worker; beyond, it begins anew. Bounds memory, never the result.
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 #: A pair's number: the first id times this, and the second.
 SECOND = 1 << 20
 
