@@ -20,7 +20,7 @@ from saleslayers import schemas
 from saleslayers.catalog.base import Query, bronze_table, raw
 from saleslayers.catalog.mapping import RUN_TS, RUN_TS_SQL, SECOND_TS, SECOND_TS_SQL, table
 from saleslayers.catalog.sql import bronze_columns, bronze_sql, columns, fact_sql, raw_sql
-from saleslayers.catalog.upserts import FIRST_END, IN_SECOND, SECOND_START
+from saleslayers.catalog.upserts import FIRST_END, IN_FIRST, IN_SECOND, SECOND_START
 from saleslayers.plans import bronze, jobs
 from saleslayers.plans.jobs import Layout
 from saleslayers.session import scratch_path
@@ -94,11 +94,34 @@ def scan_table(spark, sf_dir):
 
 
 def scan_new_loads(spark, sf_dir):
-    """Only what was loaded after the first load."""
+    """Only what was loaded after the first load: by the time that each row carries."""
     rows = read_table(spark, _two_appends(spark, sf_dir)).select(*bronze_columns("sale_orders"))
     return rows_after(rows, RUN_TS + timedelta(days=1))
 
 
+def scan_new_batches(spark, sf_dir):
+    """The same from a raw table of two streamed loads, by the ledger of its loads."""
+    layout = _two_loads(spark, sf_dir, "two-loads")
+    return jobs.new_loads(spark, layout, "sale_orders", RUN_TS + timedelta(days=1)).select(*bronze_columns("sale_orders"))
+
+
+def load_ledger(spark, sf_dir):
+    """What the ledger has of these loads: records read and kept."""
+    layout = _two_loads(spark, sf_dir, "ledger")
+    return read_table(spark, layout.ledger("sale_orders"))
+
+
+def _two_loads(spark, sf_dir, name: str) -> Layout:
+    """Order lines dropped and loaded twice, split by creation time; the second drop holds each of its lines twice."""
+    base = scratch_path(spark, name)
+    layout, rows = Layout(f"{base}/landing", f"{base}/tables"), raw(spark, sf_dir, "sale_orders")
+    late = rows.filter(F.col("createddate") >= FIRST_END)
+    for part, run_ts in ((rows.filter(F.col("createddate") < FIRST_END), RUN_TS), (late.union(late), SECOND_TS)):
+        _write_csv(part, layout.arrivals("sale_orders"))
+        jobs.load_raw(spark, layout, "sale_orders", run_ts)
+    return layout
+
+
 APPENDED_SQL = (
     "SELECT "
     + columns([c for c in bronze_columns("sale_orders") if c != "ingestion_timestamp"])
@@ -349,6 +372,20 @@ def stream_bronze(spark, sf_dir):
     return read_table(spark, f"{base}/raw").select(*bronze_columns("sale_orders"), loads.BATCH)
 
 
+def stream_bronze_malformed(spark, sf_dir):
+    """Order lines of which those of one order type have a quantity that is no number: they are set apart in the batch
+    that reads them, all others are loaded."""
+    base = scratch_path(spark, "stream-malformed")
+    layout, rows = Layout(f"{base}/landing", f"{base}/tables"), raw(spark, sf_dir, "sale_orders")
+    text = F.when(F.col("ordertype") == "P", "n/a").otherwise(F.col("quantity").cast("string"))
+    _write_csv(rows.withColumn("quantity", text), layout.arrivals("sale_orders"))
+    jobs.load_raw(spark, layout, "sale_orders", RUN_TS, split_malformed=True)
+    good = read_table(spark, layout.raw("sale_orders")).select("salesordernumber", "salesorderlinenumber", "quantity", F.lit(0).alias("malformed"))
+    bad = read_table(spark, layout.malformed("sale_orders")).withColumn("field", F.split(loads.CORRUPT, ","))
+    number = F.element_at("field", 2).cast("int")
+    return good.unionByName(bad.select(F.element_at("field", 1).alias("salesordernumber"), number.alias("salesorderlinenumber"), F.lit(None).cast("int").alias("quantity"), F.lit(1).alias("malformed")))
+
+
 def stream_silver_upsert(spark, sf_dir):
     """Two overlapping drops of order lines, streamed through to the fact table."""
     base = scratch_path(spark, "stream-fact")
@@ -381,6 +418,16 @@ QUERIES = {
     "scan_new_loads": Query(
         scan_new_loads, f"SELECT * FROM ({APPENDED_SQL}) WHERE ingestion_timestamp > {RUN_TS_SQL}"
     ),
+    "scan_new_batches": Query(
+        scan_new_batches, f"SELECT * FROM ({_in_csv_types(APPENDED_SQL)}) WHERE ingestion_timestamp > {RUN_TS_SQL}"
+    ),
+    "load_ledger": Query(
+        load_ledger,
+        f"""SELECT CAST(b AS INTEGER) AS ingest_batch, CASE b WHEN 0 THEN {RUN_TS_SQL} ELSE {SECOND_TS_SQL} END AS ingestion_timestamp,
+            CAST(sum(n) AS BIGINT) AS read_rows, CAST(0 AS BIGINT) AS malformed_rows, CAST(sum(k) AS BIGINT) AS kept_rows FROM (
+            SELECT CASE WHEN {IN_FIRST} THEN 0 ELSE 1 END AS b, CASE WHEN {IN_FIRST} THEN 1 ELSE 2 END AS n, 0 AS k FROM ({raw_sql("sale_orders")})
+            UNION ALL SELECT CASE WHEN {IN_FIRST} THEN 0 ELSE 1 END, 0, 1 FROM ({bronze_sql("sale_orders")})) GROUP BY b""",
+    ),
     "route_files": Query(route_files, f"SELECT entry, category FROM ({NAMES_SQL})"),
     "landing_path": Query(landing_path, f"SELECT entry, {PATH_SQL} AS file_key FROM ({NAMES_SQL})"),
     "new_files": Query(
@@ -408,6 +455,11 @@ QUERIES = {
         f"""SELECT *, CASE WHEN createddate < TIMESTAMP '{FIRST_END} 00:00:00' THEN 0 ELSE 1 END AS ingest_batch
             FROM ({_in_csv_types(APPENDED_SQL)})""",
     ),
+    "stream_bronze_malformed": Query(
+        stream_bronze_malformed,
+        f"""SELECT salesordernumber, salesorderlinenumber, quantity, 0 AS malformed FROM ({bronze_sql("sale_orders")}) WHERE ordertype <> 'P'
+            UNION ALL SELECT salesordernumber, salesorderlinenumber, NULL, 1 FROM ({raw_sql("sale_orders")}) WHERE ordertype = 'P'""",
+    ),
     "stream_silver_upsert": Query(
         stream_silver_upsert,
         f"""SELECT * REPLACE (CASE WHEN {IN_SECOND} THEN quantity + 1 ELSE quantity END AS quantity)

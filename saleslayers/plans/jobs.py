@@ -12,14 +12,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from saleslayers.plans import bronze, gold, incremental, silver
-from saleslayers.schemas import FILE_REGISTRY, LANDING_PLANS, STRING
+from saleslayers.schemas import FILE_REGISTRY, LANDING_PLANS, LOAD_LEDGER, STRING
 from saleslayers.session import scratch_path
 from saleslayers.sinks.dimensions import drop_old_current_rows, read_current, read_history
 from saleslayers.sinks.audit import empty_file_audit
 from saleslayers.sinks.tables import append, drop_old_versions, read_version, write_version, written
 from saleslayers.sources.archives import CSV, LANDED, archive_contents, land_entries, qualified
 from saleslayers.sources.landing import NEW, UNMATCHED, landing_path, list_files, mark_processed, plan_landings, planned_targets, register, route
-from saleslayers.sources.tables import read_table_or_empty
+from saleslayers.sources.tables import loads_after, read_table_or_empty
 from saleslayers.streaming import loads
 
 
@@ -52,6 +52,12 @@ class Layout:
     def audit(self, table: str) -> str:
         return f"{self.root}/audit/{table}"
 
+    def ledger(self, table: str) -> str:
+        return f"{self.root}/ledger/{table}"
+
+    def malformed(self, table: str) -> str:
+        return f"{self.root}/malformed/{table}"
+
     def refined(self, table: str) -> str:
         return f"{self.root}/refined/{table}"
 
@@ -135,8 +141,22 @@ def registry(spark: SparkSession, layout: Layout) -> DataFrame:
     return read_table_or_empty(spark, layout.registry, FILE_REGISTRY)
 
 
-def load_raw(spark: SparkSession, layout: Layout, name: str, run_ts: datetime) -> None:
-    """New files of one kind into their raw table. Files without a data row count as read, too."""
+def load_raw(
+    spark: SparkSession,
+    layout: Layout,
+    name: str,
+    run_ts: datetime,
+    *,
+    split_malformed: bool = False,
+    max_files: int | None = None,
+    max_bytes: str | None = None,
+) -> None:
+    """New files of one kind into their raw table. Files without a data row count as read, too.
+
+    With `split_malformed`, records that do not fit the layout are set apart with their text and file; otherwise
+    a value that does not parse is NULL and the row goes on. A large backlog is worked off in batches of so many
+    files or bytes (like "64g").
+    """
     table = bronze.RAW_TABLES[name]
     with written(list_files(spark, layout.arrivals(name)).select("file_key"), scratch_path(spark, "arrivals")) as arrived:
         # The stream takes at least what has arrived by now.
@@ -147,7 +167,11 @@ def load_raw(spark: SparkSession, layout: Layout, name: str, run_ts: datetime) -
             layout.raw(name),
             layout.checkpoint(f"raw-{name}"),
             audit=layout.audit(name),
+            rejects=layout.malformed(name) if split_malformed else None,
+            ledger=layout.ledger(name),
             clock=lambda: run_ts,
+            max_files=max_files,
+            max_bytes=max_bytes,
         )
         read = read_table_or_empty(spark, layout.audit(name), StructType([StructField("file_key", STRING)]))
         empty = arrived.join(read.select("file_key"), "file_key", "left_anti")
@@ -159,6 +183,13 @@ def load_raw(spark: SparkSession, layout: Layout, name: str, run_ts: datetime) -
             append(done, layout.registry)
 
 
+def new_loads(spark: SparkSession, layout: Layout, name: str, watermark: datetime | None) -> DataFrame:
+    """Rows of a raw table that were loaded after a consumer's watermark; older loads' folders are not listed."""
+    table = bronze.RAW_TABLES[name]
+    rows = read_table_or_empty(spark, layout.raw(name), loads.raw_table_schema(table))
+    return loads_after(rows, read_table_or_empty(spark, layout.ledger(name), LOAD_LEDGER), watermark)
+
+
 def load_dimension(spark: SparkSession, layout: Layout, name: str, run_ts: datetime) -> None:
     """New raw rows into one dimension."""
     plan = silver.DIMENSIONS[name]

@@ -240,6 +240,13 @@ LANDING_PLANS = _table(
     status=STRING,
     planned_at=TIMESTAMP,
 )
+LOAD_LEDGER = _table(
+    ingest_batch=BIGINT,
+    ingestion_timestamp=TIMESTAMP,
+    read_rows=BIGINT,
+    malformed_rows=BIGINT,
+    kept_rows=BIGINT,
+)
 MIGRATION_LEDGER = _table(
     filename=STRING,
     applied_at=TIMESTAMP,

@@ -38,6 +38,18 @@ def rows_after(df: DataFrame, watermark: datetime | None, column: str = "ingesti
     return df.filter(F.col(column) > F.lit(watermark).cast(df.schema[column].dataType))
 
 
+def loads_after(table: DataFrame, ledger: DataFrame, watermark: datetime | None) -> DataFrame:
+    """Rows of a table partitioned by `ingest_batch` whose load came after the consumer's watermark.
+
+    The ledger says which batches these are, and the join on the partition column lists only their folders
+    (dynamic partition pruning): no file of an older load is opened, however many loads there are.
+    """
+    if watermark is None:
+        return table
+    newer = rows_after(ledger, watermark).select("ingest_batch").distinct()
+    return table.join(newer, "ingest_batch", "left_semi").select(*table.columns)
+
+
 def watermark_of(df: DataFrame, column: str = "ingestion_timestamp") -> datetime | None:
     """The newest stamp among consumed rows, to be kept by the consumer (one value)."""
     return df.agg(F.max(column)).first()[0]

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -17,8 +17,9 @@ from pyspark.sql.types import StructType
 from saleslayers import schemas
 from saleslayers.functions.quality import rejected_rows
 from saleslayers.operators.history import apply_history
+from saleslayers.operators.rows import timestamp
 from saleslayers.plans import bronze, silver
-from saleslayers.schemas import BIGINT, INT, TIMESTAMP
+from saleslayers.schemas import BIGINT, INT, STRING, TIMESTAMP
 from saleslayers.session import scratch_path
 from saleslayers.sinks.audit import file_audit
 from saleslayers.sinks.dimensions import read_current, write_dimension
@@ -37,6 +38,8 @@ Clock = Callable[[], datetime]
 
 BATCH = "ingest_batch"
 SOURCE_FILE = "source_file"
+CORRUPT = "corrupt_record"
+_LEDGER_ENTRY = StructType([f for f in schemas.LOAD_LEDGER if f.name != BATCH])
 
 
 def utc_now() -> datetime:
@@ -44,17 +47,27 @@ def utc_now() -> datetime:
 
 
 def stream_csv(
-    spark: SparkSession, schema: StructType, folder: str, *, max_files: int | None = None, pattern: str = "*.csv"
+    spark: SparkSession,
+    schema: StructType,
+    folder: str,
+    *,
+    max_files: int | None = None,
+    max_bytes: str | None = None,
+    corrupt: str | None = None,
+    pattern: str = "*.csv",
 ) -> DataFrame:
-    """New CSV files below a folder, with the path each row came from."""
+    """New CSV files below a folder, with the path each row came from. A batch takes so many files or bytes at most;
+    `corrupt` names the column of the schema that gets the text of malformed records."""
     reader = (
         spark.readStream.schema(schema)
         .options(**CSV_OPTIONS)
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", pattern)
     )
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+    bounds = {"maxFilesPerTrigger": max_files, "maxBytesPerTrigger": max_bytes, "columnNameOfCorruptRecord": corrupt}
+    for option, value in bounds.items():
+        if value:
+            reader = reader.option(option, value)
     return reader.csv(folder).withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
 
 
@@ -94,19 +107,40 @@ def ingest_files(
     checkpoint: str,
     *,
     audit: str | None = None,
+    rejects: str | None = None,
+    ledger: str | None = None,
     clock: Clock = utc_now,
     max_files: int | None = None,
+    max_bytes: str | None = None,
 ) -> StreamingQuery:
-    """Every new file of a landing folder into the raw table, validated, deduped and stamped."""
+    """Every new file of a landing folder into the raw table, validated, deduped and stamped.
 
-    def load(batch: DataFrame, batch_id: int) -> None:
-        run_ts = clock()
-        rows = bronze.ingest(batch.drop(SOURCE_FILE), table, run_ts)
-        append_batch(rows, root, batch_id, table.partition_columns, BATCH)
-        if audit:
-            append_batch(file_audit(batch, batch_id, run_ts), audit, batch_id, column=BATCH)
+    The files of a batch are parsed once; records are counted as they are, and the ledger gets the batch's number,
+    its time and the counts. With `rejects`, records that do not fit the layout go there, with their text and
+    file, instead of being read as rows with missing values. `max_files` and `max_bytes` bound a batch.
+    """
 
-    return run_available(stream_csv(spark, table.schema, landing, max_files=max_files), load, checkpoint)
+    def load(batch: DataFrame, batch_id: int) -> None:
+        run_ts, read = clock(), Observation()
+        malformed = F.col(CORRUPT).isNotNull() if rejects else F.lit(False)
+        counted = batch.observe(read, F.count("*").alias("read"), F.count(F.when(malformed, 1)).alias("malformed"))
+        with written(counted, scratch_path(spark, "arrived")) as arrived:
+            good = arrived.filter(~malformed) if rejects else arrived
+            append_batch(bronze.ingest(good.drop(SOURCE_FILE, CORRUPT), table, run_ts), root, batch_id, table.partition_columns, BATCH)
+            if rejects:
+                bad = arrived.filter(malformed).select(CORRUPT, SOURCE_FILE, timestamp(run_ts).alias(silver.LOAD))
+                append_batch(bad, rejects, batch_id, column=BATCH)
+            if audit:
+                append_batch(file_audit(good, batch_id, run_ts), audit, batch_id, column=BATCH)
+        if ledger:
+            # From the footers of what was written.
+            kept = read_table_or_empty(spark, f"{root}/{BATCH}={batch_id}", table.schema).count()
+            entry = [(run_ts, read.get["read"], read.get["malformed"], kept)]
+            append_batch(spark.createDataFrame(entry, _LEDGER_ENTRY).coalesce(1), ledger, batch_id, column=BATCH)
+
+    schema = StructType([*table.schema.fields]).add(CORRUPT, STRING) if rejects else table.schema
+    stream = stream_csv(spark, schema, landing, max_files=max_files, max_bytes=max_bytes, corrupt=CORRUPT if rejects else None)
+    return run_available(stream, load, checkpoint)
 
 
 def raw_table_schema(table: bronze.RawTable) -> StructType:

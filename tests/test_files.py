@@ -26,7 +26,7 @@ from saleslayers.sinks.tables import (
 from saleslayers.sources import landing
 from saleslayers.sources.archives import archive_contents, data_lines, expand_archives
 from saleslayers.sources.files import parse_csv_lines, read_csv
-from saleslayers.sources.tables import read_table, rows_after, watermark_of
+from saleslayers.sources.tables import loads_after, read_table, rows_after, watermark_of
 
 RUN_TS = datetime(2025, 1, 1, tzinfo=timezone.utc)
 
@@ -215,3 +215,24 @@ def test_intermediates_live_in_the_shared_folder_and_go_away(spark, tmp_path):
     import os
 
     assert not os.path.exists(path)
+
+
+def test_new_loads_are_found_by_the_ledger(spark, tmp_path):
+    """Files of older loads are replaced by something that no scan could read."""
+    schema = StructType.fromDDL("v int, ingestion_timestamp timestamp, ingest_batch long")
+    root, ledger = str(tmp_path / "raw"), str(tmp_path / "ledger")
+    for batch in range(4):
+        stamp = F.lit(datetime(2025, 1 + batch, 1)).cast("timestamp").alias("ingestion_timestamp")
+        append_batch(spark.range(batch, batch + 2).select(F.col("id").cast("int").alias("v"), stamp), root, batch)
+        append_batch(spark.range(1).select(stamp), ledger, batch)
+    for batch in (0, 1):
+        for file in (tmp_path / "raw" / f"ingest_batch={batch}").glob("*.parquet"):
+            file.write_bytes(b"no parquet")
+            file.with_name(f".{file.name}.crc").unlink(missing_ok=True)
+    table = spark.read.schema(schema).parquet(root)
+    newer = loads_after(table, spark.read.parquet(ledger), datetime(2025, 2, 1, 12))
+    assert as_set(newer.select("v", "ingest_batch")) == [(2, 2), (3, 2), (3, 3), (4, 3)]
+    plan = newer._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ingest_batch" in plan and "dynamicpruning" in plan
+    assert loads_after(table, spark.read.parquet(ledger), datetime(2026, 1, 1)).count() == 0
+    assert loads_after(table, spark.read.parquet(ledger), None) is table

@@ -91,6 +91,34 @@ def test_bounded_batches_see_all_files(job):
     assert job.raw().select(loads.BATCH).distinct().count() == 3
 
 
+def test_batches_bounded_by_bytes_give_the_rows_of_one(job, spark, tmp_path):
+    """Fifty files in several batches, the stream lost after one of them."""
+    for i in range(50):
+        drop(job.landing, f"f{i:02}.csv", line(f"SO{i}", 1))
+    size = (job.landing / "f00.csv").stat().st_size
+    job.ingest(max_bytes=str(size * 12), ledger=str(tmp_path / "ledger"))
+    job.lose_last_commit("raw-checkpoint")
+    job.ingest(2, max_bytes=str(size * 12), ledger=str(tmp_path / "ledger"))
+    assert as_set(job.raw().select("salesordernumber")) == sorted([(f"SO{i}",) for i in range(50)], key=repr)
+    ledger = read_table(spark, str(tmp_path / "ledger"))
+    assert 4 <= ledger.count() <= 6 and ledger.selectExpr("sum(read_rows)", "sum(kept_rows)").first() == (50, 50)
+
+
+def test_malformed_records_are_set_apart_with_their_file(job, spark, tmp_path):
+    other = {"rejects": str(tmp_path / "malformed"), "ledger": str(tmp_path / "ledger")}
+    drop(job.landing, "a.csv", line("SO1", 1), line("SO2", 1, quantity="many"), line("SO3", 1) + ",more", "x", line("SO1", 1, processed="2024-09-25"), line("", 5))
+    job.ingest(**other)
+    drop(job.landing, "empty.csv")
+    job.ingest(2, **other)
+    assert as_set(job.raw().select("salesordernumber", "quantity")) == [("SO1", 1)]
+    bad = read_table(spark, str(tmp_path / "malformed"))
+    assert sorted(r.corrupt_record.split(",")[0] for r in bad.collect()) == ["SO2", "SO3", "x"]
+    assert {r.source_file.rsplit("/", 1)[-1] for r in bad.collect()} == {"a.csv"}
+    counts = {r.ingest_batch: (r.read_rows, r.malformed_rows, r.kept_rows) for r in read_table(spark, str(tmp_path / "ledger")).collect()}
+    assert counts.pop(0) == (6, 3, 1) and set(counts.values()) <= {(0, 0, 0)}
+    assert job.audit().filter("row_count > 0").count() == 1 and job.audit().first().row_count == 3
+
+
 def test_repeated_batch_does_not_duplicate(job):
     drop(job.landing, "a.csv", line("SO1", 1), line("SO2", 1))
     job.ingest()
