@@ -11,6 +11,7 @@ import uuid
 import zipfile
 from collections.abc import Iterator
 from datetime import timedelta
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -302,17 +303,21 @@ def _registered(spark, layout: Layout, zips: str) -> DataFrame:
     read from the files, and how many of the landed files are not registered as this."""
     state = landing.registry_state(jobs.registry(spark, layout))
     audit = read_table(spark, layout.audit("customers")).select("file_key", "row_count")
-    archives = landing.list_files(spark, zips, "drop-*.zip").agg(F.count("*").alias("archives"))
-    landed = landing.list_files(spark, layout.arrivals("customers")).agg(F.count("*").alias("files"))
-    counted = state.join(audit, "file_key", "left").groupBy("status").agg(
-        F.count("*").alias("entries"), F.coalesce(F.sum("row_count"), F.lit(0)).alias("row_count")
-    )
-    both = archives.withColumn("one", F.lit(1)).join(landed.withColumn("one", F.lit(1)), "one")
-    per_archive = F.when(F.col("status") == "PROCESSED", 1).when(F.col("status") == "SKIPPED", 2).otherwise(0)
-    files = F.when(F.col("status") == "PROCESSED", F.col("files") - F.col("entries"))
-    return counted.withColumn("one", F.lit(1)).join(both, "one").select(
-        "status", (F.col("entries") - per_archive * F.col("archives")).alias("more_entries"), "row_count", files.alias("unregistered_files")
-    )
+
+    def told(rows: DataFrame, status, entries: int, row_count=F.lit(0), files: int = 0) -> DataFrame:
+        return rows.select(status.alias("status"), F.lit(entries).alias("entries"), row_count.alias("row_count"), F.lit(files).alias("files"))
+
+    processed, skipped = F.lit("PROCESSED"), F.lit("SKIPPED")
+    archives, landed = landing.list_files(spark, zips, "drop-*.zip"), landing.list_files(spark, layout.arrivals("customers"))
+    parts = [
+        told(state.join(audit, "file_key", "left"), F.col("status"), 1, F.coalesce("row_count", F.lit(0)), -1),
+        told(archives, processed, -1),
+        told(archives, skipped, -2),
+        told(landed, processed, 0, files=1),
+    ]
+    files = F.when(F.col("status") == "PROCESSED", F.sum("files"))
+    totals = [F.sum("entries").alias("more_entries"), F.sum("row_count").alias("row_count"), files.alias("unregistered_files")]
+    return reduce(DataFrame.unionByName, parts).groupBy("status").agg(*totals)
 
 
 def landed_registry(spark, sf_dir):

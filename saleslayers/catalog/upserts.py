@@ -22,9 +22,12 @@ from saleslayers.catalog.sql import (
     with_,
 )
 from saleslayers.operators import conform
+from saleslayers.operators.history import apply_history
 from saleslayers.operators.merge import merge
 from saleslayers.plans import bronze, silver
 from saleslayers.plans.silver import FACT_KEYS
+from saleslayers.session import scratch_path
+from saleslayers.sinks.dimensions import compact_history, drop_old_current_rows, read_current, read_history, write_dimension
 
 # --- merges: order lines created before July 1998, then a second load that starts in January
 # --- 1998, with a new quantity on every line. Together the loads cover all lines.
@@ -211,7 +214,23 @@ def _history_query(name: str) -> Query:
     return Query(run, sql)
 
 
+def scd2_stored_customers(spark, sf_dir) -> DataFrame:
+    """The customers' two loads as a stored dimension, the second repeated until its closed rows are in merged parts."""
+    loads, plan, raw_table = LOADS["customers"], silver.DIMENSIONS["dim_customers"], bronze.RAW_TABLES["customers"]
+    root, rows = scratch_path(spark, "stored-customers"), raw(spark, sf_dir, "customers")
+    first = rows.filter(~F.expr(_spark_text(loads.absent_at_first)))
+    second = rows.withColumns({c: F.expr(_spark_text(e)) for c, e in loads.changes.items()})
+    for part, run_ts in [(first, RUN_TS)] + [(second, SECOND_TS)] * 5:
+        batch = silver.dimension_batch(bronze.ingest(part, raw_table, run_ts), plan, run_ts)
+        after = apply_history(read_current(spark, root, plan.schema), batch, plan.rule, run_ts, check_unique=False, only_current=True)
+        write_dimension(after, root)
+        drop_old_current_rows(spark, root)
+        compact_history(spark, root, plan.schema, at_once=2)
+    return read_history(spark, root, plan.schema)
+
+
 BATCHING = {
+    "scd2_stored_customers": Query(scd2_stored_customers, _history_query("customers").sql),
     "fact_any_batching": Query(
         fact_any_batching,
         f"""SELECT * REPLACE (CASE WHEN {IN_SECOND} AND customer_id % 5 <> 0 THEN quantity + 1 ELSE quantity END AS quantity)

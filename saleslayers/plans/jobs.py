@@ -14,7 +14,7 @@ from pyspark.sql.types import StructField, StructType
 from saleslayers.plans import bronze, gold, incremental, silver
 from saleslayers.schemas import FILE_REGISTRY, LANDING_PLANS, LOAD_LEDGER, STRING
 from saleslayers.session import scratch_path
-from saleslayers.sinks.dimensions import drop_old_current_rows, read_current, read_history
+from saleslayers.sinks.dimensions import compact_history, drop_old_current_rows, read_current, read_history
 from saleslayers.sinks.audit import empty_file_audit
 from saleslayers.sinks.tables import append, drop_old_versions, read_version, write_version, written
 from saleslayers.sources.archives import CSV, LANDED, archive_contents, land_entries, qualified
@@ -203,6 +203,7 @@ def load_dimension(spark: SparkSession, layout: Layout, name: str, run_ts: datet
         clock=lambda: run_ts,
     )
     drop_old_current_rows(spark, layout.refined(name), KEPT_VERSIONS)
+    compact_history(spark, layout.refined(name), plan.schema, KEPT_VERSIONS)
 
 
 def load_fact(

@@ -72,17 +72,18 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     fs.delete(folder, True)
 
 
-def versions(spark: SparkSession, root: str) -> list[int]:
-    """Complete versions below a table root, oldest first."""
+def complete_folders(spark: SparkSession, root: str, prefix: str) -> list[str]:
+    """What follows a prefix in the names of the completely written folders below a root."""
     fs, folder, hadoop = _file_system(spark, root)
     if not fs.exists(folder):
         return []
     found = [status.getPath() for status in fs.listStatus(folder)]
-    return sorted(
-        int(p.getName()[len("version=") :])
-        for p in found
-        if p.getName().startswith("version=") and fs.exists(hadoop.Path(p, "_SUCCESS"))
-    )
+    return [p.getName()[len(prefix) :] for p in found if p.getName().startswith(prefix) and fs.exists(hadoop.Path(p, "_SUCCESS"))]
+
+
+def versions(spark: SparkSession, root: str) -> list[int]:
+    """Complete versions below a table root, oldest first."""
+    return sorted(map(int, complete_folders(spark, root, "version=")))
 
 
 def read_version(spark: SparkSession, root: str, schema: StructType) -> DataFrame:

@@ -13,7 +13,7 @@ from saleslayers.operators.merge import merge
 from saleslayers.plans.gold import Star
 
 # Reading these needs files to be written first.
-FILES = ("scan_", "append_", "stream_", "ingest_", "expand_", "evolve_repartition", "evolve_chain")
+FILES = ("scan_", "append_", "stream_", "ingest_", "expand_", "evolve_repartition", "evolve_chain", "load_ledger", "gold_incremental_", "scd2_stored_")
 
 
 LIMITS = {
