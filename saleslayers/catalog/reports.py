@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from saleslayers.catalog.base import Query, StarOf, raw
@@ -19,6 +21,7 @@ from saleslayers.plans.jobs import (
     refresh_report_table,
 )
 from saleslayers.session import scratch_path
+from saleslayers.sinks.bucketed import drop_tables
 from saleslayers.sinks.tables import materialise
 from saleslayers.streaming import loads
 
@@ -29,6 +32,8 @@ ORDERS = "count(DISTINCT salesordernumber) AS total_orders"
 
 CUTOFF = "1998-07-01"
 
+BUCKETS = 16
+
 BASE = {
     "fact": fact_sql(),
     "c": dimension_sql("customers"),
@@ -172,6 +177,17 @@ def kept_up(name: str) -> Query:
     )
 
 
+def star_join_bucketed(spark, sf_dir):
+    """The star join over lines and customers in buckets of the customer. The tables' names are their own and go once
+    the result is resolved; the files stay."""
+    star, prefix = StarOf(spark, sf_dir), f"saleslayers_star_{uuid.uuid4().hex}"
+    plain = gold.Star(star.fact, star.customers, star.products, star.suppliers, star.warehouses)
+    lines = gold.star_lines(gold.co_located(plain, prefix, scratch_path(spark, "co-located"), BUCKETS))
+    lines.schema
+    drop_tables(spark, f"{prefix}_fact", f"{prefix}_customers")
+    return lines
+
+
 def load_all_layers(spark, sf_dir):
     """From dropped CSV files through all layers to the report by country, in two rounds.
 
@@ -193,6 +209,10 @@ def load_all_layers(spark, sf_dir):
     return table.drop("created_at", "updated_at")
 
 
+STAR_SQL = f"""SELECT {columns(FACT_COLUMNS, "f.")}, warehouse_name, supplier_name, product_name, customer_name
+    FROM fact f LEFT JOIN c ON f.customer_id = c.customer_id LEFT JOIN p ON f.product_id = p.product_id
+    LEFT JOIN s ON f.supplier_id = s.supplier_id LEFT JOIN w ON f.warehouse_id = w.warehouse_id"""
+
 QUERIES = {
     "load_all_layers": Query(
         load_all_layers,
@@ -202,15 +222,8 @@ QUERIES = {
             **BASE,
         ),
     ),
-    "star_join": Query(
-        lambda spark, d: gold.star_lines(StarOf(spark, d)),
-        with_(
-            f"""SELECT {columns(FACT_COLUMNS, "f.")}, warehouse_name, supplier_name, product_name, customer_name
-            FROM fact f LEFT JOIN c ON f.customer_id = c.customer_id LEFT JOIN p ON f.product_id = p.product_id
-            LEFT JOIN s ON f.supplier_id = s.supplier_id LEFT JOIN w ON f.warehouse_id = w.warehouse_id""",
-            **BASE,
-        ),
-    ),
+    "star_join": Query(lambda spark, d: gold.star_lines(StarOf(spark, d)), with_(STAR_SQL, **BASE)),
+    "star_join_bucketed": Query(star_join_bucketed, with_(STAR_SQL, **BASE)),
     "gold_sales_summary": report("sales_summary"),
     "gold_by_country": report("by_country"),
     "gold_supplier_daily": report("by_supplier_daily"),

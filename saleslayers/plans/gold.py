@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -14,6 +14,7 @@ from saleslayers import schemas
 from saleslayers.operators.history import current_rows
 from saleslayers.operators.merge import keys_match
 from saleslayers.operators.rows import conform_to, timestamp
+from saleslayers.sinks.bucketed import write_bucketed
 
 
 @dataclass(frozen=True)
@@ -40,6 +41,14 @@ def _with(fact: DataFrame, dimension: DataFrame, key: str, **names: str) -> Data
     return fact.join(attributes, F.col(key) == F.col("__key"), "left").drop("__key")
 
 
+def co_located(star: Star, prefix: str, folder: str, buckets: int) -> Star:
+    """The star with lines and current customers (the largest dimension) as catalog tables `<prefix>_fact` and
+    `<prefix>_customers` in buckets of the customer, for reports that join them again and again."""
+    fact = write_bucketed(star.fact, f"{prefix}_fact", f"{folder}/fact", "customer_id", buckets)
+    customers = write_bucketed(current_rows(star.customers), f"{prefix}_customers", f"{folder}/customers", "customer_id", buckets)
+    return replace(star, fact=fact, customers=customers)
+
+
 # Sums run on exact decimals and become doubles once, at the end.
 
 

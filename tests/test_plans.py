@@ -11,6 +11,7 @@ from saleslayers.catalog.mapping import RUN_TS
 from saleslayers.catalog.registry import QUERIES
 from saleslayers.operators.merge import merge
 from saleslayers.plans.gold import Star
+from saleslayers.sinks.bucketed import drop_tables
 
 # Reading these needs files to be written first.
 FILES = ("scan_", "append_", "stream_", "ingest_", "expand_", "evolve_repartition", "evolve_chain", "load_ledger", "gold_incremental_", "scd2_stored_")
@@ -140,3 +141,22 @@ def test_a_load_reads_dimension_and_batch_once(spark, tmp_path):
         assert _scans_and_exchanges(gold.refresh_report(stored, stored, report)) == (2, 2)
     finally:
         spark.conf.set(with_conf, before)
+
+
+def test_lines_in_buckets_of_the_customer_are_not_moved(spark, tmp_path):
+    """Lines and customers meet without an exchange of either; a hot customer's lines get no buckets and are split."""
+    rows = 40_000
+    lines = spark.range(rows).select((F.col("id") % 900).cast("int").alias("customer_id"), F.lit(1).alias("quantity"), F.lit("1.0").cast("decimal(8,4)").alias("unitprice"))
+    hot = lines.withColumn("customer_id", F.when(F.col("customer_id") % 3 == 0, 7).otherwise(F.col("customer_id")))
+    people = spark.range(900).select(F.col("id").cast("int").alias("customer_id"), F.concat(F.lit("n"), "id").alias("customer_name"), F.lit(True).alias("is_current"))
+    nothing = spark.createDataFrame([], "x int")
+    with shuffle_joins_only(spark):
+        found = {}
+        for name, fact in (("even", lines), ("hot", hot)):
+            star = gold.co_located(Star(fact, people, nothing, nothing, nothing), f"test_{name}", str(tmp_path / name), 8)
+            joined = gold._with(star.fact, star.customers, "customer_id", customer_name="customer_name")
+            assert joined.groupBy().agg(F.sum("quantity"), F.count("customer_name")).first() == (rows, rows)
+            found[name] = plan_of(joined)
+            drop_tables(spark, f"test_{name}_fact", f"test_{name}_customers")
+    assert "Exchange" not in found["even"] and "Bucketed: true" in found["even"]
+    assert found["hot"].count("Exchange hashpartitioning(customer_id") >= 1
