@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 #: A bucket is read by one task, which adaptive execution cannot split. Above so many times the mean bucket, a
 #: table is written without buckets: its joins then shuffle, and a hot key's rows are split.
-LARGEST_BUCKET = 4.0
+LARGEST_BUCKET = 2.0
 
 
 def bucket_of(key: str, buckets: int) -> Column:
