@@ -28,18 +28,20 @@ FEATURE_BITS = 16
 #: Training rows that the regression is fitted on: of each language the first by the hash of the text, languages in
 #: turn until there are so many. Every CALIBRATION-th of them fits the temperature instead.
 SAMPLE, CALIBRATION = 3000, 5
+#: Parts of a language whose first rows are found apart from each other.
+SALTS = 64
 #: Rate and its offset, elastic net (absolute and squared weights), and passes over the sample.
 ALPHA, BETA, L1, L2, PASSES = 0.5, 1.0, 0.02, 0.1, 4
 #: The answer for texts without a letter.
 UNDETERMINED = "und"
 
 #: Bytes of text whose words are looked up together, and texts whose features are marked together.
-TEXT_AT_ONCE, MARKED_AT_ONCE = 4_000_000, 128
+TEXT_AT_ONCE, MARKED_AT_ONCE = 1_500_000, 128
 
 #: Fixed value: an odd multiplier near 2 ** 64 over the golden ratio.
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
-_SAMPLED = "lang string, features binary, times binary"
+_SAMPLED = "lang string, turn int, hash long, features binary, times binary"
 
 
 @dataclass
@@ -146,7 +148,7 @@ def document_frequencies(texts: DataFrame) -> np.ndarray:
 
 
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Features of each sampled text (lang, text) with their numbers."""
+    """Features of each sampled text (lang, text, turn, hash) with their numbers."""
     for batch in _small(batches, 1):
         found = split(batch.column(1))
         starts, out = found.starts, []
@@ -154,7 +156,7 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             word = found.codes[a:b]
             features, times = np.unique(found.features[_ranges(starts[word], found.lengths[word])], return_counts=True)
             out.append((features.astype(np.int32).tobytes(), times.astype(np.int32).tobytes()))
-        yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, zip(*out))], ["lang", "features", "times"])
+        yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in (0, 2, 3)), *map(pa.array, zip(*out))], ["lang", "turn", "hash", "features", "times"])
 
 
 @dataclass
@@ -222,10 +224,15 @@ def fit(rows: DataFrame) -> Model:
     """A model of training rows (lang, text). Rows with a null in either teach nothing. The sample is the same for the
     same rows, in any order; equal texts are one in it."""
     known = rows.dropna(subset=["lang", "text"])
-    turn = Window.partitionBy("lang").orderBy("hash", "text")
-    hashed = known.select("lang", "text", F.xxhash64("text").alias("hash"))
-    first = hashed.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= SAMPLE)
-    sample = first.orderBy("turn", "hash", "lang").limit(SAMPLE).select("lang", "text").mapInArrow(_vectors, _SAMPLED).toArrow()
+    hashed = known.withColumn("hash", F.xxhash64("text"))
+    # The texts stay where they are: their hashes choose, first within SALTS parts of a language.
+    order = ["turn", "hash", "lang"]
+    chosen = hashed.select("lang", "hash").distinct().withColumn("part", F.pmod("hash", F.lit(SALTS)))
+    for by in (["lang", "part"], ["lang"]):
+        chosen = chosen.withColumn("turn", F.row_number().over(Window.partitionBy(*by).orderBy("hash"))).where(F.col("turn") <= SAMPLE)
+    chosen = chosen.select(*order).orderBy(*order).limit(SAMPLE)  # SAMPLE rows at most: small enough to broadcast
+    first = hashed.join(F.broadcast(chosen), ["lang", "hash"]).dropDuplicates(["lang", "hash"])
+    sample = first.select("lang", "text", "turn", "hash").mapInArrow(_vectors, _SAMPLED).toArrow().sort_by([(c, "ascending") for c in order])
     counts = document_frequencies(known.select("text"))
     n = known.count()
     idf = np.log((n + 1) / (counts + 1)) + 1
