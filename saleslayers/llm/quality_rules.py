@@ -15,8 +15,13 @@ SYMBOLS = "#*$%&|<>"
 #: A document is rejected if its failing lines hold more than this share of its words.
 MAX_LOST_PERCENT = 40
 
-#: A line is navigation if it is short items between separators: four or more of at most three words each.
-NAVIGATION = r"^\s*(?:[^|»›>•·]{1,30}\s*[|»›>•·]+\s*){3,}[^|»›>•·]{0,30}$"
+#: A line is navigation if it is short items between separators: four or more of at most 30 characters each, not
+#: counting white space around them. Runs of white space and separators are taken whole (possessive), so that a
+#: line is read about once, however long such runs are.
+NAVIGATION = (
+    r"^(?![|»›>•·])(?:\s*+(?:[^|»›>•·\s](?:[^|»›>•·]{0,28}[^|»›>•·\s])?\s*+)?[|»›>•·]++){3,}+"
+    r"\s*+[^|»›>•·]{0,30}+\z"
+)
 #: Phrases of page furniture; a line counts only if it is short enough to be little else.
 BOILERPLATE = (
     r"(?i)\b(?:all rights reserved|accept (?:all )?cookies|cookie policy|privacy policy|terms of (?:use|service)"

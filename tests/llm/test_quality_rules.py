@@ -1,3 +1,7 @@
+import random
+import re
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -53,3 +57,24 @@ def test_clean_lines_stay(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert quality_rules.clean(docs).count() == 0
+
+
+def test_navigation_is_short_items_between_separators(spark):
+    """Against the rule as a plain pattern, which takes quadratic time."""
+    plain = re.compile(r"^[ \t\r]*(?:[^|»›>•·]{1,30}[ \t\r]*[|»›>•·]+[ \t\r]*){3,}[^|»›>•·]{0,30}\Z")
+    choose = random.Random(3)
+    parts = ["|", "|", "»", ">", "a|", "b c »", " ", "  ", "\t", "a", "bc d", "x" * 29, "y" * 30, "z" * 31, " " * 40, "\r"]
+    lines = ["".join(choose.choice(parts) for _ in range(choose.randint(0, 11))) for _ in range(800)]
+    lines += [choose.choice(["|", " | ", "»"]).join(choose.choice(parts) for _ in range(choose.randint(3, 7))) for _ in range(800)]
+    got = spark.createDataFrame([(x,) for x in lines], "line string").select("line", F.col("line").rlike(quality_rules.NAVIGATION).alias("hit")).collect()
+    wrong = [r.line for r in got if r.hit != bool(plain.match(r.line))]
+    assert not wrong and 100 < sum(r.hit for r in got) < 1400
+
+
+@pytest.mark.parametrize("unit", [" ", "\t", "|", "!", "a ", "a |", " |", "! ", "x"])
+def test_a_line_of_a_megabyte_is_read_about_once(spark, unit):
+    docs = spark.createDataFrame([(unit * (1_000_000 // len(unit)) + "x" * 40,)], "line string")
+    docs.limit(0).select(quality_rules.line_fails(F.col("line"))).collect()
+    start = time.perf_counter()
+    docs.select(quality_rules.line_fails(F.col("line"))).collect()
+    assert time.perf_counter() - start < 5  # quadratic rules take hours
