@@ -1,0 +1,47 @@
+"""Order numbers and distinct counts that add up from days."""
+
+from datetime import datetime
+
+from conftest import as_set
+from pyspark.sql import functions as F
+
+from saleslayers.operators.numbering import number_new, with_numbers
+from saleslayers.plans import distinct
+from saleslayers.sinks.tables import append
+
+
+def test_numbers_are_gapless_in_order(spark):
+    rows = spark.range(1000, numPartitions=7).select(F.concat(F.lit("v"), F.lpad((F.col("id") * 37 % 1000).cast("string"), 4, "0")).alias("v"))
+    got = as_set(with_numbers(rows, ["v"], 5))
+    assert got == [(f"v{i:04}", i + 5) for i in range(1000)]
+    assert with_numbers(rows.limit(0), ["v"], 0).count() == 0
+
+
+def test_known_values_keep_their_numbers(spark, tmp_path):
+    path, known = str(tmp_path / "numbers"), spark.createDataFrame([], "v string, number long")
+    for values in (["b", "d"], ["a", "b", "c"], ["a", "d"], []):
+        append(number_new(spark.createDataFrame([(v,) for v in values], "v string"), "v", known, ["v"]), path)
+        known = spark.read.parquet(path)
+    assert as_set(known) == [("a", 2), ("b", 0), ("c", 3), ("d", 1)]
+
+
+def test_totals_are_exact_over_any_keys(spark):
+    """Orders over several days, suppliers and bitmaps."""
+    lines = spark.range(30_000).select(
+        F.concat(F.lit("SO"), (F.col("id") * 7919 % 9000).cast("string")).alias("salesordernumber"),
+        F.expr("timestamp'2024-01-30 10:00:00' + make_dt_interval(int(id % 9000 div 100))").alias("createddate"),
+        F.when(F.col("id") % 3 == 0, "S1").otherwise(F.concat(F.lit("S"), (F.col("id") % 5).cast("string"))).alias("line_supplier"),
+        F.lit(2).alias("quantity"),
+        F.lit("1.5").cast("decimal(8,4)").alias("unitprice"),
+    )
+    # Numbers as of a table that has many other orders already.
+    numbers = distinct.new_order_numbers(lines, spark.createDataFrame([("other", 60_000)], "salesordernumber string, number long"))
+    assert numbers.agg(F.min("number"), F.max("number"), F.count("*")).first() == (60_001, 69_000, 9000)
+    days = distinct.daily(lines, numbers, "line_supplier").withColumn("month", F.date_format("sales_date", "yyyy-MM"))
+    assert days.select("bucket").distinct().count() == 2
+    for keys in (["month", "line_supplier"], ["line_supplier"], ["month"], ["sales_date"]):
+        whole = lines.withColumns({"sales_date": F.to_date("createddate"), "month": F.date_format("createddate", "yyyy-MM")}).groupBy(*keys)
+        want = whole.agg((F.sum("quantity") * 1.5).alias("a"), F.sum("quantity").alias("q"), F.count_distinct("salesordernumber").alias("n"))
+        assert as_set(distinct.totals(days, *keys)) == as_set(want)
+    assert distinct.totals(days.limit(0), "month").count() == 0
+    assert datetime(2024, 1, 30).date() in {r.sales_date for r in days.select("sales_date").distinct().collect()}
