@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from saleslayers import schemas
 from saleslayers.catalog.base import Query, bronze_table, raw
 from saleslayers.catalog.mapping import RUN_TS, RUN_TS_SQL, SECOND_TS, SECOND_TS_SQL, table
-from saleslayers.catalog.sql import bronze_columns, bronze_sql, columns, fact_sql, raw_sql
+from saleslayers.catalog.sql import bronze_columns, bronze_sql, columns, fact_sql, labelled_lines_sql, raw_sql
 from saleslayers.catalog.upserts import FIRST_END, IN_FIRST, IN_SECOND, SECOND_START
 from saleslayers.plans import bronze, jobs
 from saleslayers.plans.jobs import Layout
@@ -112,7 +112,12 @@ def load_ledger(spark, sf_dir):
     return read_table(spark, layout.ledger("sale_orders"))
 
 
-def _two_loads(spark, sf_dir, name: str) -> Layout:
+def fact_load_counts(spark, sf_dir):
+    """What the ledger has of the fact loads that follow: valid and rejected lines."""
+    return read_table(spark, _two_loads(spark, sf_dir, "fact-ledger", into_fact=True).ledger("fact_sale_orders"))
+
+
+def _two_loads(spark, sf_dir, name: str, into_fact: bool = False) -> Layout:
     """Order lines dropped and loaded twice, split by creation time; the second drop holds each of its lines twice."""
     base = scratch_path(spark, name)
     layout, rows = Layout(f"{base}/landing", f"{base}/tables"), raw(spark, sf_dir, "sale_orders")
@@ -120,6 +125,8 @@ def _two_loads(spark, sf_dir, name: str) -> Layout:
     for part, run_ts in ((rows.filter(F.col("createddate") < FIRST_END), RUN_TS), (late.union(late), SECOND_TS)):
         _write_csv(part, layout.arrivals("sale_orders"))
         jobs.load_raw(spark, layout, "sale_orders", run_ts)
+        if into_fact:
+            jobs.load_fact(spark, layout, ("year",))
     return layout
 
 
@@ -433,6 +440,12 @@ QUERIES = {
             SELECT CASE WHEN {IN_FIRST} THEN 0 ELSE 1 END AS b, CASE WHEN {IN_FIRST} THEN 1 ELSE 2 END AS n, 0 AS k FROM ({raw_sql("sale_orders")})
             UNION ALL SELECT CASE WHEN {IN_FIRST} THEN 0 ELSE 1 END, 0, 1 FROM ({bronze_sql("sale_orders")})) GROUP BY b""",
     ),
+    "fact_load_counts": Query(
+        fact_load_counts,
+        f"""SELECT CAST(CASE WHEN {IN_FIRST} THEN 0 ELSE 1 END AS INTEGER) AS ingest_batch,
+            count(*) FILTER (error_description = 'Valid') AS valid_lines, count(*) FILTER (error_description <> 'Valid') AS rejected_lines
+            FROM ({labelled_lines_sql()}) GROUP BY 1""",
+    ),
     "route_files": Query(route_files, f"SELECT entry, category FROM ({NAMES_SQL})"),
     "landing_path": Query(landing_path, f"SELECT entry, {PATH_SQL} AS file_key FROM ({NAMES_SQL})"),
     "new_files": Query(

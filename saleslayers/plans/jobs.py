@@ -218,6 +218,7 @@ def load_fact(
         rejects=layout.rejects("fact_sale_orders"),
         partition_columns=partition_columns,
         changes=layout.changes("fact_sale_orders"),
+        ledger=layout.ledger("fact_sale_orders"),
     )
 
 

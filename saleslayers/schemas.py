@@ -247,6 +247,11 @@ LOAD_LEDGER = _table(
     malformed_rows=BIGINT,
     kept_rows=BIGINT,
 )
+FACT_LEDGER = _table(
+    ingest_batch=BIGINT,
+    valid_lines=BIGINT,
+    rejected_lines=BIGINT,
+)
 MIGRATION_LEDGER = _table(
     filename=STRING,
     applied_at=TIMESTAMP,

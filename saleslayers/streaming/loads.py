@@ -40,6 +40,7 @@ BATCH = "ingest_batch"
 SOURCE_FILE = "source_file"
 CORRUPT = "corrupt_record"
 _LEDGER_ENTRY = StructType([f for f in schemas.LOAD_LEDGER if f.name != BATCH])
+_FACT_ENTRY = StructType([f for f in schemas.FACT_LEDGER if f.name != BATCH])
 
 
 def utc_now() -> datetime:
@@ -54,17 +55,19 @@ def stream_csv(
     max_files: int | None = None,
     max_bytes: str | None = None,
     corrupt: str | None = None,
+    archive: str | None = None,
     pattern: str = "*.csv",
 ) -> DataFrame:
     """New CSV files below a folder, with the path each row came from. A batch takes so many files or bytes at most;
-    `corrupt` names the column of the schema that gets the text of malformed records."""
+    `corrupt` names the column of the schema that gets the text of malformed records. With `archive`, files of
+    batches that are done move there (outside the folder), so that listings stay short."""
     reader = (
         spark.readStream.schema(schema)
         .options(**CSV_OPTIONS)
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", pattern)
     )
-    bounds = {"maxFilesPerTrigger": max_files, "maxBytesPerTrigger": max_bytes, "columnNameOfCorruptRecord": corrupt}
+    bounds = {"maxFilesPerTrigger": max_files, "maxBytesPerTrigger": max_bytes, "columnNameOfCorruptRecord": corrupt, "sourceArchiveDir": archive, "cleanSource": archive and "archive"}
     for option, value in bounds.items():
         if value:
             reader = reader.option(option, value)
@@ -112,6 +115,7 @@ def ingest_files(
     clock: Clock = utc_now,
     max_files: int | None = None,
     max_bytes: str | None = None,
+    archive: str | None = None,
 ) -> StreamingQuery:
     """Every new file of a landing folder into the raw table, validated, deduped and stamped.
 
@@ -139,7 +143,7 @@ def ingest_files(
             append_batch(spark.createDataFrame(entry, _LEDGER_ENTRY).coalesce(1), ledger, batch_id, column=BATCH)
 
     schema = StructType([*table.schema.fields]).add(CORRUPT, STRING) if rejects else table.schema
-    stream = stream_csv(spark, schema, landing, max_files=max_files, max_bytes=max_bytes, corrupt=CORRUPT if rejects else None)
+    stream = stream_csv(spark, schema, landing, max_files=max_files, max_bytes=max_bytes, corrupt=CORRUPT if rejects else None, archive=archive)
     return run_available(stream, load, checkpoint)
 
 
@@ -160,16 +164,22 @@ def upsert_fact(
     rejects: str | None = None,
     partition_columns: Sequence[str] = silver.FACT_PARTITIONS,
     changes: str | None = None,
+    ledger: str | None = None,
 ) -> StreamingQuery:
     """Every new raw order line into the fact table; only the touched partitions are rewritten, and recorded
-    below `changes`."""
+    below `changes`. Valid and rejected lines are counted as they are labelled, for the ledger."""
     raw_table = bronze.RAW_TABLES["sale_orders"]
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        with written(silver.labelled_lines(batch), scratch_path(batch.sparkSession, "labelled")) as labelled:
+        counts, rejected = Observation(), F.count(F.when(F.col("error_flag") == 1, 1))
+        counted = silver.labelled_lines(batch).observe(counts, F.count("*").alias("lines"), rejected.alias("rejected"))
+        with written(counted, scratch_path(batch.sparkSession, "labelled")) as labelled:
             if rejects:
                 append_batch(rejected_rows(labelled).drop(silver.LOAD), rejects, batch_id, column=BATCH)
             write_fact(silver.fact_batch(labelled), fact_root, partition_columns, changes=changes, batch_id=batch_id)
+        if ledger:
+            entry = [(counts.get["lines"] - counts.get["rejected"], counts.get["rejected"])]
+            append_batch(spark.createDataFrame(entry, _FACT_ENTRY).coalesce(1), ledger, batch_id, column=BATCH)
 
     raw = spark.readStream.schema(raw_table_schema(raw_table)).parquet(raw_root)
     return run_available(raw, load, checkpoint)

@@ -104,6 +104,16 @@ def test_batches_bounded_by_bytes_give_the_rows_of_one(job, spark, tmp_path):
     assert 4 <= ledger.count() <= 6 and ledger.selectExpr("sum(read_rows)", "sum(kept_rows)").first() == (50, 50)
 
 
+def test_finished_files_move_to_an_archive(job, tmp_path):
+    for i in range(3):
+        drop(job.landing, f"f{i}.csv", line(f"SO{i}", 1))
+        job.ingest(archive=str(tmp_path / "finished"), max_files=1)
+    job.ingest(archive=str(tmp_path / "finished"))
+    assert as_set(job.raw().select("salesordernumber")) == [("SO0",), ("SO1",), ("SO2",)]
+    left, moved = (sorted(p.name for p in (tmp_path / f).rglob("f*.csv")) for f in ("landing", "finished"))
+    assert sorted(left + moved) == ["f0.csv", "f1.csv", "f2.csv"] and "f0.csv" in moved
+
+
 def test_malformed_records_are_set_apart_with_their_file(job, spark, tmp_path):
     other = {"rejects": str(tmp_path / "malformed"), "ledger": str(tmp_path / "ledger")}
     drop(job.landing, "a.csv", line("SO1", 1), line("SO2", 1, quantity="many"), line("SO3", 1) + ",more", "x", line("SO1", 1, processed="2024-09-25"), line("", 5))
