@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -20,12 +19,10 @@ def read_table(spark: SparkSession, name_or_path: str, schema: StructType | None
 
 def read_table_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The columns of `schema` of a Parquet folder; no rows before its first write."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def rows_after(df: DataFrame, watermark: datetime | None, column: str = "ingestion_timestamp") -> DataFrame:
