@@ -79,7 +79,7 @@ def test_signatures_estimate_similarity():
         assert abs(alike - len(both[cut : 4000 - cut]) / 4000) < 0.06
 
 
-def test_bitmaps_never_rule_out_a_link(spark):
+def test_sketches_let_links_pass(spark):
     choose = random.Random(9)
     rows = []
     for i in range(300):
@@ -88,7 +88,8 @@ def test_bitmaps_never_rule_out_a_link(spark):
         other = np.append(base[: n - int(n * choose.random() * 0.4)], np.array([choose.getrandbits(64) for _ in range(int(n * choose.random() * 0.2))], np.uint64))
         both = len(np.intersect1d(base, other))
         linked = 100 * both >= 75 * (len(base) + len(other) - both)
-        rows.append((i, len(base), nd.bitmap(base).tolist(), len(other), nd.bitmap(other).tolist(), bool(linked)))
+        bits = [nd.sketch(nd.signature(x)).tolist() for x in (base, other)]
+        rows.append((i, len(base), bits[0], len(other), bits[1], bool(linked)))
     pairs = spark.createDataFrame(rows, "i int, n long, bits array<long>, n2 long, bits2 array<long>, linked boolean")
     a = pairs.select("i", "n", "bits", "linked").alias("a")
     b = pairs.select("i", F.col("n2").alias("n"), F.col("bits2").alias("bits")).alias("b")
@@ -96,6 +97,30 @@ def test_bitmaps_never_rule_out_a_link(spark):
     assert {r[0] for r in rows if r[-1]} <= {r.i for r in possible} and len(possible) < len(rows)
 
 
+def test_recall_at_the_least_similarity():
+    choose = np.random.default_rng(11)
+    met = 0
+    for _ in range(3000):
+        both = choose.integers(0, 2**63, 160).astype(np.uint64)
+        a, b = (nd.signature(x) for x in (both[:140], both[20:]))  # 120 of 160 shared: 0.75
+        low = (1 << nd.PLANES) - 1
+        met += bool((nd.band_keys(a) == nd.band_keys(b)).any() and np.sum((a & low) == (b & low)) >= nd.AGREE)
+    assert met >= 0.998 * 3000
+
+
+def test_texts_of_one_template_are_not_all_compared(spark, monkeypatch):
+    choose = random.Random(4)
+    word = lambda: "".join(choose.choice("abcdefghijkl") for _ in range(5))
+    template = " ".join(word() for _ in range(900))
+    docs = [(i, template + " " + " ".join(word() for _ in range(500))) for i in range(400)]
+    compared, confirm = [], nd.confirmed
+    monkeypatch.setattr(nd, "confirmed", lambda pairs, texts: (compared.append(pairs.count()), confirm(pairs, texts))[1])
+    copy = (1000, docs[7][1] + " and some more words")
+    rows = {r.doc_id: r.component_id for r in nd.link(spark.createDataFrame([*docs, copy], "doc_id long, text string")).collect()}
+    assert rows == {**{i: i for i, _ in docs}, 1000: 7}
+    assert sum(compared) < 0.01 * 400 * 399 / 2
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(5, i) for i in range(6, 30)] + [(90, 3), (3, 4), (4, 90), (7, 7), (6, 5)]
     choose = random.Random(2)
