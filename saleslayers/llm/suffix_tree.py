@@ -7,15 +7,15 @@ down to add-one word counts. A word is scored in the longest kept context that i
 Counts cover the whole training part. Every string that occurs LEAST_COUNT times takes part, whatever the
 size of the corpus: strings are Spark tables under 64-bit hashes, pruned by grouped sums. The score of a
 text is a sum of one value for each of its words, pairs and triples; a join by hash looks them up.
-Tasks hold tables of a fixed size only, which save rows of the shuffle and change no result: bits of the
-strings that a table may have, and the values of common words.
+Tasks hold tables of bounded size only, which save rows of the shuffle and change no result: bits of the
+strings that a table may have, and the values of common strings.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from saleslayers.llm.common import discard, release, written
 
-#: Longest context, least number of a counted string, discount, and the gain in log-likelihood (in nats,
+#: Longest context (the two kinds of strings above words, below, are those of it), least number of a counted string, discount, and the gain in log-likelihood (in nats,
 #: over all its occurrences) from which a context is kept.
 DEPTH = 2
 LEAST_COUNT = 2
@@ -34,10 +34,11 @@ DISCOUNT = 0.75
 LEAST_GAIN = 8.0
 
 #: Bytes of text that are looked up together.
-TEXT_AT_ONCE = 6_000_000
+TEXT_AT_ONCE = 12_000_000
 
-#: Share of all tokens from which a word's values go to every task instead of through the join.
-COMMON_SHARE = 1e-6
+#: Share of all tokens from which a string's values go to every task instead of through the join. There can be
+#: no more than 1 / COMMON_SHARE words of this share, nor pairs, nor triples.
+COMMON_SHARE = 5e-7
 #: Bits (as a power of two) of the set of strings that a table may have.
 SET_BITS = 26
 
@@ -76,115 +77,6 @@ class Index:
         return found
 
 
-@dataclass
-class Strings:
-    """Frequent strings of one length above one word: key (place of all but the last word * words + last), count."""
-
-    keys: np.ndarray
-    counts: np.ndarray
-    index: Index = field(init=False, repr=False)
-
-    def __post_init__(self) -> None:
-        self.index = Index(self.keys)
-
-    def __reduce__(self) -> tuple:
-        return Strings, (self.keys, self.counts)
-
-
-@dataclass
-class Tree:
-    """Frequent words with their counts, frequent strings by length, and what scoring needs of each."""
-
-    words: pa.Array
-    counts: np.ndarray
-    tokens: int
-    distinct: int
-    levels: list[Strings] = field(default_factory=list)
-    kept: list[np.ndarray] = field(default_factory=list)
-    fall_back: list[np.ndarray] = field(default_factory=list)
-    chances: list[np.ndarray] = field(default_factory=list)
-
-    @property
-    def end(self) -> int:
-        return pc.index(self.words, END).as_py()
-
-    def root(self) -> np.ndarray:
-        """Add-one probabilities of the frequent words."""
-        return (self.counts + 1) / (self.tokens + self.distinct + 1)
-
-    def states(self, stream: np.ndarray, length: int) -> list[np.ndarray]:
-        """For each place of a stream of words, the frequent string of 1, 2, ... words that ends there, or -1.
-
-        No string goes on beyond the end of a text; the end itself is the context of a text's first word.
-        """
-        found = [stream]
-        for level in self.levels[: length - 1]:
-            context = self.before(found[-1], stream, len(found))
-            at = np.full(len(stream), -1, np.int64)
-            real = np.flatnonzero((context >= 0) & (stream >= 0))
-            at[real] = level.index.find(context[real] * len(self.words) + stream[real])
-            found.append(at)
-        return found
-
-    def before(self, state: np.ndarray, stream: np.ndarray, length: int) -> np.ndarray:
-        """The context of this length that each place has, or -1."""
-        context = np.append(-1, state[:-1])
-        if length > 1:
-            context[1:][stream[:-1] == self.end] = -1
-        return context
-
-    def grow(self, keys: np.ndarray, counts: np.ndarray) -> None:
-        order = np.argsort(keys)
-        self.levels.append(Strings(keys[order], counts[order]))
-
-    def prune(self) -> None:
-        """The divergence tests, and the smoothed distributions of the contexts that stay."""
-        n, root = len(self.words), self.root()
-        counts, suffix_of = [self.counts], [np.zeros(n, np.int64)]
-        gains, mass = [], []
-        for d, level in enumerate(self.levels):
-            context, word = level.keys // n, level.keys % n
-            # The same string without its first word is at least as frequent, so it is there.
-            shorter = word if d == 0 else self.levels[d - 1].index.find(suffix_of[d][context] * n + word)
-            here = level.counts / counts[d][context]
-            if d == 0:
-                there = root[word]
-            else:
-                there = counts[d][shorter] / counts[d - 1][suffix_of[d][context]]
-            gain = np.bincount(context, level.counts * np.log(here / there), minlength=len(counts[d]))
-            gains.append(gain)
-            mass.append(np.bincount(context, (level.counts - DISCOUNT) / counts[d][context], minlength=len(counts[d])))
-            counts.append(level.counts)
-            suffix_of.append(shorter)
-        self.kept = [g >= LEAST_GAIN for g in gains]
-        for d in range(len(self.kept) - 1, 0, -1):  # a kept context keeps its suffix
-            self.kept[d - 1][suffix_of[d][self.kept[d]]] = True
-        self.fall_back, self.chances = [], []
-        for d, level in enumerate(self.levels):
-            context, word = level.keys // n, level.keys % n
-            lower = root[word] if d == 0 else self.chances[d - 1][suffix_of[d + 1]]
-            rest = 1 - mass[d]
-            self.fall_back.append(rest)
-            self.chances.append((level.counts - DISCOUNT) / counts[d][context] + rest[context] * lower)
-
-    def score(self, stream: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """log10 of add-one and of tree probabilities for each place. For a rare word (-1) its own add-one
-        probability is left out of both; it is a factor of either."""
-        plain = np.where(stream >= 0, np.log10(self.root())[np.maximum(stream, 0)], 0.0)
-        best = plain.copy()
-        found = self.states(stream, len(self.levels))
-        for d, level in enumerate(self.levels):
-            context = self.before(found[d], stream, d + 1)
-            at = np.flatnonzero(context >= 0)
-            at = at[self.kept[d][context[at]]]
-            word, context = stream[at], context[at]
-            best[at] += np.log10(self.fall_back[d][context])
-            entry = np.where(word >= 0, level.index.find(context * len(self.words) + np.maximum(word, 0)), -1)
-            seen = entry >= 0
-            best[at[seen]] = np.log10(self.chances[d][entry[seen]])
-        return plain, best
-
-
 def _small(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
     """The batches in slices of some megabytes of text, as a word takes many times its bytes while it is looked up."""
     for batch in batches:
@@ -206,64 +98,6 @@ def _split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return words.filter(pa.array(real)).dictionary_encode(), kept[offsets]
 
 
-def _stream(coded: pa.Array, offsets: np.ndarray, tree: Tree) -> np.ndarray:
-    """Places of the words in the tree's table, an end before the first text and after each."""
-    place = pc.fill_null(pc.index_in(coded.dictionary, value_set=tree.words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
-    docs = len(offsets) - 1
-    stream = np.full(offsets[-1] + docs + 1, tree.end, np.int64)
-    owner = np.repeat(np.arange(docs), np.diff(offsets))
-    stream[np.arange(offsets[-1]) + owner + 1] = place[coded.indices.to_numpy()]
-    return stream
-
-
-def count_words(texts: DataFrame) -> DataFrame:
-    """Words and ends of all texts with their counts: token, c."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _small(batches, 0):
-            coded, offsets = _split(batch.column(0))
-            n = np.bincount(coded.indices.to_numpy(), minlength=len(coded.dictionary))
-            tokens = pa.concat_arrays([coded.dictionary.cast(pa.string()), pa.array([END])])
-            yield pa.RecordBatch.from_arrays([tokens, pa.array(np.append(n, len(offsets) - 1))], ["token", "n"])
-
-    return texts.mapInArrow(count, "token string, n long").groupBy("token").agg(F.sum("n").alias("c"))
-
-
-def count_strings(texts: DataFrame, tree: Tree, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and counts of the frequent strings one word longer than the tree has. Only strings whose both
-    shorter parts are frequent are counted, as no other can be."""
-    shared = texts.sparkSession.sparkContext.broadcast(tree)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        for batch in _small(batches, 0):
-            stream = _stream(*_split(batch.column(0)), model)
-            found = model.states(stream, len(model.levels) + 1)
-            context = model.before(found[-1], stream, len(found))
-            both = (context >= 0) & (found[-1] >= 0)
-            keys, n = np.unique(context[both] * len(model.words) + stream[both], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], ["key", "n"])
-
-    rows = texts.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    table = rows.toPandas()
-    return table["key"].to_numpy(np.int64), table["n"].to_numpy(np.int64)
-
-
-def train(texts: DataFrame) -> tuple[Tree, DataFrame]:
-    """The tree of a training part (one column, text) in the driver's memory, and the counts of all its words
-    (token, c). For corpora that fit there; `score_documents` has the same tree as tables."""
-    counts = written(count_words(texts), "word-counts")
-    total = counts.where("c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    frequent = counts.where((F.col("c") >= LEAST_COUNT) & (F.col("token") != END)).orderBy("token").toPandas()
-    ends = counts.where(F.col("token") == END).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
-    words = pa.array([*frequent["token"], END], pa.large_string())
-    tree = Tree(words, np.append(frequent["c"].to_numpy(np.int64), ends), total["n"], total["v"])
-    for _ in range(DEPTH):
-        tree.grow(*count_strings(texts, tree, LEAST_COUNT))
-    tree.prune()
-    return tree, counts
-
-
 def _hashes(words: list[str] | np.ndarray) -> np.ndarray:
     return pd.util.hash_array(np.asarray(words, object), categorize=False).view(np.int64)
 
@@ -341,7 +175,8 @@ def _count(texts: DataFrame, names: list[str], strings: Callable[[np.ndarray], t
 @dataclass
 class Model:
     """The tree as a table: the value (log10) that a string adds to the score of a text, by kind (1 word, 2 pair,
-    3 triple) and key. Words also have their add-one probability (base); their value is of what follows them."""
+    3 triple) and key, with the string's number. Words also have their add-one probability (base); their value is
+    of what follows them."""
 
     values: DataFrame
     tokens: int
@@ -402,60 +237,65 @@ def fit(texts: DataFrame) -> Model:
     of_pairs = pairs.join(shorter, "b", "left").join(contexts, "q", "left")
     value = F.coalesce(F.log10(low / F.col("rest_b") / F.col("root")), F.lit(0.0)) + F.coalesce(F.log10("rest"), F.lit(0.0))
     none = F.lit(None).cast("double")
-    of_pairs = of_pairs.where("rest_b IS NOT NULL OR rest IS NOT NULL").select(F.lit(2).alias("kind"), F.col("q").alias("key"), none.alias("base"), value.alias("value"))
+    of_pairs = of_pairs.where("rest_b IS NOT NULL OR rest IS NOT NULL").select(F.lit(2).alias("kind"), F.col("q").alias("key"), "n", none.alias("base"), value.alias("value"))
     low = chance(F.col("n_q"), F.col("n_b"), F.col("rest_b"), F.col("root"))
     high = chance(F.col("n"), F.col("n_p"), F.col("rest"), low)
     of_triples = triples.join(longer.select("p", "rest"), "p").join(shorter, "b")
-    of_triples = of_triples.select(F.lit(3).alias("kind"), _key("p", "q", _OF_TRIPLE).alias("key"), none.alias("base"), F.log10(high / F.col("rest") / low).alias("value"))
+    of_triples = of_triples.select(F.lit(3).alias("kind"), _key("p", "q", _OF_TRIPLE).alias("key"), "n", none.alias("base"), F.log10(high / F.col("rest") / low).alias("value"))
     of_words = words.join(shorter, F.col("h") == F.col("b"), "left")
-    of_words = of_words.select(F.lit(1).alias("kind"), F.col("h").alias("key"), F.log10(root(F.col("n"))).alias("base"), F.coalesce(F.log10("rest_b"), F.lit(0.0)).alias("value"))
+    of_words = of_words.select(F.lit(1).alias("kind"), F.col("h").alias("key"), "n", F.log10(root(F.col("n"))).alias("base"), F.coalesce(F.log10("rest_b"), F.lit(0.0)).alias("value"))
     values = written(of_words.union(of_pairs).union(of_triples), "values")
     for done in (words, pairs, triples, longer, shorter):
         discard(done)
     return Model(values, total["n"], total["v"])
 
 
-_STRINGS = "row long, kind int, key long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double"
+_STRINGS = "row long, key long, own struct<doc_id: long, held_out: boolean, n_tokens: long, known: long, base: double, score: double>"
+_OWN = ["doc_id", "held_out", "n_tokens", "known", "base", "score"]
 
 
-def _scorer(common, may) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """For each text a row of kind 0 with sums over its common words, and a row for each string to look up."""
+def _scorer(common, may, unknown: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """For each text a row with its sums over common strings, in which any other word counts as unknown, and a
+    row for each string to look up."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, base, value = common.value
-        index = Index(keys)
+        tables = [(Index(keys), np.append(base, unknown), np.append(value, 0.0)) for keys, base, value in common.value]
+
+        def look_up(kind: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            """Whether each string is common, its base and its value."""
+            index, base, value = tables[kind - 1]
+            place = index.find(keys)
+            return place >= 0, base[place], value[place]
+
         for batch in _small(batches, 3):
             docs = batch.num_rows
             stream, starts = _hashed(batch.column(3))
             tokens = np.diff(np.append(starts, len(stream) - 1))
             owner = np.repeat(np.arange(docs), tokens)
-            place = index.find(stream[1:])
-            seen = place >= 0
-            plain = np.where(seen, np.append(base, 0)[place], 0.0)
-            best = plain + np.where(seen, np.append(value, 0)[place], 0.0)
-            sums = [np.add.reduceat(x, starts) for x in (seen.astype(np.int64), plain, best)]
+            # A place stands for the string that ends at its token; no triple goes on beyond an end.
+            seen, plain, best = look_up(1, stream[1:])
+            asked = [np.flatnonzero(~seen)]
+            best += plain
+            found = [stream[1:][asked[0]]]
             pairs = _pairs(stream)
-            two = np.flatnonzero(_may_have(may.value, pairs))
             triples = _triples(pairs)
-            three = np.flatnonzero(_may_have(may.value, triples) & (stream[1:-1] != _END))
-            one = np.flatnonzero(~seen)
+            for kind, keys, inside in ((2, pairs, True), (3, triples, stream[1:-1] != _END)):
+                at = np.flatnonzero(_may_have(may.value, keys) & inside)
+                is_common, _, value = look_up(kind, keys[at])
+                best[at + kind - 2] += value
+                at = at[~is_common]
+                asked.append(at + kind - 2)
+                found.append(keys[at])
+            sums = [np.add.reduceat(x, starts) for x in (seen.astype(np.int64), plain, best)]
             rows = batch.column(0)
-            empty = lambda n, t: pa.nulls(n, t)
-            whole = [rows, pa.array(np.zeros(docs, np.int32)), rows, batch.column(1), batch.column(2), pa.array(tokens), *map(pa.array, sums)]
-            yield pa.RecordBatch.from_arrays(whole, _NAMES)
-            n = len(one) + len(two) + len(three)
-            of = rows.take(pa.array(np.concatenate([owner[one], owner[two], owner[three + 1]])))
-            kind = np.repeat(np.array([1, 2, 3], np.int32), [len(one), len(two), len(three)])
-            found = np.concatenate([stream[one + 1], pairs[two], triples[three]])
-            kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
-            yield pa.RecordBatch.from_arrays([of, pa.array(kind), pa.array(found), *[empty(n, t) for t in kinds]], _NAMES)
+            own = pa.StructArray.from_arrays([batch.column(1), batch.column(2), *map(pa.array, (tokens, *sums))], _OWN)
+            yield pa.RecordBatch.from_arrays([rows, rows, own], ["row", "key", "own"])
+            of = rows.take(pa.array(owner[np.concatenate(asked)]))
+            yield pa.RecordBatch.from_arrays([of, pa.array(np.concatenate(found)), pa.nulls(len(of), own.type)], ["row", "key", "own"])
 
     return score
 
 
-_NAMES = ["row", "kind", "key", "doc_id", "held_out", "n_tokens", "known", "base", "score"]
-
-
 def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -471,28 +311,28 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
     model = fit(rows.where("NOT held_out").select("text"))
     release(docs.sparkSession)
     unknown = -math.log10(model.tokens + model.distinct + 1)
-    # At most 1 / COMMON_SHARE words; any other is looked up by the join.
-    bar = math.log10((model.tokens * COMMON_SHARE + 1) / (model.tokens + model.distinct + 1))
-    common = model.values.where((F.col("kind") == 1) & (F.col("base") >= bar)).select("key", "base", "value").toArrow()
-    common = context.broadcast(tuple(common[c].to_numpy() for c in ("key", "base", "value")))
+    is_common = F.col("n") >= model.tokens * COMMON_SHARE
+    common = model.values.where(is_common).select("kind", "key", "base", "value").toArrow()
+    by_kind = [common.filter(pc.equal(common["kind"], kind)) for kind in (1, 2, 3)]
+    common = context.broadcast([tuple(pc.fill_null(t[c], 0).to_numpy() for c in ("key", "base", "value")) for t in by_kind])
     may = context.broadcast(_bits(model.values.where("kind > 1").select("key")))
-    strings = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text").mapInArrow(_scorer(common, may), _STRINGS)
-    found = model.values.withColumnsRenamed({"base": "log_base", "value": "log_value"})
-    both = strings.join(found, ["kind", "key"], "left")
-    is_word = F.col("kind") == 1
-    plain = F.when(is_word, F.coalesce("log_base", F.lit(unknown)))
-    total = lambda own, x: F.sum(F.coalesce(own, F.lit(0)) + F.coalesce(x, F.lit(0)))
-    value = F.coalesce(plain, F.lit(0.0)) + F.coalesce("log_value", F.lit(0.0))
+    numbered = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text")
+    strings = numbered.mapInArrow(_scorer(common, may, unknown), _STRINGS)
+    # What a string that is found adds; a word has counted as unknown until then.
+    more = F.coalesce(F.col("base") - unknown, F.lit(0.0))
+    found = model.values.where(~is_common).select("key", F.col("base").isNotNull().cast("long").alias("known"), more.alias("more"), (F.col("value") + more).alias("value"))
+    both = strings.join(found, "key", "left")
+    total = lambda own, x: F.sum(F.coalesce(F.col(f"own.{own}"), F.lit(0)) + F.coalesce(x, F.lit(0)))
     return (
         both.groupBy("row")
         .agg(
-            F.max("doc_id").alias("doc_id"),
-            F.max("held_out").alias("held_out"),
-            F.max("n_tokens").alias("n_tokens"),
-            total("known", F.when(is_word & F.col("log_base").isNotNull(), 1)).cast("long").alias("n_known"),
+            F.max("own.doc_id").alias("doc_id"),
+            F.max("own.held_out").alias("held_out"),
+            F.max("own.n_tokens").alias("n_tokens"),
+            total("known", F.col("known")).alias("n_known"),
             F.lit(model.tokens).cast("long").alias("train_tokens"),
-            total("base", plain).alias("base_score"),
-            total("score", value).alias("score"),
+            total("base", F.col("more")).alias("base_score"),
+            total("score", F.col("value")).alias("score"),
         )
         .drop("row")
     )

@@ -77,7 +77,10 @@ def brute_tree(docs, least):
     return c1, n, v, chance
 
 
-def test_scores_match_brute_force(spark):
+@pytest.mark.parametrize("share", [st.COMMON_SHARE, 0.002, 2.0])
+def test_scores_match_brute_force(spark, monkeypatch, share):
+    """With the values of all, some and no strings sent to the tasks."""
+    monkeypatch.setattr(st, "COMMON_SHARE", share)
     docs = corpus(1)
     frame = spark.createDataFrame(docs, "doc_id long, text string").withColumns({"token": F.lit(1), "row": F.lit(2), "known": F.lit(3)})
     rows = {r.doc_id: r for r in st.score_documents(frame, held_out()).collect()}
@@ -98,18 +101,13 @@ def test_contexts_help_on_held_out_texts(spark):
     assert len(rows) > 5 and better > 0.9
 
 
-def test_distributions_add_up(spark):
-    docs = spark.createDataFrame(corpus(3), "doc_id long, text string")
-    tree, _ = st.train(docs.select("text"))
-    for word in range(0, len(tree.words), 3):
-        for before in range(0, len(tree.words), 4):
-            context = [tree.end, before, word] if before != tree.end else [tree.end, word]
-            stream = np.array([x for w in range(len(tree.words)) for x in (*context, w)])
-            _, best = tree.score(stream)
-            seen = 10 ** best[len(context) :: len(context) + 1]
-            _, rare = tree.score(np.array([*context, -1]))
-            known = tree.root().sum()
-            assert seen.sum() + 10 ** rare[-1] * (1 - known) == pytest.approx(1, abs=1e-9)
+def test_distributions_add_up():
+    """Of the tree by dictionaries, whose scores are those of the operator."""
+    c1, _, _, chance = brute_tree(corpus(3), st.LEAST_COUNT)
+    words = sorted(c1)
+    for a in words[::5]:
+        for b in [w for w in words if len(w) == 1]:
+            assert sum(chance(a, b, w) for w in [*words, "never seen"]) == pytest.approx(1, abs=1e-9)
 
 
 def test_small_tables(spark):
