@@ -28,6 +28,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return back
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system, as Spark resolves it: "/x" is on the default one, not a task's local disk."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(place).toString()
+
+
 def discard(df: DataFrame) -> None:
     """Deletes a table made by `written` that nothing will read again."""
     spark = df.sparkSession

@@ -20,6 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from saleslayers.llm.common import qualified
 from saleslayers.llm.tokens import encoder
 
 DTYPES = {2: np.dtype("<u2"), 4: np.dtype("<u4")}
@@ -34,13 +35,22 @@ class Part:
     base: int = 0
 
 
+#: Stands for a null document id in a file, and reads back as null.
+NO_ID = -(1 << 63)
+
+
+def _opened(folder: str) -> tuple[fs.FileSystem, str]:
+    """Arrow's file system of a qualified folder, and the path on it."""
+    return fs.FileSystem.from_uri(folder.replace("s3a://", "s3://", 1))
+
+
 class _Writer:
     """The three files of one part, streamed; they take their names only once whole, so a lost task leaves none."""
 
     KINDS = ("ids", "offsets", "docs")
 
     def __init__(self, folder: str, number: int) -> None:
-        self._fs, self._root = fs.FileSystem.from_uri(folder)
+        self._fs, self._root = _opened(folder)
         self._fs.create_dir(self._root, recursive=True)
         self._name, self._attempt = f"part-{number:05d}", uuid.uuid4().hex
         self._files = {k: self._fs.open_output_stream(self._path(k, True)) for k in self.KINDS}
@@ -68,11 +78,14 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int, id_col:
     """Writes the ids of all texts, each with the end id, in ascending document order; gives the list of parts.
 
     Null texts are empty and hold the end id alone; repeated rows are written as often as they
-    occur (by text within an id); a null document id is refused, as the format has no place for it;
-    no rows write no parts. Texts are sorted before they are encoded, so ids are never shuffled, and a
+    occur (by text within an id); a null document id comes first and is written as NO_ID, the least
+    64-bit integer; an id that is no number counts as null; no rows write no parts. A folder without a
+    scheme is on Spark's default file system. Texts are sorted before they are encoded, so ids are never shuffled, and a
     task holds a batch of documents at a time. The driver gets one small row per part.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    folder = qualified(docs.sparkSession, folder)
+    number_of = F.coalesce(F.col(id_col).try_cast("long"), F.lit(NO_ID))
+    rows = docs.select(number_of.alias("id"), F.col(text_col).alias("text"))
     rows = rows.repartitionByRange("id").sortWithinPartitions("id", "text")
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,8 +94,6 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int, id_col:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            if batch.column(0).null_count:
-                raise ValueError("a document id is null")
             out = out or _Writer(folder, number)
             ids = enc.encode(batch.column(1))
             out.write(batch.column(0).to_numpy(), [np.concatenate([x, end]) for x in ids])
@@ -101,7 +112,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int, id_col:
 
 def open_part(folder: str, part: Part, kind: str) -> np.ndarray:
     """A file of a part as an array: memory-mapped on a local or mounted disk, else read."""
-    files, root = fs.FileSystem.from_uri(folder)
+    files, root = _opened(folder)
     path = f"{root}/part-{part.number:05d}.{kind}"
     dtype = {"ids": DTYPES[part.width], "offsets": np.dtype("<u8"), "docs": np.dtype("<i8")}[kind]
     if isinstance(files, fs.LocalFileSystem):
@@ -118,6 +129,7 @@ def read_ids(spark: SparkSession, folder: str, parts: list[Part], rows_at_once:
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long"
     if not parts:
         return spark.createDataFrame([], schema)
+    folder = qualified(spark, folder)
     by_number = {p.number: p for p in parts}
     numbers = [p.number for p in parts]
 
@@ -130,7 +142,8 @@ def read_ids(spark: SparkSession, folder: str, parts: list[Part], rows_at_once:
                     b = min(a + rows_at_once, part.docs)
                     at = offsets[a : b + 1].astype(np.int64)
                     crc = [zlib.crc32(ids[s:e].astype("<u4").tobytes()) for s, e in zip(at[:-1], at[1:])]
-                    columns = [doc_ids[a:b].astype(np.int64), at[:-1] + part.base, np.diff(at), crc]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "start", "n_tokens", "ids_crc32"])
+                    ids_here = doc_ids[a:b].astype(np.int64)
+                    columns = [pa.array(ids_here, mask=ids_here == NO_ID), *(pa.array(c, pa.int64()) for c in (at[:-1] + part.base, np.diff(at), crc))]
+                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return spark.range(0, len(parts), 1, len(parts)).mapInArrow(get, schema)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from saleslayers.llm import packing, token_files, tokens
+from saleslayers.llm.common import qualified
 from saleslayers.session import scratch_path
 
 PATH = tokens.default_tokenizer()
@@ -64,9 +65,18 @@ def test_no_documents_no_files(spark):
     assert parts == [] and token_files.read_ids(spark, folder, parts).count() == 0
 
 
-def test_a_null_id_is_refused(spark):
-    with pytest.raises(Exception, match="null"):
-        token_files.write_ids(spark.createDataFrame([(None, "x")], "doc_id long, text string"), scratch_path(spark, "null"), PATH, 2)
+def test_null_ids_come_first_and_read_back_as_null(spark):
+    folder = scratch_path(spark, "null")
+    for ids, schema in (([None, 5, None], "long"), (["a", "5", None], "string")):
+        frame = spark.createDataFrame([(i, "x") for i in ids], f"doc_id {schema}, text string")
+        target = f"{folder}/{schema}"
+        rows = token_files.read_ids(spark, target, token_files.write_ids(frame, target, PATH, 2)).collect()
+        n = len(plain(["x"])[0]) + 1
+        assert sorted((r.start, r.doc_id, r.n_tokens) for r in rows) == [(0, None, n), (n, None, n), (2 * n, 5, n)]
+
+
+def test_folders_are_on_the_default_file_system(spark):
+    assert qualified(spark, "/a/b").startswith("file:/") and qualified(spark, "file:/a/b") == "file:/a/b"
 
 
 @pytest.mark.parametrize("seed", range(4))
