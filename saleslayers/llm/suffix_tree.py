@@ -16,6 +16,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -34,7 +35,7 @@ DISCOUNT = 0.75
 LEAST_GAIN = 8.0
 
 #: Bytes of text that are looked up together.
-TEXT_AT_ONCE = 12_000_000
+TEXT_AT_ONCE = 6_000_000
 
 #: Share of all tokens from which a string's values go to every task instead of through the join. There can be
 #: no more than 1 / COMMON_SHARE words of this share, nor pairs, nor triples.
@@ -232,6 +233,7 @@ def fit(texts: DataFrame) -> Model:
     shorter = shorter.join(longer.select("b").distinct().withColumn("longer", F.lit(True)), "b", "left")
     shorter = written(shorter.where((F.col("gain") >= LEAST_GAIN) | F.col("longer")).select("b", F.col("rest").alias("rest_b")), "contexts-1")
     chance = lambda n, of, rest, lower: (n - DISCOUNT) / of + rest * lower
+    release(texts.sparkSession)
     low = chance(F.col("n"), F.col("n_b"), F.col("rest_b"), F.col("root"))
     contexts = longer.select(F.col("p").alias("q"), "rest")
     of_pairs = pairs.join(shorter, "b", "left").join(contexts, "q", "left")
@@ -244,9 +246,14 @@ def fit(texts: DataFrame) -> Model:
     of_triples = of_triples.select(F.lit(3).alias("kind"), _key("p", "q", _OF_TRIPLE).alias("key"), "n", none.alias("base"), F.log10(high / F.col("rest") / low).alias("value"))
     of_words = words.join(shorter, F.col("h") == F.col("b"), "left")
     of_words = of_words.select(F.lit(1).alias("kind"), F.col("h").alias("key"), "n", F.log10(root(F.col("n"))).alias("base"), F.coalesce(F.log10("rest_b"), F.lit(0.0)).alias("value"))
-    values = written(of_words.union(of_pairs).union(of_triples), "values")
-    for done in (words, pairs, triples, longer, shorter):
-        discard(done)
+    # One after the other, so that the shuffles of one are gone when the next begins.
+    parts = []
+    for part, used in ((of_triples, [triples]), (of_pairs, [pairs]), (of_words, [words, longer, shorter])):
+        parts.append(written(part, "values"))
+        for done in used:
+            discard(done)
+        release(texts.sparkSession)
+    values = reduce(DataFrame.union, parts)
     return Model(values, total["n"], total["v"])
 
 
