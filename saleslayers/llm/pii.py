@@ -1,9 +1,10 @@
 """Personal data and the terms around it that give it away, by how much a term tells about a protected entity.
 
 Base kinds are found by pattern: e-mail, IP, card and phone. Each found value is a protected entity e. For
-a term t in its context, the corpus tells how much t discloses: PMI(e; t) = log(p(t | e) / p(t)) against
-IC(e) = -log p(e), all an observer could learn of e. A term whose share reaches a threshold is sanitised
-where it stands in the entity's context: generalised, or removed where it as good as names the entity.
+a term t in its context, the corpus tells how much t discloses: of the information IC(e) = -log2 p(e) that
+an observer lacks, PMI(e; t) = log2(p(e | t) / p(e)) is told, and IC - PMI = -log2 p(e | t) bits are left,
+whatever the size of the corpus. A term that leaves few bits is sanitised where it stands in the entity's
+context: generalised, or removed where it as good as names the entity.
 """
 
 from __future__ import annotations
@@ -29,13 +30,17 @@ _IP_PARTS = r"^0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?:\.0*(?:25[0-5]|2[0-4][0
 #: Characters of context on either side of an entity (up to the next of its kind), and shortest term.
 CONTEXT = 80
 TERM = r"\p{L}{3,}"
-#: A term is sanitised from this share of the entity's information on, and removed from the second on. Near
-#: an entity of several texts it counts if it is there in LEAST_TEXTS of them. An entity of one text has no
-#: more to tell than how much the term narrows the corpus down; the term then counts as if it stood in PRIOR
-#: further documents that are not the entity's, as little is known of a term that is hardly ever seen.
-GENERALISE, REMOVE = 0.5, 0.9
+#: A term is sanitised where it leaves at most so many bits about the entity (3: it is one of 8 texts), and removed
+#: where it leaves at most the second number; it has to tell TOLD bits, as in a small corpus every term leaves few.
+#: Near an entity of several texts it counts if it is there in LEAST_TEXTS of them. As little is known of what is
+#: seen once, a term near an entity of one text has to tell TOLD_ALONE bits (be 256 times as likely there as
+#: elsewhere), and counts as if it stood in PRIOR more documents.
+GENERALISE, REMOVE = 3.0, 1.0
+TOLD, TOLD_ALONE = 2.0, 8.0
 LEAST_TEXTS = 2
-PRIOR = 20
+PRIOR = 1
+#: Matches of a pattern take two characters at least, so no more than this many begin within a context.
+_NEAR = CONTEXT // 2
 
 _SPAN = "array<struct<start:int,kind_no:int,end:int,value:string,before:string,after:string>>"
 
@@ -123,19 +128,38 @@ def base_spans(text: Column) -> Column:
     """All base spans of a text by start, then kind, with their context."""
 
     def of(kind: str) -> Column:
-        valid = F.filter(_matches(text, PATTERNS[kind]), lambda x: _VALID[kind](x["value"]))
-        spans = F.transform(
-            valid,
-            lambda x: F.struct(
+        def judged(x: Column) -> Column:
+            """A match with whether it counts, and with what a neighbour's context may need of it."""
+            ends = [f(x[c], F.lit(CONTEXT)).alias(n) for f, c, n in ((F.right, "before", "before"), (F.left, "after", "after"), (F.right, "value", "tail"), (F.left, "value", "head"))]
+            return F.struct(x["start"].alias("start"), x["value"].alias("value"), _VALID[kind](x["value"]).alias("valid"), *ends)
+
+        def spans(found: Column) -> Column:
+            at = F.filter(F.sequence(F.lit(0), F.size(found)), lambda i: F.get(found, i)["valid"])
+            return F.transform(at, lambda i: _once(F.get(found, i), lambda x: span(found, i, x)))
+
+        def span(found: Column, i: Column, x: Column) -> Column:
+            first = F.greatest(i - _NEAR, F.lit(0))
+            before = F.aggregate(
+                F.slice(found, first + 1, i - first), F.lit(""), lambda far, m: F.when(m["valid"], F.lit("")).otherwise(F.right(F.concat(far, m["before"], m["tail"]), F.lit(CONTEXT)))
+            )
+            zero = F.struct(x["after"].alias("text"), F.lit(False).alias("ended"))
+
+            def longer(so_far: Column, m: Column) -> Column:
+                ended = so_far["ended"] | m["valid"]
+                text = F.when(ended, so_far["text"]).otherwise(F.left(F.concat(so_far["text"], m["head"], m["after"]), F.lit(CONTEXT)))
+                return F.struct(text.alias("text"), ended.alias("ended"))
+
+            after = F.aggregate(F.slice(found, i + 2, F.lit(_NEAR)), zero, longer, lambda so_far: so_far["text"])
+            return F.struct(
                 x["start"].alias("start"),
                 F.lit(KINDS.index(kind)).alias("kind_no"),
                 (x["start"] + F.length(x["value"])).alias("end"),
                 x["value"].alias("value"),
-                F.right(x["before"], F.lit(CONTEXT)).alias("before"),
-                F.left(x["after"], F.lit(CONTEXT)).alias("after"),
-            ),
-        )
-        return F.when(_HINT[kind](text), spans).otherwise(F.array().cast(_SPAN))
+                F.right(F.concat(before, x["before"]), F.lit(CONTEXT)).alias("before"),
+                after.alias("after"),
+            )
+
+        return F.when(_HINT[kind](text), _once(F.transform(_matches(text, PATTERNS[kind]), judged), spans)).otherwise(F.array().cast(_SPAN))
 
     return F.sort_array(F.concat(*[of(kind) for kind in PATTERNS]))
 
@@ -160,45 +184,44 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def contexts(found: DataFrame) -> DataFrame:
-    """A row per term near an entity: doc_id, h, entity, term, start, end. found has doc_id, h and spans."""
-    rows = found.where(F.size("spans") > 0).select("doc_id", "h", F.inline("spans"))
+    """A row per term near an entity: row, doc_id, h, entity, term, start, end. found has doc_id, h and spans."""
+    rows = found.where(F.size("spans") > 0).select(F.monotonically_increasing_id().alias("row"), "doc_id", "h", "spans")
+    rows = rows.select("row", "doc_id", "h", F.inline("spans"))
     name = F.when(F.col("kind_no") == 0, F.lower("value")).otherwise(F.regexp_replace("value", r"[^0-9.+]", ""))
     # A word that the window cuts is no term: one at the far end of a full window goes.
     far = F.when(F.length("before") == CONTEXT, F.regexp_replace("before", r"^\p{L}+", "")).otherwise(F.col("before"))
     near = F.when(F.length("after") == CONTEXT, F.regexp_replace("after", r"\p{L}+$", "")).otherwise(F.col("after"))
     around = F.concat(_terms(far, F.col("start") - F.length(far)), _terms(near, F.col("end")))
     entity = F.concat_ws(":", F.col("kind_no"), name)
-    return rows.select("doc_id", "h", entity.alias("entity"), F.inline(around))
+    return rows.select("row", "doc_id", "h", entity.alias("entity"), F.inline(around))
 
 
 def disclosing(around: DataFrame, docs: DataFrame) -> DataFrame:
-    """Pairs (entity, term, share) with a share of the entity's information from GENERALISE on.
+    """Pairs (entity, term, left) with the bits left about the entity, at most GENERALISE.
 
-    docs (text) is the whole corpus: p(t) is over all its documents, counted on the map side first.
+    docs (text) is the whole corpus: term, entity and both are counted over all its rows, on the map side first.
     """
     total = docs.count()
-    doc = F.struct("doc_id", "h")
-    once = around.select("entity", "term", "doc_id", "h").distinct()
+    once = around.select("entity", "term", "row", "h").distinct()
     pairs = once.groupBy("entity", "term").agg(F.count("*").alias("both"), F.count_distinct("h").alias("texts"))
-    entities = around.select("entity", "doc_id", "h").distinct().groupBy("entity").agg(F.count(doc).alias("n_entity"), F.count_distinct("h").alias("of_texts"))
+    entities = around.select("entity", "row", "h").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"), F.count_distinct("h").alias("of_texts"))
     pairs = pairs.join(entities, "entity")
     pairs = written(pairs.where((F.col("texts") >= LEAST_TEXTS) | (F.col("of_texts") == 1)), "term-pairs")
     letters = F.array_distinct(F.split(F.lower("text"), r"\P{L}+"))
     terms = docs.select(F.explode(letters).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
-    counted = pairs.join(terms, "term")
-    n = F.lit(float(max(total, 1)))
-    prior = F.when(F.col("of_texts") == 1, PRIOR).otherwise(0)
-    pmi = F.log(F.col("both") / F.col("n_entity")) - F.log((F.col("n_term") + prior) / (n + prior))
-    information = -F.log(F.col("n_entity") / n)
-    share = F.when(information > 0, pmi / information).otherwise(F.lit(0.0))
-    return counted.select("entity", "term", share.alias("share")).where(F.col("share") >= GENERALISE)
+    alone = F.col("of_texts") == 1
+    prior = F.when(alone, PRIOR).otherwise(0)
+    left = F.log2((F.col("n_term") + prior) / F.col("both"))
+    told = F.log2(F.lit(float(max(total, 1))) / F.col("n_entity")) - F.col("left")
+    counted = pairs.join(terms, "term").withColumn("left", left)
+    return counted.where((F.col("left") <= GENERALISE) & (told >= F.when(alone, TOLD_ALONE).otherwise(TOLD))).select("entity", "term", "left")
 
 
 def term_spans(found: DataFrame, docs: DataFrame) -> DataFrame:
     """For each document with disclosing terms: doc_id, h, terms (start, kind_no, end, remove), by start."""
     around = written(contexts(found), "contexts")
     marked = around.join(disclosing(around, docs), ["entity", "term"])
-    spans = marked.groupBy("doc_id", "h", "start", "end").agg((F.max("share") >= REMOVE).alias("remove"))
+    spans = marked.groupBy("doc_id", "h", "start", "end").agg((F.min("left") <= REMOVE).alias("remove"))
     span = F.struct("start", F.lit(KINDS.index("term")).alias("kind_no"), "end", "remove")
     return written(spans.groupBy("doc_id", "h").agg(F.sort_array(F.collect_list(span)).alias("terms")), "term-spans")
 
