@@ -79,7 +79,7 @@ def test_signatures_estimate_similarity():
         assert abs(alike - len(both[cut : 4000 - cut]) / 4000) < 0.06
 
 
-def test_sketches_let_links_pass(spark):
+def test_bitmaps_and_sketches_let_links_pass(spark):
     choose = random.Random(9)
     rows = []
     for i in range(300):
@@ -88,7 +88,7 @@ def test_sketches_let_links_pass(spark):
         other = np.append(base[: n - int(n * choose.random() * 0.4)], np.array([choose.getrandbits(64) for _ in range(int(n * choose.random() * 0.2))], np.uint64))
         both = len(np.intersect1d(base, other))
         linked = 100 * both >= 75 * (len(base) + len(other) - both)
-        bits = [nd.sketch(nd.signature(x)).tolist() for x in (base, other)]
+        bits = [[*nd.bitmap(x).tolist(), *nd.sketch(nd.signature(x)).tolist()] for x in (base, other)]
         rows.append((i, len(base), bits[0], len(other), bits[1], bool(linked)))
     pairs = spark.createDataFrame(rows, "i int, n long, bits array<long>, n2 long, bits2 array<long>, linked boolean")
     a = pairs.select("i", "n", "bits", "linked").alias("a")
