@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from saleslayers import schemas
 from saleslayers.catalog.base import Query, bronze_table, raw
+from saleslayers.catalog.drops import write_csv
 from saleslayers.catalog.mapping import RUN_TS, RUN_TS_SQL, SECOND_TS, SECOND_TS_SQL, table
 from saleslayers.catalog.sql import bronze_columns, bronze_sql, columns, fact_sql, labelled_lines_sql, raw_sql
 from saleslayers.catalog.upserts import FIRST_END, IN_FIRST, IN_SECOND, SECOND_START
@@ -184,19 +185,19 @@ def new_files(spark, sf_dir):
 
 
 def ingest_audit(spark, sf_dir):
-    """Audit rows of a scan of one file per order type, named by their folder."""
-    folder = scratch_path(spark, "audited")
-    raw(spark, sf_dir, "sale_orders").repartition("ordertype").write.partitionBy("ordertype").option(
-        "header", True
-    ).csv(folder)
+    """Audit rows of a scan of one folder per order type, put together by folder: a type has as many files as tasks
+    have lines of it."""
+    folder = write_csv(raw(spark, sf_dir, "sale_orders"), scratch_path(spark, "audited"), "ordertype")
     names = [f for f in schemas.SALE_ORDERS if f.name != "ordertype"]
     rows = read_csv(spark, type(schemas.SALE_ORDERS)(names), f"{folder}/*").withColumn(
         "source_file", F.col("_metadata.file_path")
     )
     audit = file_audit(rows, 7, RUN_TS)
-    return audit.select(
-        F.regexp_extract("file_key", "ordertype=([A-Z])", 1).alias("ordertype"),
-        *[c for c in audit.columns if c != "file_key"],
+    measures = {"row_count": F.sum, "first_created": F.min, "last_created": F.max, "batch_id": F.max, "status": F.max, "processed_at": F.max}
+    return (
+        audit.groupBy(F.regexp_extract("file_key", "/(ordertype=[^/]*)/", 1).alias("folder"))
+        .agg(*[of(c).alias(c) for c, of in measures.items()])
+        .select(F.regexp_extract("folder", "ordertype=([A-Z])", 1).alias("ordertype"), *measures)
     )
 
 

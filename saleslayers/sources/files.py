@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 CSV_OPTIONS = {"header": True, "mode": "PERMISSIVE"}
+#: Names of CSV files; a compressed one is read by one task.
+CSV_FILES = "*.{csv,csv.gz}"
 CORRUPT_RECORD = "_corrupt_record"
 
 

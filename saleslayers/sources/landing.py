@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from saleslayers.operators.rows import conform_to, dedupe_latest, timestamp
 from saleslayers.schemas import FILE_REGISTRY, LANDING_PLANS
+from saleslayers.sources.files import CSV_FILES
 
 # The kinds of files, in the order in which their names are looked for.
 CATEGORIES = ("sale_orders", "customers", "products", "suppliers", "warehouses")
@@ -41,7 +42,7 @@ def landing_path(category: Column, run_ts: datetime, unique: Column | None = Non
     )
 
 
-def list_files(spark: SparkSession, folder: str | list[str], pattern: str = "*.csv") -> DataFrame:
+def list_files(spark: SparkSession, folder: str | list[str], pattern: str = CSV_FILES) -> DataFrame:
     """path, file_key, modified and size of the files below a folder or several; contents are not read.
 
     file_key is the path as scans report it in `_metadata.file_path`.
