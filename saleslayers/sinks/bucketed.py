@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from saleslayers.session import scratch_path
+from saleslayers.sinks.tables import written
+
 #: A bucket is read by one task, which adaptive execution cannot split. Above so many times the mean bucket, a
 #: table is written without buckets: its joins then shuffle, and a hot key's rows are split.
 LARGEST_BUCKET = 2.0
@@ -30,11 +33,14 @@ def write_bucketed(rows: DataFrame, table: str, path: str, key: str, buckets: in
 
     Bucketed tables of one number of buckets join on their keys without a shuffle of either; where a key
     is hot the table gets no buckets. One file per bucket: the shuffle of the write is the last one on this key.
+    The rows are evaluated once, for the sizes of the buckets and for the table.
     """
-    even = is_even(rows, key, buckets)
-    writer = (rows.repartition(buckets, key) if even else rows).write.mode("overwrite").option("path", path)
-    (writer.bucketBy(buckets, key).sortBy(key) if even else writer).saveAsTable(table)
-    return rows.sparkSession.table(table)
+    spark = rows.sparkSession
+    with written(rows, scratch_path(spark, "bucketed")) as stored:
+        even = is_even(stored, key, buckets)
+        writer = (stored.repartition(buckets, key) if even else stored).write.mode("overwrite").option("path", path)
+        (writer.bucketBy(buckets, key).sortBy(key) if even else writer).saveAsTable(table)
+    return spark.table(table)
 
 
 def drop_tables(spark: SparkSession, *tables: str) -> None:
