@@ -14,12 +14,12 @@ from datetime import timedelta
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saleslayers import schemas
 from saleslayers.catalog.base import Query, bronze_table, raw
-from saleslayers.catalog.drops import write_csv
+from saleslayers.catalog.drops import ROUND, Drops, in_rounds, write_csv
 from saleslayers.catalog.mapping import RUN_TS, RUN_TS_SQL, SECOND_TS, SECOND_TS_SQL, table
 from saleslayers.catalog.sql import bronze_columns, bronze_sql, columns, fact_sql, labelled_lines_sql, raw_sql
 from saleslayers.catalog.upserts import FIRST_END, IN_FIRST, IN_SECOND, SECOND_START
@@ -27,7 +27,7 @@ from saleslayers.plans import bronze, jobs
 from saleslayers.plans.jobs import Layout
 from saleslayers.session import scratch_path
 from saleslayers.sinks.audit import file_audit
-from saleslayers.sinks.tables import append
+from saleslayers.sinks.tables import append, written
 from saleslayers.sources import landing
 from saleslayers.sources.archives import data_lines, expand_archives, file_system_of, qualified
 from saleslayers.sources.files import parse_csv_lines, read_csv
@@ -37,9 +37,12 @@ from saleslayers.streaming import loads
 ORDERS = bronze.RAW_TABLES["sale_orders"]
 
 
-def _write_csv(df: DataFrame, folder: str) -> str:
-    df.write.mode("append").option("header", True).csv(folder)
-    return folder
+def _early() -> Column:
+    return F.col("createddate") < FIRST_END
+
+
+def _late() -> Column:
+    return F.col("createddate") >= FIRST_END
 
 
 # --- CSV files --------------------------------------------------------------------------
@@ -50,7 +53,7 @@ def scan_csv_permissive(spark, sf_dir):
     rows = raw(spark, sf_dir, "sale_orders")
     text = F.when(F.col("ordertype") == "P", "n/a").otherwise(F.col("quantity").cast("string"))
     return read_csv(
-        spark, schemas.SALE_ORDERS, _write_csv(rows.withColumn("quantity", text), scratch_path(spark, "csv"))
+        spark, schemas.SALE_ORDERS, write_csv(rows.withColumn("quantity", text), scratch_path(spark, "csv"))
     )
 
 
@@ -72,12 +75,9 @@ def _raw_typed(**changes: str) -> str:
 def _two_appends(spark, sf_dir) -> str:
     """A raw table filled by two loads, split by creation time."""
     path = scratch_path(spark, "appended")
-    rows = raw(spark, sf_dir, "sale_orders")
-    for part, run_ts in (
-        (F.col("createddate") < FIRST_END, RUN_TS),
-        (F.col("createddate") >= FIRST_END, SECOND_TS),
-    ):
-        append(bronze.ingest(rows.filter(part), ORDERS, run_ts), path, ORDERS.partition_columns)
+    with written(raw(spark, sf_dir, "sale_orders"), scratch_path(spark, "lines")) as rows:
+        for part, run_ts in ((_early(), RUN_TS), (_late(), SECOND_TS)):
+            append(bronze.ingest(rows.filter(part), ORDERS, run_ts), path, ORDERS.partition_columns)
     return path
 
 
@@ -121,10 +121,11 @@ def fact_load_counts(spark, sf_dir):
 def _two_loads(spark, sf_dir, name: str, into_fact: bool = False) -> Layout:
     """Order lines dropped and loaded twice, split by creation time; the second drop holds each of its lines twice."""
     base = scratch_path(spark, name)
-    layout, rows = Layout(f"{base}/landing", f"{base}/tables"), raw(spark, sf_dir, "sale_orders")
-    late = rows.filter(F.col("createddate") >= FIRST_END)
-    for part, run_ts in ((rows.filter(F.col("createddate") < FIRST_END), RUN_TS), (late.union(late), SECOND_TS)):
-        _write_csv(part, layout.arrivals("sale_orders"))
+    layout = Layout(f"{base}/landing", f"{base}/tables")
+    drops = Drops(raw(spark, sf_dir, "sale_orders"), f"{base}/drops", in_rounds(_early(), _late(), _late()))
+    for numbers, run_ts in (([0], RUN_TS), ([1, 2], SECOND_TS)):
+        for number in numbers:
+            drops.arrive(number, layout.arrivals("sale_orders"))
         jobs.load_raw(spark, layout, "sale_orders", run_ts)
         if into_fact:
             jobs.load_fact(spark, layout, ("year",))
@@ -355,16 +356,15 @@ REGISTERED_SQL = f"""SELECT 'PROCESSED' AS status, CAST(1 AS BIGINT) AS more_ent
 def stream_ingest_files(spark, sf_dir):
     """Two drops of files, a stream started three times: each row arrives once."""
     base = scratch_path(spark, "stream-copy")
-    rows = raw(spark, sf_dir, "sale_orders")
-    for part in (F.col("createddate") < FIRST_END, F.col("createddate") >= FIRST_END):
-        _write_csv(rows.filter(part), f"{base}/landing")
+    drops = Drops(raw(spark, sf_dir, "sale_orders"), f"{base}/drops", in_rounds(_early(), _late()))
+    for number in range(2):
+        drops.arrive(number, f"{base}/landing")
         loads.copy_files(spark, schemas.SALE_ORDERS, f"{base}/landing", f"{base}/rows", f"{base}/checkpoint")
     loads.copy_files(spark, schemas.SALE_ORDERS, f"{base}/landing", f"{base}/rows", f"{base}/checkpoint")
     return read_table(spark, f"{base}/rows").select(*schemas.SALE_ORDERS.fieldNames())
 
 
-def _stream_raw(spark, base: str, rows: DataFrame, run_ts) -> None:
-    _write_csv(rows, f"{base}/landing")
+def _stream_raw(spark, base: str, run_ts) -> None:
     loads.ingest_files(
         spark,
         ORDERS,
@@ -379,9 +379,10 @@ def _stream_raw(spark, base: str, rows: DataFrame, run_ts) -> None:
 def stream_bronze(spark, sf_dir):
     """Two drops of order lines, each validated, deduped, stamped and appended."""
     base = scratch_path(spark, "stream-raw")
-    rows = raw(spark, sf_dir, "sale_orders")
-    _stream_raw(spark, base, rows.filter(F.col("createddate") < FIRST_END), RUN_TS)
-    _stream_raw(spark, base, rows.filter(F.col("createddate") >= FIRST_END), SECOND_TS)
+    drops = Drops(raw(spark, sf_dir, "sale_orders"), f"{base}/drops", in_rounds(_early(), _late()))
+    for number, run_ts in enumerate((RUN_TS, SECOND_TS)):
+        drops.arrive(number, f"{base}/landing")
+        _stream_raw(spark, base, run_ts)
     return read_table(spark, f"{base}/raw").select(*bronze_columns("sale_orders"), loads.BATCH)
 
 
@@ -391,7 +392,7 @@ def stream_bronze_malformed(spark, sf_dir):
     base = scratch_path(spark, "stream-malformed")
     layout, rows = Layout(f"{base}/landing", f"{base}/tables"), raw(spark, sf_dir, "sale_orders")
     text = F.when(F.col("ordertype") == "P", "n/a").otherwise(F.col("quantity").cast("string"))
-    _write_csv(rows.withColumn("quantity", text), layout.arrivals("sale_orders"))
+    write_csv(rows.withColumn("quantity", text), layout.arrivals("sale_orders"))
     jobs.load_raw(spark, layout, "sale_orders", RUN_TS, split_malformed=True)
     good = read_table(spark, layout.raw("sale_orders")).select("salesordernumber", "salesorderlinenumber", "quantity", F.lit(0).alias("malformed"))
     bad = read_table(spark, layout.malformed("sale_orders")).withColumn("field", F.split(loads.CORRUPT, ","))
@@ -402,11 +403,11 @@ def stream_bronze_malformed(spark, sf_dir):
 def stream_silver_upsert(spark, sf_dir):
     """Two overlapping drops of order lines, streamed through to the fact table."""
     base = scratch_path(spark, "stream-fact")
-    rows = raw(spark, sf_dir, "sale_orders")
-    first = rows.filter(F.col("createddate") < FIRST_END)
-    second = rows.filter(F.col("createddate") >= SECOND_START).withColumn("quantity", F.col("quantity") + 1)
-    for part, run_ts in ((first, RUN_TS), (second, SECOND_TS)):
-        _stream_raw(spark, base, part, run_ts)
+    rounds = in_rounds(_early(), F.col("createddate") >= SECOND_START)
+    drops = Drops(raw(spark, sf_dir, "sale_orders"), f"{base}/drops", rounds, quantity=F.col("quantity") + F.col(ROUND))
+    for number, run_ts in enumerate((RUN_TS, SECOND_TS)):
+        drops.arrive(number, f"{base}/landing")
+        _stream_raw(spark, base, run_ts)
         loads.upsert_fact(
             spark,
             f"{base}/raw",

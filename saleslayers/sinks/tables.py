@@ -47,7 +47,7 @@ def materialise(df: DataFrame, path: str) -> DataFrame:
     Cuts a long lineage, evaluates a frame with several consumers once, survives lost executors,
     and gives the planner the real size.
     """
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -18,10 +18,13 @@ def read_table(spark: SparkSession, name_or_path: str, schema: StructType | None
 
 
 def read_table_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """The columns of `schema` of a Parquet folder; no rows before its first write."""
+    """The columns of `schema` of a Parquet folder; no rows before its first write.
+
+    The planner knows that these are none, so that what meets them in a join is not shuffled.
+    """
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], schema).filter(F.lit(False))
     return spark.read.schema(schema).parquet(path)
 
 

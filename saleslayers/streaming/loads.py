@@ -31,7 +31,7 @@ from saleslayers.sinks.tables import (
     rows_in_partitions,
     written,
 )
-from saleslayers.sources.files import CSV_OPTIONS
+from saleslayers.sources.files import CSV_FILES, CSV_OPTIONS
 from saleslayers.sources.tables import read_table_or_empty
 
 Clock = Callable[[], datetime]
@@ -56,9 +56,9 @@ def stream_csv(
     max_bytes: str | None = None,
     corrupt: str | None = None,
     archive: str | None = None,
-    pattern: str = "*.csv",
+    pattern: str = CSV_FILES,
 ) -> DataFrame:
-    """New CSV files below a folder, with the path each row came from. A batch takes so many files or bytes at most;
+    """New CSV files below a folder, plain or compressed, with the path each row came from. A batch takes so many files or bytes at most;
     `corrupt` names the column of the schema that gets the text of malformed records. With `archive`, files of
     batches that are done move there (outside the folder), so that listings stay short."""
     reader = (
@@ -172,11 +172,13 @@ def upsert_fact(
 
     def load(batch: DataFrame, batch_id: int) -> None:
         counts, rejected = Observation(), F.count(F.when(F.col("error_flag") == 1, 1))
-        counted = silver.labelled_lines(batch).observe(counts, F.count("*").alias("lines"), rejected.alias("rejected"))
-        with written(counted, scratch_path(batch.sparkSession, "labelled")) as labelled:
-            if rejects:
-                append_batch(rejected_rows(labelled).drop(silver.LOAD), rejects, batch_id, column=BATCH)
-            write_fact(silver.fact_batch(labelled), fact_root, partition_columns, changes=changes, batch_id=batch_id)
+        labelled = silver.labelled_lines(batch)
+        counted = labelled.observe(counts, F.count("*").alias("lines"), rejected.alias("rejected"))
+        # Labels are expressions over stored rows: they are computed again for the valid lines, not written in between.
+        if rejects:
+            append_batch(rejected_rows(counted).drop(silver.LOAD), rejects, batch_id, column=BATCH)
+        valid = silver.fact_batch(labelled if rejects else counted)
+        write_fact(valid, fact_root, partition_columns, changes=changes, batch_id=batch_id)
         if ledger:
             entry = [(counts.get["lines"] - counts.get["rejected"], counts.get["rejected"])]
             append_batch(spark.createDataFrame(entry, _FACT_ENTRY).coalesce(1), ledger, batch_id, column=BATCH)
