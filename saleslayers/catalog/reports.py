@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from saleslayers.catalog.base import Query, StarOf, raw
+from saleslayers.catalog.drops import Drops, in_rounds, write_csv
 from saleslayers.catalog.mapping import RUN_TS, RUN_TS_SQL, SECOND_TS, SECOND_TS_SQL
 from saleslayers.catalog.sql import FACT_COLUMNS, columns, dimension_sql, fact_sql, with_
 from saleslayers.catalog.upserts import FIRST_END, IN_FIRST, IN_SECOND, SECOND_START
@@ -22,7 +23,7 @@ from saleslayers.plans.jobs import (
 )
 from saleslayers.session import scratch_path
 from saleslayers.sinks.bucketed import drop_tables
-from saleslayers.sinks.tables import append, materialise
+from saleslayers.sinks.tables import append, materialise, written
 from saleslayers.streaming import loads
 
 AMOUNT = "CAST(sum(quantity * unitprice) AS DOUBLE) AS total_sales_amount"
@@ -87,10 +88,11 @@ def refresh(name: str) -> Query:
 
     def run(spark, sf_dir):
         everything, before = StarOf(spark, sf_dir), StarOf(spark, sf_dir)
-        before.fact = everything.fact.filter(F.col("createddate") < CUTOFF)
         root = scratch_path(spark, f"report-{name}")
-        refresh_report_table(spark, root, rule, before, RUN_TS)
-        return refresh_report_table(spark, root, rule, everything, SECOND_TS)
+        with written(everything.fact, scratch_path(spark, "lines")) as everything.fact:
+            before.fact = everything.fact.filter(F.col("createddate") < CUTOFF)
+            refresh_report_table(spark, root, rule, before, RUN_TS)
+            return refresh_report_table(spark, root, rule, everything, SECOND_TS)
 
     return Query(
         run,
@@ -125,12 +127,13 @@ def refresh_moved(name: str) -> Query:
 
     def run(spark, sf_dir):
         before, after = StarOf(spark, sf_dir), StarOf(spark, sf_dir)
-        after.fact = before.fact
         for dimension, changes in MOVED.values():
             setattr(after, dimension, getattr(before, dimension).withColumns({c: F.expr(e) for c, e in changes.items()}))
         root = scratch_path(spark, f"moved-{name}")
-        refresh_report_table(spark, root, rule, before, RUN_TS)
-        return refresh_report_table(spark, root, rule, after, SECOND_TS)
+        with written(before.fact, scratch_path(spark, "lines")) as lines:
+            before.fact = after.fact = lines
+            refresh_report_table(spark, root, rule, before, RUN_TS)
+            return refresh_report_table(spark, root, rule, after, SECOND_TS)
 
     now = report_sql(name, "fact", SECOND_TS_SQL).replace("JOIN c ON", "JOIN c2 c ON").replace("JOIN s ON", "JOIN s2 s ON")
     return Query(
@@ -207,12 +210,12 @@ def load_all_layers(spark, sf_dir):
     """
     base = scratch_path(spark, "layers")
     layout = Layout(f"{base}/landing", f"{base}/tables")
-    orders = raw(spark, sf_dir, "sale_orders")
     early = F.col("createddate") < CUTOFF
+    drops = Drops(raw(spark, sf_dir, "sale_orders"), f"{base}/drops", in_rounds(early, ~early))
     report = REPORTS["by_country"]
-    raw(spark, sf_dir, "customers").write.option("header", True).csv(layout.arrivals("customers"))
-    for part, run_ts in ((early, RUN_TS), (~early, SECOND_TS)):
-        orders.filter(part).write.mode("append").option("header", True).csv(layout.arrivals("sale_orders"))
+    write_csv(raw(spark, sf_dir, "customers"), layout.arrivals("customers"))
+    for number, run_ts in enumerate((RUN_TS, SECOND_TS)):
+        drops.arrive(number, layout.arrivals("sale_orders"))
         for name in ("sale_orders", "customers"):
             load_raw(spark, layout, name, run_ts)
         load_dimension(spark, layout, "dim_customers", run_ts)
