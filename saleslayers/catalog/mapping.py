@@ -197,21 +197,27 @@ FROM nation
 """
 
 
+def _order_number(key: str) -> Column:
+    return F.concat(F.lit("SO"), _text(key)).alias("salesordernumber")
+
+
 def sale_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = (
+    # Lines meet their order last and by its number: they then lie where the latest line per number is chosen,
+    # and are not shuffled again for it.
+    lines = (
         table(spark, sf_dir, "lineitem")
-        .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+        .join(table(spark, sf_dir, "part").withColumn("p_retailprice", F.col("p_retailprice").cast("decimal(12,2)")), F.col("l_partkey") == F.col("p_partkey"))
         .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
     )
+    rows = lines.select("*", _order_number("l_orderkey")).join(table(spark, sf_dir, "orders").select("*", _order_number("o_orderkey")), "salesordernumber")
     return rows.select(
-        F.concat(F.lit("SO"), _text("l_orderkey")).alias("salesordernumber"),
+        "salesordernumber",
         F.col("l_linenumber").alias("salesorderlinenumber"),
         F.col("o_orderdate").cast("timestamp").alias("createddate"),
         F.col("l_shipdate").cast("timestamp").alias("processeddate"),
         F.col("o_orderstatus").alias("ordertype"),
         F.col("l_quantity").cast("int").alias("quantity"),
-        F.col("p_retailprice").cast("decimal(12,2)").alias("unitprice"),
+        F.col("p_retailprice").alias("unitprice"),
         (F.col("l_extendedprice").cast("decimal(12,2)") * F.col("l_tax").cast("decimal(4,2)")).alias("taxamount"),
         _text("o_custkey").alias("customer_id"),
         _text("l_partkey").alias("product_id"),

@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from saleslayers.functions.cleaning import null_if_not_digits, null_if_not_email
 from saleslayers.operators.rows import timestamp
@@ -39,6 +41,16 @@ def _typed(target: str, source: str, type_name: str) -> Column:
     return F.col(source).try_cast(type_name).alias(target)
 
 
+def _decimal(raw: DataFrame, name: str, precision: int, scale: int) -> Column:
+    """try_cast to a decimal. It raises and drops an error for each value beyond the range, which costs more than
+    all else that is done to a line; where amounts are numbers, those that cannot fit are told by comparison."""
+    column = F.col(name)
+    if isinstance(raw.schema[name].dataType, NumericType):
+        limit = F.lit(Decimal(10) ** (precision - scale))
+        column = F.when((column > -limit) & (column < limit), column)
+    return column.try_cast(f"decimal({precision},{scale})").alias(name)
+
+
 # Source and target column names of the following layouts.
 
 
@@ -119,8 +131,8 @@ def sale_orders(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
         null_if_not_digits(F.col("salesorderlinenumber")).alias("salesorderlinenumber"),
         "ordertype",
         _typed("quantity", "quantity", "int"),
-        _typed("taxamount", "taxamount", "decimal(7,4)"),
-        _typed("unitprice", "unitprice", "decimal(8,4)"),
+        _decimal(raw, "taxamount", 7, 4),
+        _decimal(raw, "unitprice", 8, 4),
         _typed("customer_id", "customer_id", "int"),
         _typed("product_id", "product_id", "int"),
         "createddate",

@@ -1,5 +1,6 @@
 """Plan shapes that decide how the queries behave on large and skewed tables."""
 
+import re
 from contextlib import contextmanager
 
 import pytest
@@ -58,6 +59,14 @@ def test_reports_read_only_what_they_use(spark, sf_dir):
     assert schemas and not any("l_discount" in s or "o_totalprice" in s or "c_acctbal" in s for s in schemas)
 
 
+def test_lines_lie_by_order_number_when_the_latest_is_chosen(spark, sf_dir):
+    """The join with the orders is the last shuffle: none by order and line number follows."""
+    with shuffle_joins_only(spark):
+        plan = plan_of(QUERIES["bronze_sale_orders"].run(spark, sf_dir))
+    assert "Exchange hashpartitioning(salesordernumber" in plan
+    assert not re.search(r"Exchange hashpartitioning\(salesordernumber#\d+L?, salesorderlinenumber", plan)
+
+
 def test_filter_reaches_the_scan(spark, sf_dir):
     assert "PushedFilters: [IsNotNull(ts), GreaterThan(ts" in plan_of(QUERIES["scan_incremental"].run(spark, sf_dir))
 

@@ -4,6 +4,7 @@ from datetime import datetime, timezone
 from decimal import Decimal
 
 import pytest
+from conftest import as_set
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -75,6 +76,19 @@ def test_amounts_are_rounded_half_up(spark):
     assert (row.unitprice, row.taxamount) == (Decimal("354.9247"), Decimal("28.3940"))
 
 
+@pytest.mark.parametrize("kind", ["double", "decimal(12,6)", "decimal(38,18)", "int", "string"])
+def test_amounts_beyond_their_range(spark, kind):
+    """The same as try_cast, which is only asked where a number may fit."""
+    texts = [None, "0", "7", "999.9999", "999.99994", "999.99995", "-999.99996", "1000", "-1000", "123456", "-2147483648"]
+    texts += ["NaN", "Infinity", "-Infinity"] if kind == "double" else ["x"] if kind == "string" else []
+    values = spark.createDataFrame([(t,) for t in texts], "t string").select(F.col("t").try_cast(kind).alias("taxamount"))
+    others = [f.name for f in schemas.SALE_ORDERS if f.name != "taxamount"] + ["year", "month", "day"]
+    raw = values.withColumns({c: F.lit(None).cast("string") for c in others})
+    got = conform.sale_orders(raw).select("taxamount")
+    assert as_set(got) == as_set(values.select(F.col("taxamount").try_cast("decimal(7,4)")))
+    assert ("CASE WHEN" in got._jdf.queryExecution().executedPlan().toString()) == (kind != "string")
+
+
 def test_split_is_complete(spark):
     labelled = labels(spark, *[c for c, _ in CASES])
     assert valid_rows(labelled).count() + rejected_rows(labelled).count() == len(CASES)
