@@ -159,7 +159,7 @@ def kept_up(name: str) -> Query:
         second = lines.filter(F.col("createddate") >= SECOND_START).withColumn("quantity", F.col("quantity") + 1)
         rounds = ((lines.filter(F.col("createddate") < FIRST_END), used, RUN_TS), (second, moved, SECOND_TS))
         for number, (batch, dimensions, run_ts) in enumerate(rounds):
-            loads.write_fact(batch, f"{base}/fact", months, changes=f"{base}/changes", batch_id=number)
+            loads.write_fact(batch, f"{base}/fact", months, changes=f"{base}/changes", batch_id=number, stored=True)
             star = gold.Star(loads.read_fact(spark, f"{base}/fact"), *[dimensions.get(d) for d in ("customers", "products", "suppliers", "warehouses")])
             incremental.refresh(star, rule, tables, f"{base}/changes", run_ts, months)
         return incremental.read_report(spark, rule, tables).drop("updated_at", "last_updated")

@@ -266,7 +266,7 @@ class _Refresh:
         return named(partials, self.plan, names)
 
     def _keys(self, rows: DataFrame) -> DataFrame:
-        return rows.select(*self.report.keys, F.expr(self.plan.part).alias(PART)).distinct()
+        return rows.select(*self.report.keys, F.expr(self.plan.part).alias(PART))
 
     def _of_ids(self, table: str, ids: DataFrame) -> DataFrame:
         line_id = next(_line_id(n) for n in self.plan.names if n.table == table)

@@ -7,6 +7,7 @@ after a failure replaces what it wrote before, so each file counts once.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from contextlib import nullcontext
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -223,6 +224,7 @@ def write_fact(
     *,
     changes: str | None = None,
     batch_id: int = 0,
+    stored: bool = False,
 ) -> None:
     """Merges a batch of valid lines into the partitioned fact table.
 
@@ -231,11 +233,12 @@ def write_fact(
     months as partitions; a table always keeps the ones it was first written with.
 
     With `changes`, the touched partitions are put on record under the batch's number once they are in
-    place; a batch that is repeated after a failure replaces its record.
+    place; a batch that is repeated after a failure replaces its record. `stored` states that the batch is plain
+    expressions over a written table: it is then read twice instead of being written in between.
     """
     spark = batch.sparkSession
     finish_replacement(spark, fact_root, partition_columns)
-    with written(batch, scratch_path(spark, "fact-batch")) as rows:
+    with nullcontext(batch) if stored else written(batch, scratch_path(spark, "fact-batch")) as rows:
         if rows.isEmpty():
             return
         with written(partitions_of(rows, partition_columns), scratch_path(spark, "touched")) as touched:

@@ -10,6 +10,7 @@ from saleslayers import schemas
 from saleslayers.plans import gold, incremental
 from saleslayers.plans.gold import REPORTS, Star
 from saleslayers.sinks import tables as sink
+from saleslayers.streaming import loads
 from saleslayers.streaming.loads import read_fact, write_fact
 
 FIRST, SECOND, THIRD = (datetime(2025, m, 1, tzinfo=timezone.utc) for m in (1, 2, 3))
@@ -177,3 +178,26 @@ def test_only_one_record_of_refreshes_is_kept(shop, tmp_path):
     runs = [p.name for p in (tmp_path / "by_country" / "runs").iterdir()]
     assert sorted(runs) == ["done", "run=3"]
     assert shop.rows("by_country", F.sum("total_quantity_sold")) == [(17.0,)]
+
+
+@pytest.mark.parametrize("stored", [False, True])
+def test_a_stored_batch_is_not_written_again(spark, tmp_path, monkeypatch, stored):
+    names, path = [], loads.scratch_path
+    monkeypatch.setattr(loads, "scratch_path", lambda spark, name: names.append(name) or path(spark, name))
+    batch = lines(spark, *START)
+    batch.write.parquet(f"{tmp_path}/lines")
+    batch = spark.read.parquet(f"{tmp_path}/lines")
+    write_fact(batch, f"{tmp_path}/fact", PARTS, changes=f"{tmp_path}/changes", stored=stored)
+    assert ("fact-batch" in names) != stored
+    assert as_set(read_fact(spark, f"{tmp_path}/fact")) == as_set(batch)
+
+
+def test_changed_groups_are_made_distinct_once(shop, monkeypatch):
+    shop.refresh("sales_summary", FIRST)
+    shop.load(("O1", 1, "2024-05-01", 9, 1, "S1"))
+    shop.suppliers["S2"] = "Second"
+    plans, append = [], incremental.append
+    monkeypatch.setattr(incremental, "append", lambda df, *a: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or append(df, *a))
+    shop.refresh("sales_summary", SECOND)
+    of_groups = [line for plan in plans for line in plan.splitlines() if "Aggregate [" in line and "report_part" in line]
+    assert len(of_groups) == 1 and shop.same_as_rebuild("sales_summary")
