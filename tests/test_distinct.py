@@ -45,3 +45,22 @@ def test_totals_are_exact_over_any_keys(spark):
         assert as_set(distinct.totals(days, *keys)) == as_set(want)
     assert distinct.totals(days.limit(0), "month").count() == 0
     assert datetime(2024, 1, 30).date() in {r.sales_date for r in days.select("sales_date").distinct().collect()}
+
+
+def test_bitmaps_are_summed_without_a_sort(spark):
+    lines = spark.createDataFrame([], "salesordernumber string, createddate timestamp, line_supplier string, quantity int, unitprice decimal(8,4)")
+    days = distinct.daily(lines, spark.createDataFrame([], "salesordernumber string, number long"), "line_supplier")
+    for rows in (days, distinct.totals(days, "line_supplier")):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert dict(days.dtypes)["orders"] == "bigint" and "bitmap_construct" not in plan
+
+
+def test_words_at_the_edges_of_bitmaps(spark):
+    """The first and last bits of words and bitmaps, each order on two days."""
+    numbers = [0, 1, 63, 64, 65, 128, 32767, 32768, 32769, 65536, 65537]
+    known = spark.createDataFrame([(f"SO{n}", n) for n in numbers], "salesordernumber string, number long")
+    made = [(f"SO{n}", datetime(2024, 1, day), "S", 1) for n in numbers for day in (1, 2)]
+    lines = spark.createDataFrame(made, "salesordernumber string, createddate timestamp, line_supplier string, quantity int")
+    days = distinct.daily(lines.withColumn("unitprice", F.lit("2").cast("decimal(8,4)")), known, "line_supplier")
+    assert as_set(distinct.totals(days, "line_supplier")) == [("S", 44.0, 22, 11)]
+    assert {r.total_orders for r in distinct.totals(days, "sales_date").collect()} == {11}
