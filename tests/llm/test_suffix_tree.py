@@ -135,3 +135,28 @@ def test_rare_strings_of_a_large_corpus_take_part(spark):
     rows = st.score_documents(spark.createDataFrame([*docs, *twice, asked], "doc_id long, text string"), held_out())
     row = rows.where(f"doc_id = {asked[0]}").first()
     assert row.train_tokens > 2_000_000 and row.score > row.base_score + 3
+
+
+def test_no_table_has_a_row_for_each_string(spark, monkeypatch):
+    """Strings go in arrays by block and range of hashes; a row for each occurrence took too much disk."""
+    rows, write = [], st.written
+
+    def written(df, name):
+        back = write(df, name)
+        rows.append((name, back.count()))
+        return back
+
+    monkeypatch.setattr(st, "written", written)
+    docs = spark.createDataFrame(corpus(4), "doc_id long, text string").coalesce(2)
+    assert st.score_documents(docs, held_out()).count() == 165
+    assert sum(n for name, n in rows if name != "scored") < 50
+
+
+def test_blocks_change_no_score(spark):
+    docs = spark.createDataFrame(corpus(5), "doc_id long, text string")
+    one, many = (
+        {r.doc_id: r for r in st.score_documents(d, held_out()).collect()} for d in (docs.coalesce(1), docs.repartition(9))
+    )
+    for i, r in one.items():
+        assert many[i][:5] == r[:5]
+        assert many[i][5:] == pytest.approx(r[5:], abs=1e-6)
